@@ -30,10 +30,16 @@ def column_name(path: str) -> str:
 
 
 def paths(where: dict | None) -> list:
-    """All fields a proposition mentions."""
+    """All fields a proposition mentions, those it compares with included."""
     found = []
     for name, value in (where or {}).items():
-        found += [value] if name == "$exists" else [name]
+        if name == "$exists":
+            found.append(value)
+            continue
+        found.append(name)
+        if isinstance(value, dict):
+            inner = [value, *value.values()]
+            found += [v["$get"] for v in inner if isinstance(v, dict) and "$get" in v]
     return found
 
 
