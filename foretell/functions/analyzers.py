@@ -31,14 +31,27 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(1))
 
 
-def _grams(length: Column, lo: int, hi: int, at) -> Column:
-    """All windows of lo..hi items; sizes beyond the length give none (``sequence`` counts down)."""
+def once(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once per row, however often it is used.
 
-    def of_size(n):
-        starts = F.when(length >= n, F.sequence(F.lit(0), length - n)).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: at(i + 1, n))
+    Inside a lambda Spark would compute an outer expression again for every element.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
-    return F.flatten(F.transform(F.sequence(F.lit(lo), F.lit(hi)), of_size))
+
+def _grams(items: Column, lo: int, hi: int, separator: str) -> Column:
+    """All windows of lo..hi items, joined; a size beyond the length gives none.
+
+    Items are taken by position, so the work is linear in the length (``slice`` and
+    ``substring`` walk from the start each time).
+    """
+
+    def of_size(x, n):
+        # the guard matters: ``sequence`` counts down when its end is below its start
+        starts = F.when(F.size(x) >= n, F.sequence(F.lit(0), F.size(x) - n)).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.concat_ws(separator, *[F.get(x, i + j) for j in range(n)]))
+
+    return once(items, lambda x: F.flatten(F.array(*[of_size(x, n) for n in range(lo, hi + 1)])))
 
 
 def analyze(text: Column | str, analyzer) -> Column:
@@ -61,11 +74,9 @@ def analyze(text: Column | str, analyzer) -> Column:
             drop += default_stop_words(a.language)
         return F.filter(words(text), lambda t: ~t.isin(drop)) if drop else words(text)
     if isinstance(a, S.CharNGram):
-        return _grams(F.length(text), a.lo, a.hi, lambda start, n: F.substring(text, start, n))
+        return _grams(_not_empty(F.split(text, "")), a.lo, a.hi, "")
     if isinstance(a, S.TokenNGram):
-        tokens = analyze(text, a.source)
-        return _grams(F.size(tokens), a.lo, a.hi,
-                      lambda start, n: F.array_join(F.slice(tokens, start, n), a.separator))
+        return _grams(analyze(text, a.source), a.lo, a.hi, a.separator)
     raise TypeError(f"not an analyzer: {analyzer!r}")
 
 

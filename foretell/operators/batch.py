@@ -7,7 +7,9 @@ number of its features alone (see ``counts``), so
 * their best members are the first entries of the class list sorted by size, and
 * their part of the softmax sum comes from the histogram of class sizes.
 
-The result equals scoring every (query, class) pair, without forming those pairs.
+The result equals scoring every (query, class) pair, without forming those pairs.  When
+there are only a few classes, each gets a column instead: the counts of a feature are one
+row, and a query needs one row per feature.
 """
 
 from __future__ import annotations
@@ -20,23 +22,24 @@ from foretell.functions.features import classes as classes_of
 from foretell.functions.features import row_features
 from foretell.functions.predicates import column_name
 from foretell.operators.counts import (
-    BIN, baseline, best_first, class_counts, feature_counts, gain, lse_of,
+    BIN, SCORE_DIGITS, baseline, best_first, class_counts, feature_counts, gain, lse_of, unnest,
 )
 from foretell.operators.index import with_index
 from foretell.operators.links import bind
 from foretell.operators.skew import ROWS_PER_SALT, salted_join
 
+FEW_CLASSES = 32  # up to this many classes get a column each
 HEAD = 5_000  # classes kept at either end of the size order; bounds what is broadcast
 
 
 def predict_batch(train: DataFrame, queries: DataFrame, key: str, fields, target: str, k: int = 10,
-                  tables: dict | None = None, with_p: bool = True, head: int = HEAD,
-                  rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
+                  tables: dict | None = None, with_p: bool = True, few_classes: int = FEW_CLASSES,
+                  head: int = HEAD, rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
     """The ``k`` best answers of each query row: ``(key, feature, p, rank)``.
 
     ``fields``: evidence fields of ``train``, as a list or as ``{field: query column}``.
-    ``key`` identifies a query row.  ``head`` bounds the class lists that are broadcast;
-    queries that need classes beyond them get those through a join on the list position.
+    ``key`` identifies a query row.  Up to ``few_classes`` classes are scored side by side,
+    more of them as described above.
     """
     sources = dict(fields) if isinstance(fields, dict) else {f: f for f in fields}
     train = bind(train, [*sources, target], tables)
@@ -46,11 +49,77 @@ def predict_batch(train: DataFrame, queries: DataFrame, key: str, fields, target
 
     found = row_features(queries, list(sources), like=train, sources=sources)
     q = queries.select(F.col(key).alias("qid"), found.alias("f"))
-    sized = q.select("qid", F.size("f").alias("h"))
-    evidence = q.select("qid", F.size("f").alias("h"), F.explode("f").alias("feature"))
-
+    everyone = None
+    if not any(S.analyzer_of(train, column_name(path)) for path in sources):
+        # few plain fields: many rows ask the same, so each set of features is scored once
+        everyone, q = q.select(F.col("qid").alias("row"), "f"), q.groupBy("f").agg(F.min("qid").alias("qid"))
     answers, features = classes_of(train, target), row_features(train, list(sources))
     sizes = class_counts(train, answers)
+    listed = sizes.limit(few_classes + 1).collect()
+    if len(listed) <= few_classes:
+        best = _few(train, q, answers, features, listed, is_text, k, rows_per_salt)
+    else:
+        best = _many(train, q, answers, features, sizes, is_text, k, with_p, head, rows_per_salt)
+    best = best.select("qid", F.col("class").alias("feature"), *(["p"] if with_p else []), "rank")
+    if everyone is not None:
+        answered = q.join(best, "qid").drop("qid")  # at most k rows per set of features
+        best = salted_join(everyone, answered, "f", "row", rows_per_salt).drop("f").withColumnRenamed("row", "qid")
+    return best.withColumnRenamed("qid", key)
+
+
+def _few(train: DataFrame, q: DataFrame, answers: Column, features: Column, listed: list, is_text: bool, k: int,
+         rows_per_salt: int) -> DataFrame:
+    """``(qid, class, p, rank)`` with one column per class; one row per feature is joined."""
+    ids = range(len(listed))
+    counts = (
+        train.select(answers.alias("_c"), F.explode(features).alias("feature"))
+        .groupBy("feature")
+        .agg(F.count("*").alias("n_f"),
+             *[F.count_if(F.array_contains("_c", row["class"])).alias(f"n{i}") for i, row in enumerate(listed)])
+    )
+    n_f = F.col("n_f") if is_text else None
+    gains = counts.select(
+        "feature", F.log(F.col("n_f") + 1.0).alias("absent"), *[gain(F.col(f"n{i}"), n_f).alias(f"g{i}") for i in ids]
+    )
+    # a query without features keeps one row, under a name that no feature has
+    evidence = q.select("qid", F.size("f").alias("h"), unnest("f").alias("feature")).fillna("", ["feature"])
+    sums = (
+        salted_join(evidence, gains, "feature", "qid", rows_per_salt, how="left")
+        .groupBy("qid")
+        .agg(F.max("h").alias("h"), *[F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in ["absent", *(f"g{i}" for i in ids)]])
+    )
+    n_rows = train.agg(F.count("*")).scalar() if is_text else None
+    h = F.col("h")
+
+    def entry(i):
+        size = F.lit(listed[i]["size"])
+        score = baseline(size, h, n_rows) + F.col(f"g{i}")
+        tie = F.when(h >= 2, size).otherwise(-size)
+        return F.struct((-F.round(score, SCORE_DIGITS)).alias("o"), tie.alias("t"), F.lit(listed[i]["class"]).alias("class"),
+                        score.alias("score"))
+
+    entries = F.array_sort(F.array(*[entry(i) for i in ids])) if listed else F.array().cast(
+        "array<struct<o:double,t:bigint,class:string,score:double>>")
+    scored = sums.select("qid", "absent", entries.alias("all"))
+    if is_text:
+        p = 1.0 / (1.0 + F.exp(F.col("absent") - F.col("e.score")))
+    else:
+        scored = scored.withColumn("lse", lse_of(F.transform("all", lambda e: e["score"])))
+        p = F.exp(F.col("e.score") - F.col("lse"))
+    best = scored.select("*", F.posexplode(F.slice("all", 1, k)).alias("at", "e"))
+    return best.select("qid", "e.class", p.alias("p"), (F.col("at") + 1).alias("rank"))
+
+
+def _many(train: DataFrame, q: DataFrame, answers: Column, features: Column, sizes: DataFrame, is_text: bool, k: int,
+          with_p: bool, head: int, rows_per_salt: int) -> DataFrame:
+    """``(qid, class, p, rank)`` from seen pairs and the size order.
+
+    ``head`` bounds the class lists that are broadcast; queries that need classes beyond
+    them get those through a join on the list position.
+    """
+    sized = q.select("qid", F.size("f").alias("h"))
+    evidence = q.select("qid", F.size("f").alias("h"), unnest("f").alias("feature")).where("feature IS NOT NULL")
+
     pairs = feature_counts(train, answers, features).join(sizes, "class")
     n_rows = n_f = None
     if is_text:
@@ -70,20 +139,16 @@ def predict_batch(train: DataFrame, queries: DataFrame, key: str, fields, target
     )
     columns = ["qid", "h", "class", "size", "score"]
     best = _best(seen.select(*columns).unionByName(others.select(*columns)), k)
-    out = [F.col("qid").alias(key), F.col("class").alias("feature")]
     if not with_p:
-        return best.select(*out, "rank")
+        return best
     if is_text:
         absent = (
             salted_join(evidence, totals, "feature", "qid", rows_per_salt)
             .groupBy("qid").agg(F.sum(F.log(F.col("n_f") + 1.0)).alias("absent"))
         )
-        best = best.join(absent, "qid", "left")
-        p = 1.0 / (1.0 + F.exp(F.coalesce("absent", F.lit(0.0)) - F.col("score")))
-    else:
-        best = best.join(_norm(per_query, sizes), "qid")
-        p = F.exp(F.col("score") - F.col("lse"))
-    return best.select(*out, p.alias("p"), "rank")
+        odds = F.col("score") - F.coalesce("absent", F.lit(0.0))
+        return best.join(absent, "qid", "left").withColumn("p", 1.0 / (1.0 + F.exp(-odds)))
+    return best.join(_norm(per_query, sizes), "qid").withColumn("p", F.exp(F.col("score") - F.col("lse")))
 
 
 def _seen_sums(seen: DataFrame) -> DataFrame:

@@ -26,6 +26,15 @@ BIN = 256.0  # width of the exponent bins of log_sum_exp; e^256 is far from over
 SCORE_DIGITS = 9  # scores closer than this are ties
 
 
+def unnest(column: str) -> Column:
+    """One row per element of an array column; null for an empty one.
+
+    For a plain ``explode`` of a column Spark infers a filter on its size and pushes it below
+    the projection that made the column, which would tokenise every text twice.
+    """
+    return F.explode_outer(column)
+
+
 def baseline(size: Column, h: Column, n_rows: Column | None = None) -> Column:
     """Score of a class that shares no feature (``n_rows`` given: log-odds of a token)."""
     if n_rows is None:
@@ -80,10 +89,9 @@ def lse_of(array: Column | str) -> Column:
 def feature_counts(df: DataFrame, classes: Column, features: Column) -> DataFrame:
     """``(feature, class, n)``: rows of each class with each feature, combined map-side."""
     return (
-        df.select(classes.alias("_c"), features.alias("_f"))
-        .select(F.explode("_c").alias("class"), "_f")
+        df.select(classes.alias("_c"), F.explode(features).alias("feature"))
+        .select("feature", unnest("_c").alias("class"))
         .where(F.col("class").isNotNull())
-        .select("class", F.explode("_f").alias("feature"))
         .groupBy("feature", "class")
         .agg(F.count("*").alias("n"))
     )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from foretell import schema as S
 from foretell.functions.features import classes, query_evidence
 from foretell.functions.predicates import column_name, paths
-from foretell.operators.counts import baseline, best_first, gain, log_sum_exp, take_best
+from foretell.operators.counts import baseline, best_first, gain, log_sum_exp, take_best, unnest
 from foretell.operators.links import bind
 
 ROW = ""  # marks the row itself next to its features; a real feature is never empty
@@ -33,8 +33,9 @@ def predict(df: DataFrame, where: dict | None, target: str, limit: int = 10, tab
         classes(bound, target).alias("feature"), F.concat(F.array(F.lit(ROW)), evidence.matched).alias("f")
     )
     pairs = (
-        rows.select(F.explode("feature").alias("feature"), "f")
-        .select("feature", F.explode("f").alias("f"))
+        rows.select(unnest("feature").alias("feature"), "f")
+        .where(F.col("feature").isNotNull())
+        .select("feature", unnest("f").alias("f"))
         .groupBy("feature", "f")
         .agg(F.count("*").alias("n"))
     )
@@ -53,7 +54,7 @@ def predict(df: DataFrame, where: dict | None, target: str, limit: int = 10, tab
         n_classes = scored.agg(F.count("*")).scalar() if explain else None
         totals = _totals(pairs.groupBy("f").agg(F.sum("n").alias("n")), "f", "n") if explain else None
     else:
-        totals = _totals(rows.select(F.explode("f").alias("f")).groupBy("f").agg(F.count("*").alias("n")), "f", "n")
+        totals = _totals(rows.select(unnest("f").alias("f")).groupBy("f").agg(F.count("*").alias("n")), "f", "n")
         counted = (
             pairs.withColumn("n_f", F.try_element_at(totals, F.col("f")))
             .groupBy("feature")

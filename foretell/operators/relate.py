@@ -34,13 +34,11 @@ def relate(df: DataFrame, where: dict | None, field: str, limit: int | None = 10
     """``(feature, fs, ps, lift, mi)``, strongest relation first; one aggregation over features."""
     bound = bind(df, [*paths(where), field], tables)
     name = column_name(field)
-    rows = bound.select(
-        F.coalesce(condition(bound, where), F.lit(False)).alias("c"),
-        field_features(field, F.col(name), S.analyzer_of(bound, name)).alias("f"),
-    )
-    all_rows = rows.agg(F.struct(F.count("*").alias("n"), F.count_if("c").alias("cond"))).scalar()
+    held = F.coalesce(condition(bound, where), F.lit(False)).alias("c")
+    features = field_features(field, F.col(name), S.analyzer_of(bound, name))
+    all_rows = bound.select(held).agg(F.struct(F.count("*").alias("n"), F.count_if("c").alias("cond"))).scalar()
     counts = (
-        rows.select("c", F.explode("f").alias("feature"))
+        bound.select(held, F.explode(features).alias("feature"))
         .groupBy("feature").agg(F.count("*").alias("f"), F.count_if("c").alias("both"))
         .withColumn("t", all_rows)
         .select("feature", F.col("t.n").alias("n"), "f", F.col("t.cond").alias("cond"), "both")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from foretell.functions.analyzers import once
 from foretell.functions.features import query_evidence, row_features
 from foretell.functions.predicates import paths
 from foretell.operators.counts import SCORE_DIGITS, take_best
@@ -25,9 +26,9 @@ def similarity_scores(df: DataFrame, example: dict, key: str, tables: dict | Non
     if not wanted:
         return bound.select(key, F.lit(0.0).alias("score")).limit(0)
     asked = F.array(*[F.lit(w) for w in wanted])
-    rows = bound.select(key, row_features(bound, fields).alias("f"))
-    frequency = rows.select(F.explode("f").alias("feature")).groupBy("feature").agg(F.count("*").alias("df"))
-    n = rows.agg(F.count("*")).scalar()
+    features = row_features(bound, fields)
+    frequency = bound.select(F.explode(features).alias("feature")).groupBy("feature").agg(F.count("*").alias("df"))
+    n = bound.agg(F.count("*")).scalar()
 
     def squared_idf(frequency, n):
         idf = F.log((n + 1.0) / (frequency + 1.0)) + 1.0
@@ -40,7 +41,10 @@ def similarity_scores(df: DataFrame, example: dict, key: str, tables: dict | Non
         asked, F.lit(0.0),
         lambda acc, t: acc + squared_idf(F.coalesce(F.try_element_at("known", t), F.lit(0)), F.col("n")),
     )
-    sharing = rows.where(F.arrays_overlap("f", asked)).select(key, F.explode("f").alias("feature"))
+    # rows without a shared feature become empty before they are expanded
+    sharing = bound.select(
+        key, F.explode(once(features, lambda f: F.when(F.arrays_overlap(f, asked), f))).alias("feature")
+    )
     weights = frequency.withColumn("w", squared_idf(F.col("df"), n)).select("feature", "w")
     sums = (
         salted_join(sharing, weights, "feature", key, rows_per_salt)

@@ -11,8 +11,8 @@ MAX_SALTS = 2_000
 
 
 def salted_join(left: DataFrame, right: DataFrame, key: str, spread_by: str,
-                rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
-    """Inner equi-join on ``key`` in which hot keys of ``left`` are split over many tasks.
+                rows_per_salt: int = ROWS_PER_SALT, how: str = "inner") -> DataFrame:
+    """Equi-join (inner or left) on ``key`` in which hot keys of ``left`` are split over many tasks.
 
     The hot keys are counted first (combined map-side).  Their rows on the left get a salt
     from ``spread_by``, their rows on the right are repeated per salt; all other rows have
@@ -32,4 +32,4 @@ def salted_join(left: DataFrame, right: DataFrame, key: str, spread_by: str,
     salted_right = right.join(F.broadcast(hot), key, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), salts - 1))
     )
-    return salted_left.drop("_salts").join(salted_right.drop("_salts"), [key, "_salt"]).drop("_salt")
+    return salted_left.drop("_salts").join(salted_right.drop("_salts"), [key, "_salt"], how).drop("_salt")

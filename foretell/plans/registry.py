@@ -50,7 +50,8 @@ def query(f):
 
 
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return S.attach(spark.read.parquet(f"{folder}/{name}.parquet"), SCHEMAS.get(name, {}))
+    df = spark.read.parquet(f"{folder}/{name}.parquet")
+    return S.attach(files.spread(df) if name in ("documents", "part", "events") else df, SCHEMAS.get(name, {}))
 
 
 def engine(spark: SparkSession, folder: str, *names: str) -> Engine:
