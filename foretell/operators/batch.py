@@ -98,7 +98,7 @@ def _few(train: DataFrame, q: DataFrame, answers: Column, features: Column, list
         return F.struct((-F.round(score, SCORE_DIGITS)).alias("o"), tie.alias("t"), F.lit(listed[i]["class"]).alias("class"),
                         score.alias("score"))
 
-    entries = F.array_sort(F.array(*[entry(i) for i in ids])) if listed else F.array().cast(
+    entries = F.sort_array(F.array(*[entry(i) for i in ids])) if listed else F.array().cast(
         "array<struct<o:double,t:bigint,class:string,score:double>>")
     scored = sums.select("qid", "absent", entries.alias("all"))
     if is_text:

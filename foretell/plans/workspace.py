@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 SETTING = "spark.checkpoint.dir"
+_own: dict = {}  # folder of each local application that names none
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -16,8 +17,10 @@ def shared_dir(spark: SparkSession) -> str:
     if not found:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {SETTING} to a folder that all executors share")
-        found = tempfile.mkdtemp(prefix="foretell-")
-        spark.conf.set(SETTING, found)
+        app = spark.sparkContext.applicationId
+        if app not in _own:
+            _own[app] = tempfile.mkdtemp(prefix="foretell-")
+        found = _own[app]
     return found.rstrip("/")
 
 
