@@ -11,12 +11,17 @@ SAMPLES_PER_BUCKET = 50
 
 
 def _bounds(keys: DataFrame, buckets: int) -> list:
-    """Sorted bucket bounds from a random sample of fixed size (one pass, partial top-n)."""
-    names = keys.columns
-    sample = keys.orderBy(F.rand(42)).limit(buckets * SAMPLES_PER_BUCKET)
+    """Sorted bucket bounds from a random sample; its expected size depends on ``buckets`` alone."""
+    wanted = buckets * SAMPLES_PER_BUCKET
+    rows = keys.count()
+    if rows < SAMPLES_PER_BUCKET:
+        return []
+    sample = keys if rows <= wanted else keys.sample(wanted / rows, 42)
+    step = F.greatest(F.floor(F.size("b") / buckets), F.lit(1))
     picked = (
-        sample.agg(F.array_sort(F.array_distinct(F.collect_list(F.struct(*names)))).alias("b"))
-        .select(F.filter("b", lambda _, i: (i + 1) % SAMPLES_PER_BUCKET == 0).alias("b"))
+        sample.agg(F.array_sort(F.array_distinct(F.collect_list(F.struct(*keys.columns)))).alias("b"))
+        .select("b", step.alias("step"))
+        .select(F.filter("b", lambda _, i: (i + 1) % F.col("step") == 0).alias("b"))
         .first()["b"]
     )
     return [tuple(row) for row in picked]
@@ -51,7 +56,7 @@ def with_index(df: DataFrame, order_by: list, name: str = INDEX, buckets: int |
     keys = df.select(*[c.alias(f"k{i}") for i, c in enumerate(order)])
     bounds = _bounds(keys, buckets)
     if not bounds:
-        at = Window.orderBy(*order)  # fewer rows than one sample bucket
+        at = Window.orderBy(*order)  # fewer than SAMPLES_PER_BUCKET rows
         return df.withColumn(name, F.row_number().over(at) - F.lit(1).cast("long"))
     key = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)])
     types = [f.dataType for f in keys.schema.fields]
