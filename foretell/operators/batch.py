@@ -55,11 +55,12 @@ def predict_batch(train: DataFrame, queries: DataFrame, key: str, fields, target
         everyone, q = q.select(F.col("qid").alias("row"), "f"), q.groupBy("f").agg(F.min("qid").alias("qid"))
     answers, features = classes_of(train, target), row_features(train, list(sources))
     sizes = class_counts(train, answers)
-    listed = sizes.limit(few_classes + 1).collect()
+    listed = sizes.limit(max(few_classes, head) + 1).collect()  # a bounded look at the classes
     if len(listed) <= few_classes:
         best = _few(train, q, answers, features, listed, is_text, k, rows_per_salt)
     else:
-        best = _many(train, q, answers, features, sizes, is_text, k, with_p, head, rows_per_salt)
+        beyond = len(listed) > head
+        best = _many(train, q, answers, features, sizes, is_text, k, with_p, head, beyond, rows_per_salt)
     best = best.select("qid", F.col("class").alias("feature"), *(["p"] if with_p else []), "rank")
     if everyone is not None:
         answered = q.join(best, "qid").drop("qid")  # at most k rows per set of features
@@ -111,7 +112,7 @@ def _few(train: DataFrame, q: DataFrame, answers: Column, features: Column, list
 
 
 def _many(train: DataFrame, q: DataFrame, answers: Column, features: Column, sizes: DataFrame, is_text: bool, k: int,
-          with_p: bool, head: int, rows_per_salt: int) -> DataFrame:
+          with_p: bool, head: int, beyond: bool, rows_per_salt: int) -> DataFrame:
     """``(qid, class, p, rank)`` from seen pairs and the size order.
 
     ``head`` bounds the class lists that are broadcast; queries that need classes beyond
@@ -134,7 +135,7 @@ def _many(train: DataFrame, q: DataFrame, answers: Column, features: Column, siz
         .withColumn("score", baseline(F.col("size"), F.col("h"), n_rows) + F.col("gain"))
     )
     per_query = sized.join(_seen_sums(seen), "qid", "left").withColumn("m", F.coalesce("m", F.lit(0)))
-    others = _head_of_size_order(per_query, sizes, k, head, rows_per_salt).withColumn(
+    others = _head_of_size_order(per_query, sizes, k, head, beyond, rows_per_salt).withColumn(
         "score", baseline(F.col("size"), F.col("h"), n_rows)
     )
     columns = ["qid", "h", "class", "size", "score"]
@@ -207,7 +208,7 @@ def _best(candidates: DataFrame, k: int) -> DataFrame:
     )
 
 
-def _head_of_size_order(per_query: DataFrame, sizes: DataFrame, k: int, head: int,
+def _head_of_size_order(per_query: DataFrame, sizes: DataFrame, k: int, head: int, beyond: bool,
                         rows_per_salt: int) -> DataFrame:
     """``(qid, h, class, size)``: classes of each query among which are its ``k`` best unseen ones.
 
@@ -227,7 +228,7 @@ def _head_of_size_order(per_query: DataFrame, sizes: DataFrame, k: int, head: in
         .select("qid", "h", F.explode("l").alias("e"))
         .select("qid", "h", F.col("e.class").alias("class"), F.abs("e.o").alias("size"))
     )
-    if sizes.limit(head + 1).count() > head:
+    if beyond:  # more than ``head`` classes
         wide = per_query.where(need > head).select("qid", "h", F.explode(F.sequence(F.lit(head), need - 1)).alias("at"))
         for rising in (True, False):
             order = [F.col("size") if rising else -F.col("size"), F.col("class")]
