@@ -34,9 +34,9 @@ def similarity_scores(df: DataFrame, example: dict, key: str, tables: dict | Non
         idf = F.log((n + 1.0) / (frequency + 1.0)) + 1.0
         return idf * idf
 
-    known = frequency.where(F.col("feature").isin(wanted)).agg(
-        F.map_from_entries(F.collect_list(F.struct("feature", "df")))
-    ).scalar()
+    # a filter would be pushed below the count and cost a second pass over the texts
+    entry = F.when(F.col("feature").isin(wanted), F.struct("feature", "df"))
+    known = frequency.agg(F.map_from_entries(F.collect_list(entry))).scalar()
     norm = F.reduce(
         asked, F.lit(0.0),
         lambda acc, t: acc + squared_idf(F.coalesce(F.try_element_at("known", t), F.lit(0)), F.col("n")),
