@@ -24,7 +24,7 @@ from foretell.operators.index import with_index
 from foretell.functions.features import classes, row_features
 from foretell.operators.predict import predict
 from foretell.operators.relate import relate
-from foretell.operators.similarity import similarity, similarity_scores
+from foretell.operators.similarity import similarity_scores
 from foretell.plans.engine import Engine
 from foretell.plans.workspace import fresh_path
 from foretell.sources import files
@@ -41,7 +41,6 @@ SCHEMAS = {
     "customer": {"c_nationkey": {"type": "Int", "link": "nation.n_nationkey"}},
     "lineitem": {"l_partkey": {"type": "Int", "link": "part.p_partkey"}},
 }
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "labels")
 
 
 def query(f):

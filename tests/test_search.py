@@ -3,7 +3,6 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from foretell import schema as S
 from foretell.functions.predicates import condition
 from foretell.operators import search as se
 from foretell.operators.index import with_index
