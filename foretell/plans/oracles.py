@@ -6,11 +6,9 @@ scored.  The Spark operators never form those triples, so this is an independent
 
 from __future__ import annotations
 
-import zipfile
-from functools import cache
-from pathlib import Path
+from pyspark import SparkContext
 
-import pyspark
+from foretell.functions.analyzers import STOP_WORD_LANGUAGES, default_stop_words
 
 WS = r"list_filter(string_split_regex({0}, '\s+'), lambda t: t <> '')"
 STD = r"regexp_extract_all(lower({0}), '[\p{{L}}\p{{N}}]+')"
@@ -20,17 +18,9 @@ def words(column: str) -> str:
     return STD.format(column)
 
 
-@cache
-def stop_words() -> dict:
-    """Spark's own stop word lists, read from its library."""
-    found = {}
-    for jar in Path(pyspark.__file__).parent.glob("jars/spark-mllib_*.jar"):
-        with zipfile.ZipFile(jar) as z:
-            for entry in z.namelist():
-                if "/stopwords/" in entry and entry.endswith(".txt"):
-                    text = z.read(entry).decode("utf8")
-                    found[Path(entry).stem] = sorted({w.strip().lower() for w in text.splitlines() if w.strip()})
-    return found
+def stop_words(language: str) -> list:
+    """Spark's default list, as the operators load it; needs a running session."""
+    return sorted({w.strip().lower() for w in default_stop_words(language)} - {""})
 
 
 def quoted(text: str) -> str:
@@ -54,8 +44,8 @@ def features(*parts: str) -> str:
 
 
 def ranked(score: str = "s", size: str = "size", h: str = "h", name: str = "c", over: str = "") -> str:
-    return (f"row_number() OVER ({over} ORDER BY round({score}, 9) DESC, "
-            f"CASE WHEN {h} >= 2 THEN -{size} ELSE {size} END DESC, {name})")
+    return (f"CAST(row_number() OVER ({over} ORDER BY round({score}, 9) DESC, "
+            f"CASE WHEN {h} >= 2 THEN -{size} ELSE {size} END DESC, {name}) AS INTEGER)")
 
 
 def predict_sql(train: str, evidence: list, target: str, limit: int = 10) -> str:
@@ -199,7 +189,7 @@ def recommend_rate_sql(rows_: str, limit: int) -> str:
     return f"""
 WITH r AS (SELECT x, (count(*) FILTER (goal) + 1.0E0) / (count(*) + 2.0E0) AS p FROM ({rows_}) WHERE x IS NOT NULL
            GROUP BY x),
-answer AS (SELECT *, row_number() OVER (ORDER BY round(p, 9) DESC, CAST(x AS VARCHAR)) AS rank FROM r
+answer AS (SELECT *, CAST(row_number() OVER (ORDER BY round(p, 9) DESC, CAST(x AS VARCHAR)) AS INTEGER) AS rank FROM r
            QUALIFY rank <= {limit})
 """
 
@@ -256,6 +246,22 @@ def profile_sql(source: str, columns: dict) -> str:
     )
 
 
+def _dropped(drop) -> str:
+    return f"list_filter({words('text')}, lambda t: t NOT IN ({', '.join(quoted(w) for w in drop)}))"
+
+
+def _with_stop_words() -> dict:
+    o = {"tok_language_default": token_counts("documents", "doc_id", _dropped(stop_words("english")))}
+    pairs = ", ".join(f"({quoted(w)}, '{lang}')" for lang in STOP_WORD_LANGUAGES for w in stop_words(lang))
+    o["infer_language"] = f"""
+WITH stop(word, lang) AS (VALUES {pairs}),
+t AS (SELECT doc_id, unnest({words('text')}) AS word FROM documents),
+h AS (SELECT doc_id, stop.lang, count(*) AS hits FROM t JOIN stop ON stop.word = t.word GROUP BY doc_id, stop.lang)
+SELECT doc_id, lang AS language, hits FROM h
+QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY hits DESC, lang DESC) = 1"""
+    return o
+
+
 def oracle_sql() -> dict[str, str]:
     o: dict[str, str] = {}
 
@@ -296,9 +302,6 @@ def oracle_sql() -> dict[str, str]:
     def token_table(source, key, listed):
         return f"SELECT {key}, unnest(list_distinct({listed})) AS token FROM {source}"
 
-    def dropped(drop):
-        return f"list_filter({words('text')}, lambda t: t NOT IN ({', '.join(quoted(w) for w in drop)}))"
-
     o["tok_whitespace"] = token_table("documents", "doc_id", WS.format("text"))
     o["tok_standard"] = token_table("documents", "doc_id", words("text"))
     o["tok_delimiter"] = token_table(
@@ -306,8 +309,7 @@ def oracle_sql() -> dict[str, str]:
         "list_filter(list_transform(string_split(o_orderpriority, '-'), lambda t: trim(t)), lambda t: t <> '')")
     o["tok_delimiter_untrimmed"] = token_table(
         "documents", "doc_id", "list_filter(string_split(text, '.'), lambda t: t <> '')")
-    o["tok_language"] = token_table("documents", "doc_id", dropped(["the", "and", "of", "is", "worthless"]))
-    o["tok_language_default"] = token_counts("documents", "doc_id", dropped(stop_words()["english"]))
+    o["tok_language"] = token_table("documents", "doc_id", _dropped(["the", "and", "of", "is", "worthless"]))
     o["tok_char_ngram"] = token_counts("part", "p_partkey", char_grams("p_name", 2, 4))
     o["tok_char_ngram_accents"] = token_counts("documents", "doc_id", char_grams("text", 3, 3))
     o["tok_token_ngram"] = token_counts(f"(SELECT doc_id, {words('text')} AS w FROM documents)", "doc_id",
@@ -334,14 +336,8 @@ def oracle_sql() -> dict[str, str]:
         "(SELECT l_orderkey, l_linenumber, l_orderkey + 2147483647 AS above, -l_orderkey - 2147483648 AS below "
         "FROM lineitem)",
         {c: whole_type(c) for c in ("l_orderkey", "l_linenumber", "above", "below")})
-    pairs = ", ".join(f"({quoted(w)}, '{lang}')" for lang, ws in sorted(stop_words().items())
-                      for w in ws if lang in _LISTED)
-    o["infer_language"] = f"""
-WITH stop(word, lang) AS (VALUES {pairs}),
-t AS (SELECT doc_id, unnest({words('text')}) AS word FROM documents),
-h AS (SELECT doc_id, stop.lang, count(*) AS hits FROM t JOIN stop ON stop.word = t.word GROUP BY doc_id, stop.lang)
-SELECT doc_id, lang AS language, hits FROM h
-QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY hits DESC, lang DESC) = 1"""
+    if SparkContext._active_spark_context is not None:  # the lists come from the running session
+        o |= _with_stop_words()
 
     # conform
     o["conform_int"] = ("SELECT l_orderkey, CAST(trunc(-l_extendedprice) AS INTEGER) AS negated, "
@@ -441,7 +437,7 @@ s AS (SELECT x, ln((ng + 1.0E0) / (nb + 1.0E0)) + ln((gx + 1.0E0) / (ng + 2.0E0)
              + ln((ga + 1.0E0) / (ng + 2.0E0)) - ln((ba + 1.0E0) / (nb + 2.0E0))
              + ln((gb + 1.0E0) / (ng + 2.0E0)) - ln((bb + 1.0E0) / (nb + 2.0E0)) AS s FROM x CROSS JOIN t),
 p AS (SELECT x AS feature, 1.0E0 / (1.0E0 + exp(-s)) AS p FROM s)
-SELECT feature, round(p, 6) AS p, row_number() OVER (ORDER BY round(p, 9) DESC, feature) AS rank FROM p"""
+SELECT feature, round(p, 6) AS p, CAST(row_number() OVER (ORDER BY round(p, 9) DESC, feature) AS INTEGER) AS rank FROM p"""
 
     o["relate_text"] = relate_sql(
         f"SELECT p_type = 'PROMO' AS cond, {tokens('p_name', WS)} AS f FROM part", 10)
@@ -451,7 +447,7 @@ SELECT feature, round(p, 6) AS p, row_number() OVER (ORDER BY round(p, 9) DESC,
     o["similarity_top"] = similarity_sql(
         [f"text:{w}" for w in ("worthless", "and", "the", "tionever", "of", "heran")], text_features) + (
         "SELECT doc_id, lang, source, round(score, 6) AS score, "
-        "row_number() OVER (ORDER BY round(score, 9) DESC, doc_id) AS rank "
+        "CAST(row_number() OVER (ORDER BY round(score, 9) DESC, doc_id) AS INTEGER) AS rank "
         "FROM scores JOIN documents USING (doc_id) QUALIFY rank <= 10")
     o["similarity_all"] = similarity_sql(
         ["text:the", "text:and", "text:la", "text:que", "lang=es"], features(text_features, value("lang"))) + (
@@ -499,7 +495,3 @@ SELECT answer.c, CAST(list_position(['p_brand=Brand#2', 'p_name:small', 'p_name:
        round(((part_.n + 1.0E0) / (part_.size + 2.0E0)) / ((fall.nf + 1.0E0) / (tot.n + 2.0E0)), 6)
 FROM answer JOIN part_ ON part_.c = answer.c JOIN fall ON fall.t = part_.t CROSS JOIN tot"""
     return o
-
-
-_LISTED = ("danish", "dutch", "english", "finnish", "french", "german", "hungarian", "italian", "norwegian",
-           "portuguese", "russian", "spanish", "swedish", "turkish")

@@ -39,6 +39,14 @@ def rows_of(columns, rows):
     return sorted(out, key=repr)
 
 
+def kinds(types):
+    """Type by column, in DuckDB's names."""
+    spark = {"bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "tinyint": "TINYINT", "string": "VARCHAR",
+             "double": "DOUBLE", "float": "FLOAT", "boolean": "BOOLEAN", "timestamp": "TIMESTAMP",
+             "timestamp_ntz": "TIMESTAMP", "date": "DATE", "binary": "BLOB"}
+    return {c: spark.get(t, t) for c, t in types}
+
+
 def compare(spark, con, folder, name, run, sql):
     """None if equal, else what differs."""
     df = run(spark, folder)
@@ -52,6 +60,9 @@ def compare(spark, con, folder, name, run, sql):
         return f"columns {sorted(df.columns)} != {sorted(names)}"
     if len(got) != len(want):
         return f"{len(got)} rows, {len(want)} expected"
+    types, wanted = kinds(df.dtypes), {d[0]: str(d[1]) for d in con.execute(f"DESCRIBE {sql}").fetchall()}
+    if types != wanted:
+        return f"types {[(c, types[c], wanted[c]) for c in types if types[c] != wanted[c]]}"
     bad = [(g, w) for g, w in zip(got, want) if g != w]
     return f"{len(bad)} of {len(got)} rows differ: {sorted(df.columns)} {bad[:3]}" if bad else None
 
