@@ -2,26 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 SETTING = "spark.checkpoint.dir"
-_own: dict = {}  # folder of each local application that names none
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; a local session without one gets its own."""
-    found = spark.conf.get(SETTING, None)
-    if not found:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {SETTING} to a folder that all executors share")
-        app = spark.sparkContext.applicationId
-        if app not in _own:
-            _own[app] = tempfile.mkdtemp(prefix="foretell-")
-        found = _own[app]
-    return found.rstrip("/")
+    """The folder in ``spark.checkpoint.dir``, else the warehouse folder, which every session has."""
+    return (spark.conf.get(SETTING, None) or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
