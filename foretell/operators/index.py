@@ -27,7 +27,7 @@ def _bounds(keys: DataFrame, buckets: int) -> list:
     return [tuple(row) for row in picked]
 
 
-def _bucket(key: Column, bounds: Column, count: int) -> Column:
+def bucket_of(key: Column, bounds: Column, count: int) -> Column:
     """How many bounds are not above the key: binary search in the sorted bounds."""
     steps, step = [], 1
     while step <= count:
@@ -63,7 +63,7 @@ def with_index(df: DataFrame, order_by: list, name: str = INDEX, buckets: int |
     literal = F.array(
         *[F.struct(*[F.lit(v).cast(t).alias(f"k{i}") for i, (v, t) in enumerate(zip(b, types))]) for b in bounds]
     )
-    bucketed = df.withColumn("_bucket", _bucket(key, literal, len(bounds)))
+    bucketed = df.withColumn("_bucket", bucket_of(key, literal, len(bounds)))
     sizes = bucketed.groupBy("_bucket").count()
     shift = sizes.select(  # at most len(bounds) + 1 rows
         F.col("_bucket"),
