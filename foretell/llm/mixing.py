@@ -83,7 +83,7 @@ def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str
     size_class = F.floor(F.log(F.col("size").cast("double") + 1.0) * CLASSES) * PARTS
     bucket = size_class + F.pmod(F.xxhash64("doc_id", "size"), F.lit(PARTS))
     rows = digest.withColumns({"_source": _key("source"), "_bucket": bucket})
-    placed = running_start(rows, "_source", "_bucket", ["size", "doc_id"], "_n", "_start").join(solved, "_source")
+    placed = _by_bucket(running_start(rows, "_source", "_bucket", ["size", "doc_id"], "_n", "_start"), solved)
     at = F.explode(F.sequence(F.col("_start"), F.col("_start") + F.col("_n") - 1))
     placed = placed.withColumn("_at", at)
     part = F.col("rate") - F.floor("rate")
@@ -111,13 +111,19 @@ def _corrected(rounded: DataFrame) -> DataFrame:
     down = F.col("copies") > F.floor("rate")
     fraction = F.col("rate") > F.floor("rate")
     turns = fraction & (F.col("size") > 0) & F.when(F.col("_error") > 0, down).otherwise(~down)
-    rows = rounded.join(errors, "_source").withColumn("_turn", F.when(turns, F.col("size")).otherwise(F.lit(0)).cast("long"))
+    rows = _by_bucket(rounded, errors).withColumn("_turn", F.when(turns, F.col("size")).otherwise(F.lit(0)).cast("long"))
     ranked = running_start(rows, "_source", "_bucket", ["size", "doc_id", "_at"], "_turn", "_before_turn")
     turned = (F.col("_turn") > 0) & (F.col("_before_turn") + F.col("_turn") <= F.abs("_error"))
     step = F.when(turned, F.when(F.col("_error") > 0, F.lit(-1)).otherwise(F.lit(1))).otherwise(F.lit(0))
     return ranked.withColumn("copies", F.col("copies") + step)
 
 
+def _by_bucket(rows: DataFrame, sources: DataFrame) -> DataFrame:
+    """Joins what is known of each source by its buckets, so that a large source is not dealt to one task."""
+    known = rows.select("_source", "_bucket").distinct().join(sources, "_source")
+    return rows.join(known, ["_source", "_bucket"])
+
+
 def _key(source: str) -> Column:
     """A key that is never null: null and every string stay apart."""
     return F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit(""))
