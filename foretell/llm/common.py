@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+import foretell
 from foretell.plans.workspace import fresh_path
 
 #: characters that separate words, as in the contracts: space and U+0009 to U+000D
@@ -12,6 +17,29 @@ BLANKS = r"\x20\x09-\x0D"
 WORD = rf"[^{BLANKS}]+"
 
 
+_sent: dict = {}  # the folder with the archive of each application; goes when the driver ends
+
+
+def send_package(spark) -> None:
+    """Hands this package to Spark once per application, which brings it to every Python worker."""
+    app = spark.sparkContext.applicationId
+    if app in _sent:
+        return
+    top = Path(foretell.__file__).parent
+    _sent[app] = tempfile.TemporaryDirectory()  # read by the driver alone, which serves the file
+    archive = f"{_sent[app].name}/foretell.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(top.rglob("*.py")):
+            z.write(f, f.relative_to(top.parent))
+    spark.sparkContext.addPyFile(archive)
+
+
+def mapped(df: DataFrame, function, schema: str) -> DataFrame:
+    """``mapInPandas`` with this package at hand in the workers."""
+    send_package(df.sparkSession)
+    return df.mapInPandas(function, schema)
+
+
 def load(spark, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from foretell.llm import mixing, sharding, url_filters
+from foretell.llm import bpe, fingerprints, mixing, sharding, url_filters
 from foretell.llm.common import load
 
 
@@ -15,9 +15,18 @@ def op4_mixing(spark, folder):
     return mixing.mixed(load(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_fingerprints(spark, folder):
+    return fingerprints.with_next(load(spark, folder, "documents")).select(
+        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
+def op5_byte_bpe(spark, folder):
+    return bpe.digests(load(spark, folder, "documents"))
+
+
 def op10_sharding(spark, folder):
     return sharding.sharded(load(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filters, op4_mixing, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op1_url_filters, op3_fingerprints, op4_mixing, op5_byte_bpe, op10_sharding)}
 ORACLE_SQL = {"op1_url_filters": url_filters.oracle()}
