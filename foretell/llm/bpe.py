@@ -131,9 +131,10 @@ class Codec:
 
     def learn(self, pieces) -> None:
         """Encodes those of the pieces that are not known yet."""
-        new = [p for p in set(pieces) if p not in self.known]
+        pieces = set(pieces)
+        new = [p for p in pieces if p not in self.known]
         if len(self.known) + len(new) > KEPT:
-            self.known, new = {}, list(set(pieces))
+            self.known, new = {}, pieces
         classes: dict = {}
         for piece in new:
             raw = piece.encode("utf-8")
@@ -267,8 +268,9 @@ def _mapped(docs: DataFrame, key: str, text: str, schema: str, one, path, patter
             yield pd.concat([pdf[["_key"]], pd.DataFrame(rows, columns=["a", "b", "c"][: len(rows[0]) if rows else 3])],
                             axis=1).set_axis([p.split()[0] for p in schema.split(", ")], axis=1)
 
-    rows = docs.select(F.col(key).cast("long").alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    return mapped(rows, run, schema)
+    rows = docs.select(F.col(key).cast("string").alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    # ids travel as strings: pandas would turn longs with nulls into floats
+    return mapped(rows, run, schema).withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def _digests(c: Codec, texts: list) -> list:
@@ -282,11 +284,11 @@ def _ids(c: Codec, texts: list) -> list:
 def encoded(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None,
             pattern: str | None = None) -> DataFrame:
     """``(doc_id, ids)``: the token ids of every text."""
-    return _mapped(docs, key, text, "doc_id long, ids array<int>", _ids, path, pattern)
+    return _mapped(docs, key, text, "doc_id string, ids array<int>", _ids, path, pattern)
 
 
 def digests(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None,
             pattern: str | None = None) -> DataFrame:
     """``(doc_id, n_tokens, ids_sha256, decoded_sha256)`` of every text, encoded and decoded again."""
-    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    schema = "doc_id string, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return _mapped(docs, key, text, schema, _digests, path, pattern)
