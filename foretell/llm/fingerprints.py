@@ -128,14 +128,19 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
         for pdf in batches:
             yield pd.DataFrame({"doc_id": pdf["_key"], "fingerprint": [fingerprint(t) for t in pdf["_text"]]})
 
-    rows = docs.select(F.col(key).cast("long").alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    return mapped(rows, run, "doc_id long, fingerprint string")
+    rows = docs.select(F.col(key).cast("string").alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    return _with_id(mapped(rows, run, "doc_id string, fingerprint string"))
 
 
-SCHEMA = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+SCHEMA = ("doc_id string, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
           "near_edited double, near_next double")
 
 
+def _with_id(df: DataFrame) -> DataFrame:
+    """Ids travel to Python and back as strings: pandas would turn longs with nulls into floats."""
+    return df.withColumn("doc_id", F.col("doc_id").cast("long"))
+
+
 def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Every document's fingerprint, that of its edited text, and both likenesses."""
     spark = docs.sparkSession
@@ -158,15 +163,14 @@ def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     dealt = dealt.select("to.range", "to.edge", "id", "text", F.xxhash64("text").alias("tie"))
     ordered = dealt.repartition(parts, "range").sortWithinPartitions(
         "range", "edge", F.col("id").asc_nulls_last(), "tie")
-    return mapped(ordered, _streamed, SCHEMA)
+    return _with_id(mapped(ordered.withColumn("id", F.col("id").cast("string")), _streamed, SCHEMA))
 
 
 def _streamed(batches):
     held = None  # (range, id, text, fingerprint) that waits for its next document
     for pdf in batches:
         out = []
-        ids = [None if missing else i for i, missing in zip(pdf["id"], pdf["id"].isna())]
-        for part, edge, i, t in zip(pdf["range"], pdf["edge"], ids, pdf["text"]):
+        for part, edge, i, t in zip(pdf["range"], pdf["edge"], pdf["id"], pdf["text"]):
             if edge and (held is None or held[0] != part):
                 continue  # a further row with the id of the cut
             f = fingerprint(t)
@@ -175,12 +179,11 @@ def _streamed(batches):
                     raise ValueError("a range ended without the first document of the next one")
                 out.append(_compared(held, t, f))
             held = None if edge else (part, i, t, f)
-        yield pd.DataFrame(out, columns=[c.split()[0] for c in SCHEMA.split(", ")]).astype({"doc_id": "Int64"})
+        yield pd.DataFrame(out, columns=[c.split()[0] for c in SCHEMA.split(", ")])
     if held is not None and held[1] is None and held[0] == 0:
         # without any id there is no cut: the documents without one follow each other, the last stands alone
         t = held[2]
-        yield pd.DataFrame([_compared(held, t, held[3])], columns=[c.split()[0] for c in SCHEMA.split(", ")]).astype(
-            {"doc_id": "Int64"})
+        yield pd.DataFrame([_compared(held, t, held[3])], columns=[c.split()[0] for c in SCHEMA.split(", ")])
     elif held is not None:
         raise ValueError("a range ended without the first document of the next one")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from foretell.llm import bpe, fingerprints, mixing, sharding, url_filters
+from foretell.llm import bpe, fingerprints, mixing, neardup, sharding, url_filters
 from foretell.llm.common import load
 
 
@@ -24,9 +24,13 @@ def op5_byte_bpe(spark, folder):
     return bpe.digests(load(spark, folder, "documents"))
 
 
+def op8_minhash_dedup(spark, folder):
+    return neardup.linked(load(spark, folder, "documents"))
+
+
 def op10_sharding(spark, folder):
     return sharding.sharded(load(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filters, op3_fingerprints, op4_mixing, op5_byte_bpe, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op1_url_filters, op3_fingerprints, op4_mixing, op5_byte_bpe, op8_minhash_dedup, op10_sharding)}
 ORACLE_SQL = {"op1_url_filters": url_filters.oracle()}
