@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from foretell.llm import bpe, fingerprints, mixing, neardup, sharding, url_filters
+from foretell.llm import bpe, fingerprints, mixing, neardup, secret_scan, sharding, toxicity, url_filters
 from foretell.llm.common import load
 
 
@@ -24,13 +24,23 @@ def op5_byte_bpe(spark, folder):
     return bpe.digests(load(spark, folder, "documents"))
 
 
+def op6_toxicity(spark, folder):
+    docs = load(spark, folder, "documents")
+    return toxicity.scored(docs, toxicity.trained(docs, load(spark, folder, "labels")))
+
+
 def op8_minhash_dedup(spark, folder):
     return neardup.linked(load(spark, folder, "documents"))
 
 
+def op9_secret_scan(spark, folder):
+    return secret_scan.scanned(load(spark, folder, "documents"))
+
+
 def op10_sharding(spark, folder):
     return sharding.sharded(load(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filters, op3_fingerprints, op4_mixing, op5_byte_bpe, op8_minhash_dedup, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op1_url_filters, op3_fingerprints, op4_mixing, op5_byte_bpe, op6_toxicity, op8_minhash_dedup, op9_secret_scan,
+                                   op10_sharding)}
 ORACLE_SQL = {"op1_url_filters": url_filters.oracle()}
