@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from foretell.llm import bpe, fingerprints, mixing, neardup, secret_scan, sharding, toxicity, url_filters
+from foretell.llm import bpe, fingerprints, html_text, mixing, neardup, secret_scan, sharding, toxicity, url_filters
 from foretell.llm.common import load
 
 
@@ -29,6 +29,10 @@ def op6_toxicity(spark, folder):
     return toxicity.scored(docs, toxicity.trained(docs, load(spark, folder, "labels")))
 
 
+def op7_html_text(spark, folder):
+    return html_text.extracted(load(spark, folder, "pages"))
+
+
 def op8_minhash_dedup(spark, folder):
     return neardup.linked(load(spark, folder, "documents"))
 
@@ -41,6 +45,6 @@ def op10_sharding(spark, folder):
     return sharding.sharded(load(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filters, op3_fingerprints, op4_mixing, op5_byte_bpe, op6_toxicity, op8_minhash_dedup, op9_secret_scan,
-                                   op10_sharding)}
+QUERIES = {f.__name__: f for f in (op1_url_filters, op3_fingerprints, op4_mixing, op5_byte_bpe, op6_toxicity, op7_html_text,
+                                   op8_minhash_dedup, op9_secret_scan, op10_sharding)}
 ORACLE_SQL = {"op1_url_filters": url_filters.oracle()}
