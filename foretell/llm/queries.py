@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from foretell.llm import bpe, fingerprints, html_text, mixing, neardup, secret_scan, sharding, toxicity, url_filters
+from foretell.llm import ann, bpe, fingerprints, html_text, mixing, neardup, secret_scan, sharding, toxicity, url_filters
 from foretell.llm.common import load
 
 
@@ -15,6 +15,10 @@ def op4_mixing(spark, folder):
     return mixing.mixed(load(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_nearest_neighbours(spark, folder):
+    return ann.search(load(spark, folder, "embeddings"))
+
+
 def op3_fingerprints(spark, folder):
     return fingerprints.with_next(load(spark, folder, "documents")).select(
         "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
@@ -45,6 +49,6 @@ def op10_sharding(spark, folder):
     return sharding.sharded(load(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filters, op3_fingerprints, op4_mixing, op5_byte_bpe, op6_toxicity, op7_html_text,
+QUERIES = {f.__name__: f for f in (op1_url_filters, op2_nearest_neighbours, op3_fingerprints, op4_mixing, op5_byte_bpe, op6_toxicity, op7_html_text,
                                    op8_minhash_dedup, op9_secret_scan, op10_sharding)}
 ORACLE_SQL = {"op1_url_filters": url_filters.oracle()}
