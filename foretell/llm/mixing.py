@@ -15,7 +15,7 @@ an empty table gives no rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foretell.llm.common import WORD, running_start, stored
@@ -74,16 +74,56 @@ def rates(targets: DataFrame, most: float = MOST) -> DataFrame:
 def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
           weights=WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
     """One row per document: ``doc_id, size, source, source_size, target, rate, copies, taken``."""
-    size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
-    digest = docs.select(F.col(key).alias("doc_id"), F.col(source).alias("source"), size.alias("size"))
+    rounded = _rounded(docs, key, text, source, weights, share, most)
+    return rounded.select(
+        "doc_id", "size", "source", F.col("source_size").cast("long").alias("source_size"), "target", "rate",
+        F.col("copies").cast("int").alias("copies"), (F.col("copies") * F.col("size")).alias("taken"),
+    )
+
+
+def _size(text: str) -> Column:
+    return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def copied(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
+           weights=WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
+    """The mix itself: every document as often as it is taken, with all its columns.
+
+    The texts are shuffled once, by a key of id, source and text; wholly equal rows share
+    what is taken of them.
+    """
+    taken = _rounded(docs, key, text, source, weights, share, most)
+    taken = taken.groupBy(_row_key("doc_id", "source", "size", "_text").alias("_k")).agg(
+        F.sum("copies").cast("int").alias("_all"), F.count("*").cast("int").alias("_rows")).where("_all > 0")
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+        _row_key(key, source, _size(text), _hash(text)).alias("_k"))
+    at = F.row_number().over(Window.partitionBy("_k").orderBy("_k"))
+    found = rows.join(taken, "_k").withColumn("_at", at)
+    copies = F.floor(F.col("_all") / F.col("_rows")).cast("int") + (F.col("_at") <= F.col("_all") % F.col("_rows")).cast("int")
+    out = found.withColumn("_copies", copies).where("_copies > 0")
+    return out.select("_row", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select("_row.*")
+
+
+def _hash(text: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+
+
+def _row_key(*parts) -> Column:
+    return F.to_json(F.struct(*[(F.col(p) if isinstance(p, str) else p).alias(f"p{i}") for i, p in enumerate(parts)]))
+
+
+def _rounded(docs: DataFrame, key, text, source, weights, share, most) -> DataFrame:
+    digest = docs.select(F.col(key).alias("doc_id"), F.col(source).alias("source"), _size(text).alias("size"),
+                         _hash(text).alias("_text"))
     # equal rows are counted before anything else, and come apart again at the end
-    digest = stored(digest.groupBy("doc_id", "source", "size").agg(F.count("*").alias("_n")), "mix-sizes")
+    digest = stored(digest.groupBy("doc_id", "source", "size", "_text").agg(F.count("*").alias("_n")), "mix-sizes")
     sums = digest.groupBy("source").agg(F.sum(F.col("size") * F.col("_n")).alias("source_size"))
     solved = rates(source_targets(sums, weights, share, most), most).withColumn("_source", _key("source")).drop("source")
     size_class = F.floor(F.log(F.col("size").cast("double") + 1.0) * CLASSES) * PARTS
     bucket = size_class + F.pmod(F.xxhash64("doc_id", "size"), F.lit(PARTS))
     rows = digest.withColumns({"_source": _key("source"), "_bucket": bucket})
-    placed = _by_bucket(running_start(rows, "_source", "_bucket", ["size", "doc_id"], "_n", "_start"), solved)
+    placed = _by_bucket(running_start(rows, "_source", "_bucket", ["size", "doc_id", "_text"], "_n", "_start"), solved)
     at = F.explode(F.sequence(F.col("_start"), F.col("_start") + F.col("_n") - 1))
     placed = placed.withColumn("_at", at)
     part = F.col("rate") - F.floor("rate")
@@ -93,11 +133,8 @@ def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str
 
     copies = F.floor("rate") + passed(F.col("_at") + 1) - passed(F.col("_at"))
     rounded = stored(placed.withColumn("copies", copies).select(
-        "doc_id", "size", "source", "source_size", "target", "rate", "copies", "_source", "_at", "_bucket"), "mix-copies")
-    return _corrected(rounded).select(
-        "doc_id", "size", "source", F.col("source_size").cast("long").alias("source_size"), "target", "rate",
-        F.col("copies").cast("int").alias("copies"), (F.col("copies") * F.col("size")).alias("taken"),
-    )
+        "doc_id", "size", "source", "source_size", "target", "rate", "copies", "_source", "_text", "_at", "_bucket"), "mix-copies")
+    return _corrected(rounded)
 
 
 def _corrected(rounded: DataFrame) -> DataFrame:
@@ -112,7 +149,7 @@ def _corrected(rounded: DataFrame) -> DataFrame:
     fraction = F.col("rate") > F.floor("rate")
     turns = fraction & (F.col("size") > 0) & F.when(F.col("_error") > 0, down).otherwise(~down)
     rows = _by_bucket(rounded, errors).withColumn("_turn", F.when(turns, F.col("size")).otherwise(F.lit(0)).cast("long"))
-    ranked = running_start(rows, "_source", "_bucket", ["size", "doc_id", "_at"], "_turn", "_before_turn")
+    ranked = running_start(rows, "_source", "_bucket", ["size", "doc_id", "_text", "_at"], "_turn", "_before_turn")
     turned = (F.col("_turn") > 0) & (F.col("_before_turn") + F.col("_turn") <= F.abs("_error"))
     step = F.when(turned, F.when(F.col("_error") > 0, F.lit(-1)).otherwise(F.lit(1))).otherwise(F.lit(0))
     return ranked.withColumn("copies", F.col("copies") + step)
