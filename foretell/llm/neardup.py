@@ -11,12 +11,14 @@
 3. A key's classes are first compared with one of them, its smallest; candidates within the
    distance are confirmed on their full sets, and confirmed links become components.
 4. Then, under every key that still holds several components, the classes outside its largest
-   one are compared with all classes of other components.  The distance is part of the join
-   condition, so only pairs within it leave the join.  After this every pair within the
-   distance is linked, not similar enough, or joined through others.
+   one are compared with all classes of other components.  Shingles that no other of these
+   classes has bound what a class can share: a class, or a pair, that they keep below the
+   threshold is out before any pair is formed.  Bound, distance and "not under an earlier key"
+   are part of the join condition, so a pair leaves the join once at most.  After this every
+   pair within the distance is linked, not similar enough, or joined through others.
 
 A group of copies of any size gives one link per key and class, not all its pairs.  Sets are
-computed again for the classes that have candidates, and are shuffled for those alone.
+computed again for the classes that meet others, and are shuffled for those alone.
 
 Defined results: without words a text has an empty set and is a component of its own; a row
 with a null id is not linked (its component is null and it is kept); rows that repeat an id
@@ -143,7 +145,7 @@ def _digest(size: int):
                 s = shingles(words, size)
                 if len(s):
                     rows[i, 0] = len(s)
-                    rows[i, 1:3] = np.array([s.sum(dtype=U), mix(s ^ U(0x5851F42D4C957F2D)).sum(dtype=U)]).view(np.int64)
+                    rows[i, 1:3] = _two(s)
                     rows[i, 3:] = signature(s)
             out = pd.DataFrame(rows, columns=["n", "d1", "d2", *CHUNK_NAMES])
             out.insert(0, "id", pdf["id"])
@@ -152,11 +154,22 @@ def _digest(size: int):
     return run
 
 
+def _two(found: np.ndarray) -> np.ndarray:
+    """A digest of a set, of two longs."""
+    return np.array([found.sum(dtype=U), mix(found ^ U(0x5851F42D4C957F2D)).sum(dtype=U)]).view(np.int64)
+
+
 def _sets(size: int):
+    """The sets of texts, where they are those of the classes that the ids stand for."""
+
     def run(batches):
         for pdf in batches:
-            found = [shingles(w, size).tobytes() for w in words_of(pdf["text"].tolist())]
-            yield pd.DataFrame({"c": pdf["id"], "set": found})
+            out = []
+            for c, d1, d2, words in zip(pdf["id"], pdf["d1"], pdf["d2"], words_of(pdf["text"].tolist())):
+                found = shingles(words, size)
+                if tuple(_two(found)) == (d1, d2):
+                    out.append((c, found.view(np.int64)))
+            yield pd.DataFrame(out, columns=["c", "set"])
 
     return run
 
@@ -168,7 +181,7 @@ def _similar(share: int):
         for pdf in batches:
             keep = []
             for a, b in zip(pdf["set_a"], pdf["set_b"]):
-                x, y = np.frombuffer(a, U), np.frombuffer(b, U)
+                x, y = np.asarray(a).view(U), np.asarray(b).view(U)  # sorted without sign
                 if len(x) > len(y):
                     x, y = y, x
                 at = np.searchsorted(y, x)
@@ -180,32 +193,47 @@ def _similar(share: int):
 
 
 def _masked_keys() -> Column:
+    """``(place, key)``: each chunk with one of its values masked."""
     keys = []
     for i in range(CHUNKS):
         for lane in range(LANES):
             mask = ~(0xFFFF << (16 * lane)) & (2**64 - 1)
             mask -= 2**64 if mask >= 2**63 else 0
-            keys.append(F.xxhash64(F.lit(LANES * i + lane), F.col(f"s{i}").bitwiseAND(F.lit(mask))))
+            place = F.lit(LANES * i + lane)
+            key = F.xxhash64(place, F.col(f"s{i}").bitwiseAND(F.lit(mask)))
+            keys.append(F.struct(place.alias("place"), key.alias("key")))
     return F.array(*keys)
 
 
+def _chunk_apart(left: str, right: str, chunk: str) -> Column:
+    """In how many of its four values a chunk differs: bits that say which lanes of the xor are not 0."""
+    x = F.col(f"{left}.{chunk}").bitwiseXOR(F.col(f"{right}.{chunk}"))
+    # adding in the lower 15 bits of a lane carries into its top bit unless they are 0; the
+    # lanes are taken in two halves, so that the sum stays within a long
+    y = F.shiftrightunsigned(x, 16)
+    low, top = F.lit(0x00007FFF00007FFF), F.lit(0x0000800000008000)
+    even = (x.bitwiseAND(low) + low).bitwiseOR(x).bitwiseAND(top)
+    odd = (y.bitwiseAND(low) + low).bitwiseOR(y).bitwiseAND(top)
+    return F.bit_count(even) + F.bit_count(odd)
+
+
 def _apart(left: str, right: str) -> Column:
-    """In how many of the 64 values two rows differ: bits that say which lanes of the xor are not 0."""
-    low, top = 0x7FFF7FFF7FFF7FFF, 0x8000800080008000 - 2**64
+    """In how many of the 64 values two rows differ."""
     total = F.lit(0)
     for c in CHUNK_NAMES:
-        x = F.col(f"{left}.{c}").bitwiseXOR(F.col(f"{right}.{c}"))
-        # adding in the lower 15 bits of each lane carries into its top bit unless they are 0;
-        # the lanes are taken in two halves, so that the sum stays within a long
-        even, odd = 0x00007FFF00007FFF, 0x00007FFF00007FFF
-        y = F.shiftrightunsigned(x, 16)
-        carry = x.bitwiseAND(F.lit(even)) + F.lit(even)
-        other = y.bitwiseAND(F.lit(odd)) + F.lit(odd)
-        mark = F.lit(0x0000800000008000)
-        total = total + F.bit_count(carry.bitwiseOR(x).bitwiseAND(mark)) + F.bit_count(other.bitwiseOR(y).bitwiseAND(mark))
+        total = total + _chunk_apart(left, right, c)
     return total
 
 
+def _first_meeting(left: str, right: str) -> Column:
+    """Whether the key of the rows is the first under which they meet."""
+    place = F.col(f"{left}.place")
+    first = F.coalesce(*[F.when(_chunk_apart(left, right, c) <= 1, F.lit(i)) for i, c in enumerate(CHUNK_NAMES)])
+    chunk, lane = F.shiftright(place, 2), place.bitwiseAND(F.lit(3))
+    same = F.coalesce(*[F.when(chunk == i, F.col(f"{left}.{c}") == F.col(f"{right}.{c}")) for i, c in enumerate(CHUNK_NAMES)])
+    return (first == chunk) & ((lane == 0) | ~same)
+
+
 def _near(left: str, right: str, share: int) -> Column:
     """Sizes that allow the similarity, then signatures within the distance."""
     a, b = F.col(f"{left}.n"), F.col(f"{right}.n")
@@ -243,30 +271,36 @@ def linked(docs: DataFrame, key: str = "doc_id", text: str = "text", share: int
     classes = digests.where("n > 0 AND id IS NOT NULL").groupBy("d1", "d2", "n").agg(
         F.min("id").alias("c"), *[F.first(s).alias(s) for s in CHUNK_NAMES])
     classes = stored(classes, "dup-classes")
-    keyed = classes.select("c", F.explode(_masked_keys()).alias("key"))
+    keyed = classes.select("c", F.explode(_masked_keys()).alias("k")).select("c", "k.place", "k.key")
     shared = keyed.groupBy("key").agg(F.count("*").alias("many"), F.min("c").alias("centre")).where("many > 1")
     met = stored(keyed.join(shared.select("key", "centre"), "key"), "dup-keys")
+    asked = classes.join(met.select("c").distinct(), "c", "left_semi").select(F.col("c").alias("id"), "d1", "d2")
+    sets = _sets_of(rows, stored(asked, "dup-asked"), size)
 
     signed = classes.select("c", "n", *CHUNK_NAMES)
     first = met.where("c <> centre").select(F.col("centre").alias("a"), F.col("c").alias("b")).distinct()
-    a, b = signed.alias("x"), signed.alias("y")
-    first = first.join(a, F.col("a") == F.col("x.c")).join(b, F.col("b") == F.col("y.c")).where(_near("x", "y", share))
-    first = stored(first.select("a", "b"), "dup-first")
-    edges = stored(_confirmed(first, rows, share, size), "dup-links")
+    x, y = signed.alias("x"), signed.alias("y")
+    first = first.join(x, F.col("a") == F.col("x.c")).join(y, F.col("b") == F.col("y.c")).where(_near("x", "y", share))
+    edges = stored(_confirmed(first.select("a", "b"), sets, share), "dup-links")
     label = components(edges, "dup-first")
 
     # what is left: keys with several components
-    placed = met.join(label, "c", "left").select("key", "c", F.coalesce("comp", "c").alias("comp"))
+    placed = met.join(label, "c", "left").select("key", "place", "c", F.coalesce("comp", "c").alias("comp"))
     by_key = placed.groupBy("key", "comp").agg(F.count("*").alias("many"))
     mixed = by_key.groupBy("key").agg(
         F.count("*").alias("comps"), F.max(F.struct("many", "comp"))["comp"].alias("largest")).where("comps > 1")
-    open_keys = placed.join(mixed.select("key", "largest"), "key").join(signed, "c")
-    open_keys = stored(open_keys, "dup-open")
+    open_keys = stored(placed.join(mixed.select("key", "largest"), "key"), "dup-open")
+    live = sets.join(open_keys.select("c").distinct(), "c", "left_semi")
+    for turn in range(2):  # without the classes that are out, others have more of their own
+        live = stored(_sharing(live, share), f"dup-live{turn}")
+    open_keys = open_keys.join(live.select("c", "own"), "c").join(signed, "c")
     x, y = open_keys.where("comp <> largest").alias("x"), open_keys.alias("y")
-    crossed = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") != F.col("y.comp")) & _near("x", "y", share))
-    second = crossed.select(F.least("x.c", "y.c").alias("a"), F.greatest("x.c", "y.c").alias("b")).distinct()
-    second = stored(second.join(first, ["a", "b"], "left_anti"), "dup-second")
-    more = _confirmed(second, rows, share, size)
+    # a pair of two classes outside the largest component is formed from its smaller side alone
+    once = (F.col("y.comp") == F.col("y.largest")) | (F.col("x.c") < F.col("y.c"))
+    crossed = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") != F.col("y.comp")) & once
+                     & _bounded("x", "y", share) & _near("x", "y", share) & _first_meeting("x", "y"))
+    second = stored(crossed.select(F.least("x.c", "y.c").alias("a"), F.greatest("x.c", "y.c").alias("b")).distinct(), "dup-second")
+    more = _confirmed(second, sets, share)
     own = label.select(F.col("c").alias("a"), F.col("comp").alias("b"))
     label = components(stored(own.union(more.select("a", "b")), "dup-links"), "dup-all")
 
@@ -278,11 +312,31 @@ def linked(docs: DataFrame, key: str = "doc_id", text: str = "text", share: int
                       F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
 
 
-def _confirmed(pairs: DataFrame, rows: DataFrame, share: int, size: int) -> DataFrame:
+def _sets_of(rows: DataFrame, asked: DataFrame, size: int) -> DataFrame:
+    """``(c, n, set)`` of the classes asked for; a class is named by the smallest id of its texts."""
+    texts = _sifted(rows.where("id IS NOT NULL"), asked).join(asked, "id")
+    once = texts.withColumn("_t", F.xxhash64("text")).dropDuplicates(["id", "_t"]).select("id", "d1", "d2", "text")
+    found = mapped(once, _sets(size), "c long, set array<long>")
+    return stored(found.select("c", F.size("set").alias("n"), "set"), "dup-sets")
+
+
+def _sharing(sets: DataFrame, share: int) -> DataFrame:
+    """The classes that may be similar to another of them, with ``own``: how many shingles no other has."""
+    single = sets.select("c", F.explode("set").alias("s")).groupBy("s").agg(
+        F.min("c").alias("c"), F.max("c").alias("d")).where("c = d")
+    own = single.groupBy("c").agg(F.count("*").alias("own"))
+    joined = sets.select("c", "n", "set").join(own, "c", "left").withColumn("own", F.coalesce("own", F.lit(0)))
+    return joined.where((F.col("n") - F.col("own")) * 100 >= F.col("n") * share)
+
+
+def _bounded(left: str, right: str, share: int) -> Column:
+    """Whether the shingles of their own leave two sets enough in common."""
+    a, b, p, q = (F.col(c) for c in (f"{left}.n", f"{right}.n", f"{left}.own", f"{right}.own"))
+    return F.least(a - p, b - q) * 100 >= F.greatest(a + q, b + p) * share
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
     """The pairs ``(a, b)`` that are similar enough on their full sets."""
-    asked = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    texts = _sifted(rows.where("id IS NOT NULL"), asked).join(asked, "id", "left_semi")
-    sets = stored(mapped(texts, _sets(size), "c long, set binary"), "dup-sets")
     both = pairs.join(sets.select(F.col("c").alias("a"), F.col("set").alias("set_a")), "a").join(
         sets.select(F.col("c").alias("b"), F.col("set").alias("set_b")), "b")
     return mapped(both.select("a", "b", "set_a", "set_b"), _similar(share), "a long, b long")
