@@ -5,7 +5,9 @@ is the least distance.  A tree of k-means splits is fitted on a bounded sample (
 vectors); every vector is then sent down to its leaf.  A query visits leaves best bin first:
 a priority queue holds the nodes seen so far by the distance of their centres.  How many
 leaves it visits is widened until the neighbours of ``PROBES`` sample queries, found by brute
-force over all vectors, are reached with a recall of ``RECALL``.
+force over all vectors, are reached with a recall of ``RECALL``.  The size of the tree
+(``leaves``) is a parameter and does not follow the data, so that the visits of a query do
+not either; vectors without any structure need most leaves, whatever the tree.
 
 Equal vectors are one candidate with its smallest ``k + 1`` ids, all that a result can use,
 and equal queries are searched once.  Vectors and queries of a leaf meet in blocks of bounded
@@ -33,7 +35,7 @@ from foretell.llm.common import mapped, send_package, stored
 K, EVERY = 20, 20
 FIT = 20_000  # vectors of the sample, and at most FIT_VALUES numbers
 FIT_VALUES = 8_000_000
-BRANCHES, LEAF = 8, 256  # children of a node; vectors of a leaf, as far as the sample is fine enough
+BRANCHES, LEAVES = 8, 64  # children of a node; a node with fewer than this part of the sample is a leaf
 PROBES, RECALL = 200, 0.95
 ROWS, QUERIES = 2048, 1024  # vectors and queries of a block
 
@@ -128,7 +130,7 @@ def clean(df: DataFrame, key: str = "vec_id", vector: str = "embedding") -> Data
 
 
 def search(df: DataFrame, key: str = "vec_id", vector: str = "embedding", every: int = EVERY, k: int = K,
-           recall: float = RECALL) -> DataFrame:
+           recall: float = RECALL, leaves: int = LEAVES) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the nearest of each id that ``every`` divides, among all rows."""
     spark = df.sparkSession
     send_package(spark)
@@ -146,15 +148,15 @@ def search(df: DataFrame, key: str = "vec_id", vector: str = "embedding", every:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     fit = min(FIT, max(BRANCHES, FIT_VALUES // dim))
     sample = vectors.orderBy("vkey").limit(fit).select("v").collect()
-    tree = Tree(_raised(np.array([r["v"] for r in sample]), most), LEAF * len(sample) / n)
+    tree = Tree(_raised(np.array([r["v"] for r in sample]), most), len(sample) / leaves)
 
-    def leaves(batches):
+    def sent(batches):
         for pdf in batches:
             if len(pdf):
                 pdf["leaf"] = tree.assign(_raised(_matrix(pdf["v"]), most)).astype(np.int32)
                 yield pdf
 
-    index = mapped(vectors, leaves, "vkey long, v array<double>, ids array<long>, first long, leaf int")
+    index = mapped(vectors, sent, "vkey long, v array<double>, ids array<long>, first long, leaf int")
     index = stored(index, "ann-index")
     queries = stored(index.join(asked.select("vkey").distinct(), "vkey", "left_semi").select("vkey", "v"), "ann-queries")
 
@@ -211,19 +213,26 @@ def _best(q: np.ndarray, names: np.ndarray, x: np.ndarray, vs: pd.DataFrame, k:
     near = q @ x.T
     first = vs["first"].to_numpy()
     spare = min(len(x), k + 8)  # the product may differ in the last place from the score
-    part = np.argpartition(-near, spare - 1, axis=1)[:, :spare] if spare < len(x) else np.tile(np.arange(len(x)), (len(q), 1))
-    out = []
-    for i in range(len(q)):
-        # everything as good as the worst of them, but for rounding, stays in view
-        at = part[i]
-        if spare < len(x):
-            at = np.flatnonzero(near[i] >= near[i][at].min() - 1e-9 * (1 + abs(near[i][at]).max()))
-        exact = (x[at] * q[i]).sum(axis=1)
-        order = np.lexsort((first[at], -exact))[:k]
-        out.append((at[order], exact[order]))
-    rows = np.concatenate([a for a, _ in out])
-    return pd.DataFrame({"q": np.repeat(names, [len(a) for a, _ in out]), "score": np.concatenate([s for _, s in out]),
-                         "first": first[rows], "ids": vs["ids"].to_numpy()[rows]})
+    if spare == len(x):
+        part = np.tile(np.arange(len(x)), (len(q), 1))
+        more = np.zeros(len(q), bool)
+    else:
+        part = np.argpartition(-near, spare - 1, axis=1)[:, :spare]
+        values = np.take_along_axis(near, part, 1)
+        # more than the spare ones may be as good as the last that counts
+        last = np.sort(values, axis=1)[:, -k] - 1e-9 * (1 + np.abs(values).max(axis=1))
+        more = (near >= last[:, None]).sum(axis=1) > spare
+    exact = (x[part] * q[:, None, :]).sum(axis=2)
+    order = np.lexsort((first[part], -exact), axis=1)[:, :k]
+    rows, scores = np.take_along_axis(part, order, 1), np.take_along_axis(exact, order, 1)
+    for i in np.flatnonzero(more):
+        at = np.flatnonzero(near[i] >= last[i])
+        own = (x[at] * q[i]).sum(axis=1)
+        best = np.lexsort((first[at], -own))[:k]
+        rows[i], scores[i] = at[best], own[best]
+    rows = rows.ravel()
+    return pd.DataFrame({"q": np.repeat(names, min(k, len(x))), "score": scores.ravel(), "first": first[rows],
+                         "ids": vs["ids"].to_numpy()[rows]})
 
 
 def calibrated(index: DataFrame, queries: DataFrame, tree: Tree, most: float, k: int, recall: float) -> int:
