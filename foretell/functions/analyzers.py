@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from foretell import schema as S
 
 # fixed values: token pattern, white space to trim, languages with a Spark stop word list
-WORD = r"([\p{L}\p{N}]+)"
+WORD = r"([\p{L}\p{N}\p{M}]+)"
 BLANKS = " \t\r\n"
 STOP_WORD_LANGUAGES = (
     "danish", "dutch", "english", "finnish", "french", "german", "hungarian",
@@ -54,6 +54,15 @@ def _grams(items: Column, lo: int, hi: int, separator: str) -> Column:
     return once(items, lambda x: F.flatten(F.array(*[of_size(x, n) for n in range(lo, hi + 1)])))
 
 
+def _letter_pairs(tokens: Column) -> Column:
+    """Adjacent pairs of letters of each token, as these scripts do not divide words; one letter stays."""
+    def pairs(t):
+        return F.when(F.length(t) < 2, F.array(t)).otherwise(
+            F.transform(F.sequence(F.lit(1), F.length(t) - 1), lambda i: F.substring(t, i, F.lit(2))))
+
+    return F.flatten(F.transform(tokens, pairs))
+
+
 def analyze(text: Column | str, analyzer) -> Column:
     """Tokens of ``text``, in order and with repetitions; null stays null."""
     text = F.col(text) if isinstance(text, str) else text
@@ -72,7 +81,8 @@ def analyze(text: Column | str, analyzer) -> Column:
         drop = [w.lower() for w in (*a.stop_words, *a.key_words)]
         if a.use_default_stop_words:
             drop += default_stop_words(a.language)
-        return F.filter(words(text), lambda t: ~t.isin(drop)) if drop else words(text)
+        found = _letter_pairs(words(text)) if a.language == "cjk" else words(text)
+        return F.filter(found, lambda t: ~t.isin(drop)) if drop else found
     if isinstance(a, S.CharNGram):
         return _grams(_not_empty(F.split(text, "")), a.lo, a.hi, "")
     if isinstance(a, S.TokenNGram):

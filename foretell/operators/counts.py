@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from foretell.operators.index import with_index
+
 BIN = 256.0  # width of the exponent bins of log_sum_exp; e^256 is far from overflow
 SCORE_DIGITS = 9  # scores closer than this are ties
 
@@ -51,17 +53,19 @@ def gain(n: Column, n_f: Column | None = None) -> Column:
 
 
 def best_first(score: str, size: str, h: Column, feature: str = "feature") -> list:
-    """Order of hits: score, then the better baseline by class size, then the name."""
+    """Ascending keys of hits: score, then the better baseline by class size, then the name."""
     s = F.col(size)
-    return [
-        F.round(F.col(score), SCORE_DIGITS).desc(),
-        F.when(h >= 2, -s).otherwise(s).desc(),
-        F.col(feature).asc(),
-    ]
+    return [-F.round(F.col(score), SCORE_DIGITS), F.when(h >= 2, s).otherwise(-s), F.col(feature)]
+
 
+def take_best(df: DataFrame, order: list, limit: int | None) -> DataFrame:
+    """The ``limit`` rows that come first by the ascending keys, with their rank.
 
-def take_best(df: DataFrame, order: list, limit: int) -> DataFrame:
-    """The ``limit`` best rows with their rank: partial top-n, then a window over those few."""
+    A partial top-n, then a window over those few; without a limit the rank is the position
+    in a range-partitioned order.
+    """
+    if limit is None:
+        return with_index(df, order, "_at").withColumn("rank", (F.col("_at") + 1).cast("int")).drop("_at")
     return df.orderBy(*order).limit(limit).withColumn("rank", F.row_number().over(Window.orderBy(*order)))
 
 

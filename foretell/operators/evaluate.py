@@ -32,12 +32,10 @@ def evaluate(df: DataFrame, test: dict, where: dict, target: str, key: str | Non
     """One row ``(accuracy, test_samples, train_samples)``.
 
     ``where`` takes values from the test row with ``{"$get": column}``; other values are
-    constants.  ``key`` identifies a row (the row position, if the split uses it).
+    constants.  Test rows with the same evidence and answer are asked once and counted, so
+    no key is needed; ``key`` is accepted for callers that have one.
     """
     train, held_out = split(df, test, order_by, tables)
-    key = key or (INDEX if INDEX in train.columns else None)
-    if key is None:
-        raise ValueError("evaluate needs a key column")
     held_out = bind(held_out, [target], tables)
     sources = {}
     for i, (path, value) in enumerate(where.items()):
@@ -49,11 +47,19 @@ def evaluate(df: DataFrame, test: dict, where: dict, target: str, key: str | Non
             held_out = held_out.withColumn(f"_const{i}", F.lit(value))
             sources[path] = f"_const{i}"
     asked = held_out.where(F.col(column_name(target)).isNotNull())
-    first = predict_batch(train, asked, key, sources, target, k=1, tables=tables, with_p=False)
-    actual = asked.select(key, classes(asked, target).alias("actual"))
-    hits = actual.join(first.select(key, "feature"), key, "left").agg(
-        F.count_if(F.array_contains("actual", F.col("feature"))).alias("hits"),
-        F.count("*").alias("test_samples"),
+    asked = bind(asked, list(sources.values()), tables)
+    same = list(dict.fromkeys([*map(column_name, sources.values()), column_name(target)]))
+    metadata = {c: asked.schema[c].metadata for c in same}
+    asked = asked.groupBy(*same).agg(F.count("*").alias("_times"))
+    for c, m in metadata.items():
+        asked = asked.withMetadata(c, m)
+    asked = asked.withColumn("_case", F.sha2(F.to_json(F.struct(*same)), 256))
+    first = predict_batch(train, asked, "_case", {p: column_name(c) for p, c in sources.items()}, target, k=1, tables=tables,
+                          with_p=False)
+    actual = asked.select("_case", "_times", classes(asked, column_name(target)).alias("actual"))
+    hits = actual.join(first.select("_case", "feature"), "_case", "left").agg(
+        F.coalesce(F.sum(F.when(F.array_contains("actual", F.col("feature")), F.col("_times"))), F.lit(0)).alias("hits"),
+        F.coalesce(F.sum("_times"), F.lit(0)).alias("test_samples"),
     )
     return hits.select(
         F.try_divide(F.col("hits").cast("double"), F.col("test_samples")).alias("accuracy"),

@@ -8,14 +8,12 @@ from pyspark.sql import functions as F
 from foretell.functions.predicates import INDEX
 
 SAMPLES_PER_BUCKET = 50
+ROWS_PER_BUCKET = 5_000_000  # rows that one task sorts, about
 
 
-def _bounds(keys: DataFrame, buckets: int) -> list:
+def _bounds(keys: DataFrame, rows: int, buckets: int) -> list:
     """Sorted bucket bounds from a random sample; its expected size depends on ``buckets`` alone."""
     wanted = buckets * SAMPLES_PER_BUCKET
-    rows = keys.count()
-    if rows < SAMPLES_PER_BUCKET:
-        return []
     sample = keys if rows <= wanted else keys.sample(wanted / rows, 42)
     step = F.greatest(F.floor(F.size("b") / buckets), F.lit(1))
     picked = (
@@ -51,13 +49,15 @@ def with_index(df: DataFrame, order_by: list, name: str = INDEX, buckets: int |
     plan, which keeps numbers and shifts consistent when a task is run again.
     """
     spark = df.sparkSession
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
     keys = df.select(*[c.alias(f"k{i}") for i, c in enumerate(order)])
-    bounds = _bounds(keys, buckets)
-    if not bounds:
-        at = Window.orderBy(*order)  # fewer than SAMPLES_PER_BUCKET rows
+    rows = keys.count()
+    if rows < SAMPLES_PER_BUCKET:
+        at = Window.orderBy(*order)
         return df.withColumn(name, F.row_number().over(at) - F.lit(1).cast("long"))
+    # ranges follow the number of rows, and are as many as the cluster works on at a time at least
+    buckets = buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_PER_BUCKET))
+    bounds = _bounds(keys, rows, buckets)
     key = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)])
     types = [f.dataType for f in keys.schema.fields]
     literal = F.array(

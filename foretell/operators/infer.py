@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import csv
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,8 +11,6 @@ from foretell.functions.analyzers import STOP_WORD_LANGUAGES, default_stop_words
 from foretell.operators.conform import is_null
 
 # ---- fixed values --------------------------------------------------------------------
-MAX_TYPE_SAMPLE = 100_000
-MAX_ANALYZER_SAMPLE = 10_000
 DELIMITERS = "-,;:|\t"
 WHOLE_NUMBER = r"^\s*[+-]?\d+\s*$"
 NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
@@ -31,10 +25,19 @@ SCRIPTS = {  # languages told by their letters; the others are told by their sto
     "arabic": r"[^\p{IsArabic}]",
 }
 LETTERS = r"[^\p{L}]"
+ALPHABETS = {  # letters of the languages told by stop words, besides a to z
+    "danish": "æøåéü", "dutch": "éëïöüèêó", "english": "éï", "finnish": "äöå", "french": "àâæçéèêëîïôœùûüÿ", "german": "äöüß",
+    "hungarian": "áéíóöőúüű", "italian": "àèéìíîòóùú", "norwegian": "æøåéòôèü", "portuguese": "áâãàçéêíóôõúü", "russian": "а-яё",
+    "spanish": "áéíñóúü", "swedish": "åäöéü", "turkish": "çğıöşüâîûi̇",
+}
+NEEDED = {"russian": "ыэё", "portuguese": "ãõç"}  # letters that a neighbour with the same alphabet does not use
 # --------------------------------------------------------------------------------------
 MIN_SCRIPT_SHARE = 0.5
 MIN_PERSIAN_SHARE = 0.01  # of Arabic letters; these four letters are not used in Arabic
 MIN_STOP_WORD_SHARE = 0.12
+MIN_LEAD = 1.15  # stop words of the best language by those of the next
+MAX_FOREIGN_SHARE = 0.01  # of letters that the language does not use
+MIN_NEEDED_SHARE = 0.005
 
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FIXED = {T.BooleanType: S.BOOLEAN, T.FloatType: S.DECIMAL, T.DoubleType: S.DECIMAL, T.DecimalType: S.DECIMAL}
@@ -42,10 +45,10 @@ _AS_STRING = (T.TimestampType, T.TimestampNTZType, T.DateType, T.DayTimeInterval
               T.BinaryType, T.NullType)
 
 
-def bounded_sample(df: DataFrame, size: int, seed: int = 7) -> DataFrame:
-    """At most ``size`` rows, drawn at random."""
+def sampled(df: DataFrame, size: int, seed: int = 7) -> DataFrame:
+    """About ``size`` rows, each drawn with the same chance; only where the caller asks for a sample."""
     rows = df.count()
-    return df if rows <= size else df.sample(min(1.0, 1.2 * size / rows), seed).limit(size)
+    return df if rows <= size else df.sample(size / rows, seed)
 
 
 def _int_or_string(low: Column, high: Column) -> Column:
@@ -92,36 +95,38 @@ def column_profile(df: DataFrame) -> DataFrame:
 
 
 def infer_types(df: DataFrame, sample: int | None = None) -> dict:
-    df = bounded_sample(df, sample) if sample else df
+    df = sampled(df, sample) if sample else df
     return {r["column"]: r["type"] for r in column_profile(df).collect()}  # one row per column
 
 
-def sniff(value: str) -> str | None:
-    """Delimiter of one value as the standard library sees it; a space comes last."""
-    for candidates in (DELIMITERS, " "):
-        try:
-            return csv.Sniffer().sniff(value, candidates).delimiter
-        except csv.Error:
-            pass
-    return None
-
+def delimiter_of(value: Column) -> Column:
+    """The delimiter that a value shows, a space if only that, or null.
 
-def delimiter_counts(df: DataFrame, column: str, max_samples: int | None = None) -> DataFrame:
+    Blanks next to a delimiter belong to it.  A delimiter counts if it occurs at least as
+    often as the other blanks; of several the most frequent, then the first in the list.
+    """
+    v = F.btrim(value, F.lit(" "))
+    counts = []
+    for d in DELIMITERS:
+        tight = F.regexp_replace(v, f" *[{d}] *", d.replace("\\", "\\\\"))
+        n = F.length(tight) - F.length(F.replace(tight, F.lit(d), F.lit("")))
+        counts.append(F.when((n > 0) & (n >= F.regexp_count(tight, F.lit(" +"))), n).otherwise(F.lit(0)))
+    most = F.greatest(*counts)
+    first = F.coalesce(*[F.when((n > 0) & (n == most), F.lit(d)) for d, n in zip(DELIMITERS, counts)])
+    return F.coalesce(first, F.when(F.contains(value, F.lit(" ")), F.lit(" ")))
+
+
+def delimiter_counts(df: DataFrame, column: str, sample: int | None = None) -> DataFrame:
     """``(delimiter, n)``: how many values show each delimiter (null: none)."""
     values = df.select(F.col(column).cast("string").alias("v")).where(F.col("v").isNotNull())
-    values = values.limit(max_samples) if max_samples else values
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame({"delimiter": batch["v"].map(sniff)})
+    values = sampled(values, sample) if sample else values
+    return values.groupBy(delimiter_of(F.col("v")).alias("delimiter")).agg(F.count("*").alias("n"))
 
-    return values.mapInPandas(run, "delimiter string").groupBy("delimiter").agg(F.count("*").alias("n"))
 
-
-def infer_delimiter(df: DataFrame, column: str, max_samples: int | None = MAX_ANALYZER_SAMPLE) -> str | None:
+def infer_delimiter(df: DataFrame, column: str, sample: int | None = None) -> str | None:
     """The most common delimiter; ties go to the first in character order."""
     best = (
-        delimiter_counts(df, column, max_samples)
+        delimiter_counts(df, column, sample)
         .orderBy(F.col("n").desc(), F.col("delimiter").asc_nulls_last()).limit(1).first()
     )
     return best["delimiter"] if best else None
@@ -156,41 +161,55 @@ def infer_language(df: DataFrame, column: str) -> str | None:
     for name in ("cjk", "greek", "armenian", "thai", "hindi"):
         if share[name] > MIN_SCRIPT_SHARE:
             return name
-    best = language_hits(df, column).orderBy(F.col("hits").desc(), "lang").limit(1).first()
-    if best is None or best["hits"] < MIN_STOP_WORD_SHARE * row["words"]:
+    best = language_hits(df, column).orderBy(F.col("hits").desc(), "lang").limit(2).collect()
+    if not best or best[0]["hits"] < MIN_STOP_WORD_SHARE * row["words"]:
+        return None
+    if len(best) > 1 and best[0]["hits"] < MIN_LEAD * best[1]["hits"]:
+        return None
+    lang = best[0]["lang"]
+    lower = F.regexp_replace(F.lower(c), LETTERS, "")
+    latin = "" if lang == "russian" else "a-z"
+    needed = NEEDED.get(lang, "")
+    letters = df.agg(
+        F.sum(F.length(F.regexp_replace(lower, f"[{latin}{ALPHABETS[lang]}]", ""))).alias("foreign"),
+        F.sum(F.length(lower) - F.length(F.regexp_replace(lower, f"[{needed or ALPHABETS[lang]}]", ""))).alias("needed"),
+    ).first()
+    if letters["foreign"] > MAX_FOREIGN_SHARE * row["letters"]:
+        return None
+    if needed and letters["needed"] < MIN_NEEDED_SHARE * row["letters"]:
         return None
-    return best["lang"]
+    return lang
 
 
-def infer_analyzer(df: DataFrame, column: str, max_samples: int | None = MAX_ANALYZER_SAMPLE) -> S.Analyzer | None:
-    delimiter = infer_delimiter(df, column, max_samples)
-    if delimiter is None or delimiter.isalnum():
+def infer_analyzer(df: DataFrame, column: str, sample: int | None = None) -> S.Analyzer | None:
+    """The delimiter that most values show; where that is a space, the language, else white space."""
+    values = df.select(column).where(F.col(column).isNotNull())
+    values = sampled(values, sample) if sample else values
+    delimiter = infer_delimiter(values, column)
+    if delimiter is None:
         return None
     if delimiter != " ":
         return S.Delimiter(delimiter)
-    values = df.where(F.col(column).isNotNull())
-    language = infer_language(values.limit(max_samples) if max_samples else values, column)
-    return S.Alias(language) if language else S.Alias("whitespace")
+    return S.Alias(infer_language(values, column) or "whitespace")
 
 
-def infer_column(df: DataFrame, column: str, max_samples: int | None = MAX_ANALYZER_SAMPLE) -> S.Column:
-    return infer_schema(df.select(column), max_analyzer_sample=max_samples).columns[column]
+def infer_column(df: DataFrame, column: str, sample: int | None = None) -> S.Column:
+    return infer_schema(df.select(column), analyzer_sample=sample).columns[column]
 
 
-def infer_schema(df: DataFrame, max_sample: int | None = None,
-                 max_analyzer_sample: int | None = MAX_ANALYZER_SAMPLE) -> S.Table:
+def infer_schema(df: DataFrame, sample: int | None = None, analyzer_sample: int | None = None) -> S.Table:
     """Types and nulls from one aggregation, then one pass per text column for its analyzer.
 
-    ``max_sample`` bounds the rows that decide types (nulls always come from all rows);
-    ``max_analyzer_sample`` the values that decide analyzers.
+    All rows decide, unless the caller asks for a sample: ``sample`` rows for the types
+    (nulls always come from all rows), ``analyzer_sample`` values for the analyzers.
     """
     profile = {r["column"]: r for r in column_profile(df).collect()}
-    types = infer_types(df, max_sample) if max_sample else {n: r["type"] for n, r in profile.items()}
+    types = infer_types(df, sample) if sample else {n: r["type"] for n, r in profile.items()}
     columns = {}
     for name in df.columns:
         kind, found = types[name], None
         if kind == S.TEXT:
-            found = infer_analyzer(df, name, max_analyzer_sample)
+            found = infer_analyzer(df, name, analyzer_sample)
             kind = S.TEXT if found else S.STRING
         columns[name] = S.Column(kind, profile[name]["nullable"], analyzer=found)
     return S.Table(columns)

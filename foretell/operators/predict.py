@@ -19,10 +19,13 @@ def _totals(counted: DataFrame, name: str, n: str):
     return counted.agg(F.map_from_entries(F.collect_list(F.struct(name, n)))).scalar()
 
 
-def predict(df: DataFrame, where: dict | None, target: str, limit: int = 10, tables: dict | None = None,
-            explain: bool = False) -> DataFrame:
+def predict(df: DataFrame, where: dict | None, target: str, limit: int | None = 10, tables: dict | None = None,
+            explain: bool = False, among: DataFrame | None = None) -> DataFrame:
     """Ranked answers ``(field, feature, p, rank[, why])`` for ``target``.
 
+    With ``among`` (a column ``feature``) only those answers are ranked; probabilities stay
+    those among all answers.
+
     Each row is reduced to its answer and to the features it shares with the query before
     anything is shuffled; the counts per (answer, feature) are combined map-side.
     """
@@ -39,6 +42,10 @@ def predict(df: DataFrame, where: dict | None, target: str, limit: int = 10, tab
         .groupBy("feature", "f")
         .agg(F.count("*").alias("n"))
     )
+    def best(scored):
+        return take_best(scored if among is None else scored.join(among, "feature", "left_semi"),
+                         best_first("score", "size", h), limit)
+
     exclusive = S.analyzer_of(bound, column_name(target)) is None
     seen = F.col("f") != ROW
     size = F.max(F.when(~seen, F.col("n")))
@@ -49,7 +56,7 @@ def predict(df: DataFrame, where: dict | None, target: str, limit: int = 10, tab
             size.alias("size"), F.sum(F.when(seen, gain(F.col("n"))).otherwise(0.0)).alias("gain"), *extra
         )
         scored = counted.withColumn("score", baseline(F.col("size"), h) + F.col("gain"))
-        ranked = take_best(scored, best_first("score", "size", h), limit)
+        ranked = best(scored)
         ranked = ranked.withColumn("p", F.exp(F.col("score") - log_sum_exp(scored, [], F.col("score")).scalar()))
         n_classes = scored.agg(F.count("*")).scalar() if explain else None
         totals = _totals(pairs.groupBy("f").agg(F.sum("n").alias("n")), "f", "n") if explain else None
@@ -69,7 +76,7 @@ def predict(df: DataFrame, where: dict | None, target: str, limit: int = 10, tab
         )
         n_rows = F.try_element_at("totals", F.lit(ROW))
         scored = counted.withColumn("score", baseline(F.col("size"), h, n_rows) + F.col("gain") - absent)
-        ranked = take_best(scored, best_first("score", "size", h), limit)
+        ranked = best(scored)
         ranked = ranked.withColumn("p", 1.0 / (1.0 + F.exp(-F.col("score"))))
         n_classes = F.lit(2)
 

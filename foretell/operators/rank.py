@@ -16,26 +16,35 @@ from foretell.operators.predict import ROW, predict
 def attach_entity(best: DataFrame, df: DataFrame, link_column: str, tables: dict | None) -> DataFrame:
     """The linked rows of the ranked keys in ``feature``; without a link, the keys themselves.
 
-    ``best`` holds at most ``limit`` rows, so it is the side that is broadcast.
+    The keys are read in the type of the linked column, so that they reach its scan.
     """
     link = S.link_of(df, link_column)
     if link is None:
         return best
     entity = (tables or {})[link.table]
-    keys = best.withColumnRenamed("feature", "_key")
-    return entity.join(F.broadcast(keys), entity[link.column].cast("string") == keys["_key"]).drop("_key")
+    keys = best.withColumn("_key", F.col("feature").cast(entity.schema[link.column].dataType)).drop("feature")
+    return entity.join(keys, entity[link.column] == keys["_key"]).drop("_key")
 
 
-def match(df: DataFrame, where: dict | None, link_column: str, limit: int = 10,
-          tables: dict | None = None) -> DataFrame:
-    """Rows of the linked table, most probable first: ``entity columns, p, rank``."""
-    best = predict(df, where, link_column, limit, tables).drop("field")
+def existing_keys(df: DataFrame, link_column: str, tables: dict | None) -> DataFrame | None:
+    """The keys of the linked table as ``feature``; a hit that links to no row is no hit."""
+    link = S.link_of(df, link_column)
+    if link is None:
+        return None
+    return (tables or {})[link.table].select(F.col(link.column).cast("string").alias("feature"))
+
+
+def match(df: DataFrame, where: dict | None, link_column: str, limit: int | None = 10,
+          tables: dict | None = None, explain: bool = False) -> DataFrame:
+    """Rows of the linked table, most probable first: ``entity columns, p, rank[, why]``."""
+    among = existing_keys(df, link_column, tables)
+    best = predict(df, where, link_column, limit, tables, explain, among).drop("field")
     return attach_entity(best, df, link_column, tables)
 
 
-def recommend(df: DataFrame, candidate: str, goal: dict, where: dict | None = None, limit: int = 10,
-              tables: dict | None = None) -> DataFrame:
-    """Candidates by the probability of ``goal``: ``entity columns or feature, p, rank``.
+def recommend(df: DataFrame, candidate: str, goal: dict, where: dict | None = None,
+              limit: int | None = 10, tables: dict | None = None, explain: bool = False) -> DataFrame:
+    """Candidates by the probability of ``goal``: ``entity columns or feature, p, rank[, why]``.
 
     Without ``where`` this is the smoothed rate of the goal among the rows of a candidate;
     with it, a yes/no model of the goal with the candidate and ``where`` as evidence.
@@ -45,6 +54,8 @@ def recommend(df: DataFrame, candidate: str, goal: dict, where: dict | None = No
         "_goal", F.coalesce(condition(bound, goal), F.lit(False))
     )
     x = F.col(column_name(candidate)).cast("string").alias("feature")
+    plain = "." not in candidate
+    among = existing_keys(bound, column_name(candidate), tables) if plain else None
     counts = rows.groupBy(x).agg(F.count("*").alias("n"), F.count_if("_goal").alias("good"))
     if where:
         evidence = query_evidence(bound, where)
@@ -64,8 +75,20 @@ def recommend(df: DataFrame, candidate: str, goal: dict, where: dict | None = No
         for name in evidence.names:
             f = F.try_element_at("t", F.lit(name))
             score = score + odds(F.coalesce(f["good"], F.lit(0)), F.coalesce(f["bad"], F.lit(0)))
-        scored = counts.select("feature", (1.0 / (1.0 + F.exp(-score))).alias("p"))
+        lifts = [F.struct(F.lit(name).alias("feature"), F.exp(odds(
+            F.coalesce(F.try_element_at("t", F.lit(name))["good"], F.lit(0)),
+            F.coalesce(F.try_element_at("t", F.lit(name))["bad"], F.lit(0)))).alias("lift")) for name in evidence.names]
+        scored = counts.select("feature", "n", "good", (1.0 / (1.0 + F.exp(-score))).alias("p"), F.array(*lifts).alias("lifts"))
     else:
-        scored = counts.select("feature", ((F.col("good") + 1.0) / (F.col("n") + 2.0)).alias("p"))
-    best = take_best(scored, [F.round("p", SCORE_DIGITS).desc(), F.col("feature").asc()], limit)
-    return attach_entity(best, bound, column_name(candidate), tables) if "." not in candidate else best
+        scored = counts.select("feature", "n", "good", ((F.col("good") + 1.0) / (F.col("n") + 2.0)).alias("p"),
+                               F.array().cast("array<struct<feature:string,lift:double>>").alias("lifts"))
+    kept = scored if among is None else scored.join(among, "feature", "left_semi")
+    best = take_best(kept, [-F.round("p", SCORE_DIGITS), F.col("feature")], limit)
+    if explain:  # the goal's rate, the candidate's rate against it, the odds of the rest of the evidence
+        rate = rows.agg((F.count_if("_goal") + 1.0) / (F.count("*") + 2.0)).scalar()
+        own = (F.col("good") + 1.0) / (F.col("n") + 2.0) / rate
+        why = F.concat(F.array(F.struct(F.lit("prior").alias("feature"), rate.alias("lift")),
+                               F.struct(F.concat(F.lit(f"{candidate}="), "feature").alias("feature"), own.alias("lift"))), "lifts")
+        best = best.withColumn("why", why)
+    best = best.select("feature", "p", "rank", *(["why"] if explain else []))
+    return attach_entity(best, bound, column_name(candidate), tables) if plain else best

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from foretell.functions.features import field_features
 from foretell.functions.predicates import column_name, condition, paths
-from foretell.operators.counts import SCORE_DIGITS
+from foretell.operators.counts import SCORE_DIGITS, take_best
 from foretell.operators.links import bind
 from foretell import schema as S
 
@@ -31,7 +31,10 @@ def _mutual_information(n, f, cond, both):
 
 def relate(df: DataFrame, where: dict | None, field: str, limit: int | None = 10,
            tables: dict | None = None) -> DataFrame:
-    """``(feature, fs, ps, lift, mi)``, strongest relation first; one aggregation over features."""
+    """``(feature, fs, ps, lift, mi, rank)``, strongest relation first; one aggregation over features.
+
+    Without a limit every feature is returned, and no rank, which would sort them all.
+    """
     bound = bind(df, [*paths(where), field], tables)
     name = column_name(field)
     held = F.coalesce(condition(bound, where), F.lit(False)).alias("c")
@@ -57,4 +60,4 @@ def relate(df: DataFrame, where: dict | None, field: str, limit: int | None = 10
     )
     if limit is None:
         return found
-    return found.orderBy(F.round("mi", SCORE_DIGITS).desc(), F.col("feature").asc()).limit(limit)
+    return take_best(found, [-F.round("mi", SCORE_DIGITS), F.col("feature")], limit)

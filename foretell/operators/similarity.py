@@ -57,8 +57,9 @@ def similarity_scores(df: DataFrame, example: dict, key: str, tables: dict | Non
     )
 
 
-def similarity(df: DataFrame, example: dict, key: str, limit: int = 10, tables: dict | None = None) -> DataFrame:
+def similarity(df: DataFrame, example: dict, key: str, limit: int | None = 10, tables: dict | None = None) -> DataFrame:
     """The rows most like ``example`` with ``score`` and ``rank``."""
     scores = similarity_scores(df, example, key, tables)
-    best = take_best(scores, [F.round("score", SCORE_DIGITS).desc(), F.col(key).asc()], limit)
-    return df.join(F.broadcast(best), key)  # at most ``limit`` rows are broadcast
+    best = take_best(scores, [-F.round("score", SCORE_DIGITS), F.col(key)], limit)
+    # at most ``limit`` rows are broadcast; without a limit Spark chooses the join
+    return df.join(best if limit is None else F.broadcast(best), key)

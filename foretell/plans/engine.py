@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from foretell import schema as S
-from foretell.functions.predicates import condition, paths
+from foretell.functions.predicates import column_name, condition, paths
 from foretell.operators import evaluate as ev
 from foretell.operators import rank, search as se
 from foretell.operators.conform import apply_functions, conform
@@ -100,8 +100,15 @@ class Engine:
         path = fresh_path(self.spark, name)
         files.write_parquet(df, path)
         target = self._catalog_name(name)
-        self.spark.sql(f"DROP TABLE IF EXISTS {target}")
-        self.spark.catalog.createTable(target, path=path, source="parquet")
+        exists = self.spark.catalog.tableExists(target)
+        if exists and [(f.name, f.dataType, f.metadata) for f in self.spark.table(target).schema.fields] == [
+                (f.name, f.dataType, f.metadata) for f in df.schema.fields]:
+            self.spark.sql(f"ALTER TABLE {target} SET LOCATION '{path}'")  # the name is never gone
+            self.spark.catalog.refreshTable(target)
+        else:
+            if exists:
+                self.spark.sql(f"DROP TABLE {target}")
+            self.spark.catalog.createTable(target, path=path, source="parquet")
         self._frames.pop(name, None)
         return self.spark.table(target)
 
@@ -171,18 +178,26 @@ class Engine:
             raise ValueError(f"unknown query properties {sorted(unknown)}")
         return self.table(query["from"])
 
-    @staticmethod
-    def _finish(result: DataFrame, query: dict) -> DataFrame:
-        """``offset`` on ranked hits and the ``select`` list with its pseudo-columns."""
+    def _finish(self, result: DataFrame, query: dict) -> DataFrame:
+        """``offset`` on ranked hits and the ``select`` list with its pseudo-columns and linked fields."""
         if query.get("offset") and "rank" in result.columns:
             result = result.where(F.col("rank") > query["offset"])
         if query.get("select"):
-            result = result.select(*[RESULT_FIELDS.get(f, f.replace(".", "__")) for f in query["select"]])
+            linked = [f for f in query["select"] if "." in f]
+            result = bind(result, linked, self.tables) if linked else result
+            fields = RESULT_FIELDS if "score" in result.columns else {**RESULT_FIELDS, "$score": "p"}
+            result = result.select(*[fields.get(f, column_name(f)) for f in query["select"]])
         return result
 
     @staticmethod
-    def _upto(query: dict) -> int:
-        return query.get("limit", 10) + query.get("offset", 0)
+    def _upto(query: dict) -> int | None:
+        """Hits to rank; a null limit asks for all."""
+        limit = query.get("limit", 10)
+        return None if limit is None else limit + query.get("offset", 0)
+
+    @staticmethod
+    def _explain(query: dict) -> bool:
+        return "$why" in (query.get("select") or [])
 
     def search(self, query: dict) -> DataFrame:
         df = self._source(query, {"orderBy"})
@@ -194,18 +209,18 @@ class Engine:
 
     def predict(self, query: dict) -> DataFrame:
         df = self._source(query, {"predict"})
-        explain = "$why" in (query.get("select") or [])
-        return self._finish(
-            predict(df, query.get("where"), query["predict"], self._upto(query), self.tables, explain), query)
+        return self._finish(predict(df, query.get("where"), query["predict"], self._upto(query), self.tables,
+                                    self._explain(query)), query)
 
     def match(self, query: dict) -> DataFrame:
         df = self._source(query, {"match"})
-        return self._finish(rank.match(df, query.get("where"), query["match"], self._upto(query), self.tables), query)
+        return self._finish(rank.match(df, query.get("where"), query["match"], self._upto(query), self.tables,
+                                       self._explain(query)), query)
 
     def recommend(self, query: dict) -> DataFrame:
         df = self._source(query, {"recommend", "goal"})
         return self._finish(rank.recommend(df, query["recommend"], query["goal"], query.get("where"),
-                                           self._upto(query), self.tables), query)
+                                           self._upto(query), self.tables, self._explain(query)), query)
 
     def similarity(self, query: dict, key: str) -> DataFrame:
         df = self._source(query, {"similarity"})
@@ -213,7 +228,10 @@ class Engine:
 
     def relate(self, query: dict) -> DataFrame:
         df = self._source(query, {"relate"})
-        return self._finish(relate(df, query.get("where"), query["relate"], self._upto(query), self.tables), query)
+        found = relate(df, query.get("where"), query["relate"], self._upto(query), self.tables)
+        if "rank" not in found.columns and query.get("offset"):
+            found = found.orderBy(F.desc("mi"), "feature").offset(query["offset"])
+        return self._finish(found, query)
 
     def evaluate(self, query: dict, key: str | None = None, order_by: list | None = None) -> DataFrame:
         inner = query["evaluate"]
@@ -224,12 +242,25 @@ class Engine:
     def query(self, query: dict) -> DataFrame:
         """Generic query: with ``get`` and ``orderBy: $p`` a prediction of ``get``, else a search."""
         df = self._source(query, {"get", "orderBy"})
-        if query.get("get") and query.get("orderBy") == "$p":
-            return self._finish(predict(df, query.get("where"), query["get"], self._upto(query), self.tables), query)
+        if query.get("get") and query.get("orderBy") in ("$p", {"$desc": "$p"}):
+            return self._finish(predict(df, query.get("where"), query["get"], self._upto(query), self.tables,
+                                        self._explain(query)), query)
         fields = query.get("select") or ([query["get"]] if query.get("get") else None)
         return se.search(df, query.get("where"), fields, query.get("orderBy"), query.get("offset", 0),
                          query.get("limit", 10), self.tables)
 
+    def quick_predict(self, name: str, target: str, order_by: list) -> tuple:
+        """``(query, result)``: an example query from the first row of a table, and its hits."""
+        query, _ = ev.quick_queries(self.table(name), target, order_by, self.tables)
+        query = {"from": name, **query}
+        return query, self.predict(query)
+
+    def quick_evaluate(self, name: str, target: str, order_by: list) -> tuple:
+        """``(query, result)``: an example evaluation of a table, every tenth row held out."""
+        _, query = ev.quick_queries(self.table(name), target, order_by, self.tables)
+        query = {**query, "evaluate": {"from": name, **query["evaluate"]}}
+        return query, self.evaluate(query, order_by=order_by)
+
     def all_entries(self, name: str, fields: list | None = None) -> DataFrame:
         df = self.table(name)
         return se.select(df, fields, self.tables) if fields else df

@@ -8,10 +8,12 @@ from __future__ import annotations
 
 from pyspark import SparkContext
 
+
 from foretell.functions.analyzers import STOP_WORD_LANGUAGES, default_stop_words
+from foretell.operators.infer import DELIMITERS
 
 WS = r"list_filter(string_split_regex({0}, '\s+'), lambda t: t <> '')"
-STD = r"regexp_extract_all(lower({0}), '[\p{{L}}\p{{N}}]+')"
+STD = r"regexp_extract_all(lower({0}), '[\p{{L}}\p{{N}}\p{{M}}]+')"
 
 
 def words(column: str) -> str:
@@ -339,6 +341,18 @@ def oracle_sql() -> dict[str, str]:
     if SparkContext._active_spark_context is not None:  # the lists come from the running session
         o |= _with_stop_words()
 
+    shown = "(SELECT btrim_v.v, " + ", ".join(
+        f"regexp_replace(trim(v), ' *[{d}] *', '{d}', 'g') AS t{i}" for i, d in enumerate(DELIMITERS)) + " FROM btrim_v)"
+    shown = shown.replace("btrim_v.v", "v").replace("btrim_v", "(SELECT o_orderpriority AS v FROM orders WHERE o_orderpriority IS NOT NULL)")
+    counted = "(SELECT v, " + ", ".join(
+        f"CASE WHEN length(t{i}) - length(replace(t{i}, '{d}', '')) > 0 AND length(t{i}) - length(replace(t{i}, '{d}', '')) >= "
+        f"len(regexp_extract_all(t{i}, ' +')) THEN length(t{i}) - length(replace(t{i}, '{d}', '')) ELSE 0 END AS n{i}"
+        for i, d in enumerate(DELIMITERS)) + f" FROM {shown})"
+    most = "greatest(" + ", ".join(f"n{i}" for i in range(len(DELIMITERS))) + ")"
+    o["infer_delimiter"] = (
+        "SELECT CASE " + " ".join(f"WHEN n{i} > 0 AND n{i} = {most} THEN '{d}'" for i, d in enumerate(DELIMITERS))
+        + f" WHEN contains(v, ' ') THEN ' ' END AS delimiter, count(*) AS n FROM {counted} GROUP BY 1")
+
     # conform
     o["conform_int"] = ("SELECT l_orderkey, CAST(trunc(-l_extendedprice) AS INTEGER) AS negated, "
                         "CAST(trunc(l_quantity) AS INTEGER) AS text FROM lineitem")
@@ -415,6 +429,16 @@ FROM (SELECT c, unnest(f) AS feature FROM ({PART_TRAIN})) GROUP BY feature, c"""
     o["match_link"] = predict_sql(
         f"SELECT CAST(o_custkey AS VARCHAR) AS c, {order_features} AS f FROM orders", order_evidence, "") + (
         "SELECT customer.*, round(p, 9) AS p, rank FROM answer JOIN customer ON c = CAST(c_custkey AS VARCHAR)")
+    listed_customers = "(SELECT * FROM customer WHERE c_custkey % 3 <> 0)"
+    o["match_dangling"] = predict_sql(
+        f"SELECT CAST(o_custkey AS VARCHAR) AS c, {order_features} AS f FROM orders", order_evidence, "", 1_000_000_000) + (
+        f", kept AS (SELECT *, row_number() OVER (ORDER BY rank) AS place FROM answer JOIN {listed_customers} "
+        "ON c = CAST(c_custkey AS VARCHAR)) SELECT c_custkey, round(p, 9) AS score, c_nationkey FROM kept WHERE place BETWEEN 2 AND 5")
+    o["recommend_dangling"] = recommend_rate_sql("SELECT o_custkey AS x, o_orderstatus = 'F' AS goal FROM orders", 1_000_000_000) + (
+        f", kept AS (SELECT * FROM answer JOIN {listed_customers} ON x = c_custkey QUALIFY row_number() OVER (ORDER BY rank) <= 5), "
+        "rate AS (SELECT (count(*) FILTER (o_orderstatus = 'F') + 1.0E0) / (count(*) + 2.0E0) AS rate FROM orders WHERE o_custkey IS NOT NULL) "
+        "SELECT c_custkey, round(p, 6) AS p, position, round(CASE position WHEN 0 THEN rate ELSE p / rate END, 6) AS lift "
+        "FROM kept CROSS JOIN rate CROSS JOIN (SELECT CAST(unnest([0, 1]) AS INTEGER) AS position)")
     o["match_value"] = predict_sql(
         "SELECT CAST(user_id AS VARCHAR) AS c, CASE WHEN event_type = 'click' THEN ['a'] ELSE CAST([] AS VARCHAR[]) END "
         "|| CASE WHEN value >= 50 THEN ['b'] ELSE CAST([] AS VARCHAR[]) END AS f FROM events", ["a", "b"], "") + (
@@ -441,6 +465,10 @@ SELECT feature, round(p, 6) AS p, CAST(row_number() OVER (ORDER BY round(p, 9) D
 
     o["relate_text"] = relate_sql(
         f"SELECT p_type = 'PROMO' AS cond, {tokens('p_name', WS)} AS f FROM part", 10)
+    related = relate_sql(f"SELECT p_type = 'PROMO' AS cond, {tokens('p_name', WS)} AS f FROM part", None)
+    o["relate_page"] = related[: related.index("SELECT feature, n, f")] + (
+        "SELECT feature, CAST(row_number() OVER (ORDER BY round(mi, 9) DESC, feature) AS INTEGER) AS rank, round(mi, 9) AS mi "
+        "FROM m QUALIFY rank BETWEEN 3 AND 6")
     o["relate_exists"] = relate_sql(
         f"SELECT status IS NOT NULL AS cond, {value('o_orderpriority')} AS f FROM {NULLED}", None)
     o["relate_documents"] = relate_sql(f"SELECT lang = 'fr' AS cond, {text_features} AS f FROM documents", None)
@@ -456,6 +484,9 @@ SELECT feature, round(p, 6) AS p, CAST(row_number() OVER (ORDER BY round(p, 9) D
     o["generic_query"] = predict_sql(
         f"SELECT p_brand AS c, {features(tokens('p_name', WS), value('p_type'))} AS f FROM part",
         ["p_type=PROMO", "p_name:hot"], "", 12) + out.format("p_brand")
+    o["generic_query_desc"] = predict_sql(
+        f"SELECT p_brand AS c, {features(tokens('p_name', WS), value('p_type'))} AS f FROM part",
+        ["p_type=PROMO", "p_name:hot"], "", 1_000_000_000) + out.format("p_brand")
     o["generic_search"] = (f"SELECT p_partkey, p_name FROM part WHERE list_contains({WS.format('p_name')}, 'hot') "
                            "ORDER BY p_retailprice, p_partkey LIMIT 15")
 
@@ -464,6 +495,16 @@ SELECT feature, round(p, 6) AS p, CAST(row_number() OVER (ORDER BY round(p, 9) D
         batch_sql(f"{PART_TRAIN} WHERE NOT ({held})", f"{part_asked} WHERE {held}", 1),
         f"SELECT p_partkey AS qid, [p_type] AS cs FROM part WHERE {held}",
         f"SELECT count(*) FROM part WHERE NOT ({held})")
+    o["evaluate_lines"] = (
+        "WITH t AS (SELECT l_linestatus, l_tax, l_returnflag AS c, l_linenumber = 2 AS held FROM lineitem), "
+        "cls AS (SELECT c, count(*) AS size FROM t WHERE NOT held GROUP BY c), tot AS (SELECT count(*) AS k, sum(size) AS n FROM cls), "
+        "q AS (SELECT DISTINCT l_linestatus AS a, l_tax AS b FROM t WHERE held), "
+        "s AS (SELECT a, b, cls.c, size, ln((size + 1.0E0) / (n + k)) "
+        "+ ln(((SELECT count(*) FROM t WHERE NOT held AND t.c = cls.c AND l_linestatus = a) + 1.0E0) / (size + 2.0E0)) "
+        "+ ln(((SELECT count(*) FROM t WHERE NOT held AND t.c = cls.c AND l_tax = b) + 1.0E0) / (size + 2.0E0)) AS s FROM q CROSS JOIN cls CROSS JOIN tot), "
+        "w AS (SELECT a, b, c FROM s QUALIFY row_number() OVER (PARTITION BY a, b ORDER BY round(s, 9) DESC, -size DESC, c) = 1) "
+        "SELECT round(count(*) FILTER (t.c = w.c) / CAST(count(*) AS DOUBLE), 6) AS accuracy, count(*) AS test_samples, "
+        "(SELECT count(*) FROM t WHERE NOT held) AS train_samples FROM t JOIN w ON a = l_linestatus AND b = l_tax WHERE held")
     docs = ("(SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS i FROM documents)")
     o["evaluate_documents"] = evaluate_sql(
         batch_sql(f"SELECT lang AS c, {text_features} AS f FROM {docs} WHERE i % 4 <> 0",

@@ -50,7 +50,7 @@ def query(f):
 
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
     df = spark.read.parquet(f"{folder}/{name}.parquet")
-    return S.attach(files.spread(df) if name in ("documents", "part", "events") else df, SCHEMAS.get(name, {}))
+    return S.attach(df, SCHEMAS.get(name, {}))
 
 
 def engine(spark: SparkSession, folder: str, *names: str) -> Engine:
@@ -535,6 +535,29 @@ def match_link(spark, folder):
     return rounded(e.match({"from": "orders", "where": where, "match": "o_custkey"}), "p", digits=9)
 
 
+def _some_customers(spark, folder):
+    """Orders linked to a customer table that lacks every third of their customers."""
+    e = engine(spark, folder, "orders")
+    e.register("customer", load(spark, folder, "customer").where("c_custkey % 3 <> 0"))
+    return e
+
+
+@query
+def match_dangling(spark, folder):
+    where = {"o_orderpriority": "1-URGENT", "o_orderstatus": "F"}
+    found = _some_customers(spark, folder).match(
+        {"from": "orders", "where": where, "match": "o_custkey", "limit": 4, "offset": 1, "select": ["c_custkey", "$score", "c_nationkey"]})
+    return rounded(found.withColumnRenamed("p", "score"), "score", digits=9)
+
+
+@query
+def recommend_dangling(spark, folder):
+    found = _some_customers(spark, folder).recommend(
+        {"from": "orders", "recommend": "o_custkey", "goal": {"o_orderstatus": "F"}, "limit": 5, "select": ["c_custkey", "$p", "$why"]})
+    why = found.select("c_custkey", "p", F.posexplode("why").alias("position", "w"))
+    return rounded(why.select("c_custkey", "p", "position", F.col("w.lift").alias("lift")), "p", "lift")
+
+
 @query
 def match_value(spark, folder):
     where = {"event_type": "click", "value": {"$gte": 50.0}}
@@ -571,6 +594,13 @@ def relate_text(spark, folder):
     return _flat_relations(relate(load(spark, folder, "part"), {"p_type": "PROMO"}, "p_name", 10))
 
 
+@query
+def relate_page(spark, folder):
+    e = engine(spark, folder, "part")
+    found = e.relate({"from": "part", "where": {"p_type": "PROMO"}, "relate": "p_name", "offset": 2, "limit": 4})
+    return rounded(found.select("feature", "rank", "mi"), "mi", digits=9)
+
+
 @query
 def relate_exists(spark, folder):
     orders = _with_nulls(spark, folder)
@@ -602,6 +632,13 @@ def generic_query(spark, folder):
                             "orderBy": "$p", "limit": 12}), "p")
 
 
+@query
+def generic_query_desc(spark, folder):
+    e = engine(spark, folder, "part")
+    return rounded(e.query({"from": "part", "where": {"p_type": "PROMO", "p_name": "hot"}, "get": "p_brand",
+                            "orderBy": {"$desc": "$p"}, "limit": None}), "p")
+
+
 @query
 def generic_search(spark, folder):
     e = engine(spark, folder, "part")
@@ -619,6 +656,17 @@ def evaluate_mod(spark, folder):
     }, key="p_partkey"), "accuracy")
 
 
+@query
+def evaluate_lines(spark, folder):
+    """Test rows without a unique key."""
+    e = engine(spark, folder, "lineitem")
+    return rounded(e.evaluate({
+        "test": {"l_linenumber": 2},
+        "evaluate": {"from": "lineitem", "where": {"l_linestatus": {"$get": "l_linestatus"}, "l_tax": {"$get": "l_tax"}},
+                     "predict": "l_returnflag"},
+    }, key="l_orderkey"), "accuracy")
+
+
 @query
 def evaluate_documents(spark, folder):
     return rounded(ev.evaluate(load(spark, folder, "documents"), {"$index": {"$mod": [4, 0]}},
@@ -639,7 +687,8 @@ def quick_predict(spark, folder):
 
 @query
 def quick_evaluate(spark, folder):
-    return rounded(ev.quick_evaluate(load(spark, folder, "part"), "p_type", ["p_partkey"]), "accuracy")
+    _, found = engine(spark, folder, "part").quick_evaluate("part", "p_type", ["p_partkey"])
+    return rounded(found, "accuracy")
 
 
 @query

@@ -83,16 +83,6 @@ def read_sql(spark: SparkSession, url: str, query: str, partition: tuple | None
     return reader.options(**options).load()
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows dealt out to all cores if the input has fewer splits than there are cores.
-
-    Worth it before CPU-bound work, such as splitting long texts, on a small input; an
-    input with enough splits is returned as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 READERS = {"csv": read_csv, "json": read_json, "ndjson": read_ndjson, "parquet": read_parquet}
 
 

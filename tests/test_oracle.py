@@ -12,16 +12,17 @@ import __spark_entry__ as entry
 import oracle
 
 FOLDER = "/root/testdata/sf0.001"
+LLM = {q for q in entry.queries() if q.startswith("op") and q[2].isdigit() or q == "pipeline"}  # with tests of their own
 SOME = ["expand_links", "infer_nullability", "predict_linked", "relate_documents", "evaluate_documents", "stream_ingest"]
 
 
 def test_every_query_has_sql_or_is_known_to_have_none():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"infer_schema", "infer_delimiter"}
+    assert set(entry.queries()) - set(entry.oracle_sql()) - LLM == {"infer_schema"}
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
-@pytest.mark.parametrize("name", list(entry.queries()) if os.environ.get("FORETELL_ALL") else SOME)
+@pytest.mark.parametrize("name", [q for q in entry.queries() if q not in LLM] if os.environ.get("FORETELL_ALL") else SOME)
 def test_query(spark, name):
     con = oracle.connect(FOLDER)
     assert oracle.compare(spark, con, FOLDER, name, entry.queries()[name], entry.oracle_sql().get(name)) is None

@@ -13,11 +13,10 @@ from foretell.operators import infer as inf
 from foretell.sources import files
 from foretell.sources.convert import convert
 
-NAMES = ["Smith, Jones, and Partners Ltd.", 'Ann "The Fox" Lee', "Miller & Sons", "Brown's Garage"]
-NOTES = ["Pays early", None, "Good to work with\nand always in cash.", None]
-AMOUNTS = [120.5, 77.25, 0.0, 2344.0]
-HEADER = ["note", "amount", "id", "name"]
-ROWS = [(NOTES[i], AMOUNTS[i], i + 1, NAMES[i]) for i in range(4)]
+HEADER = ["id", "part", "price", "remark"]
+ROWS = [  # a part list: separators, quotes and a line break inside of values, two nulls
+    (1, 'bolt, 5"', 0.25, None), (2, "nut; brass | 10", 12.0, "ships in\ntwo weeks"), (3, "washer's ring", 0.0, None), (4, "#4 screw", 99.5, "last one"),
+]
 
 
 def csv_text(sep=",", decimal=".", extra=""):
@@ -33,9 +32,9 @@ def by_id(df):
     return [tuple(r) for r in df.select(*HEADER).orderBy("id").collect()]
 
 
-INVOICE = S.Table.from_json({"type": "table", "columns": {
-    "note": {"type": "Text", "nullable": True, "analyzer": "en"}, "amount": {"type": "Decimal", "nullable": False},
-    "id": {"type": "Int", "nullable": False}, "name": {"type": "Text", "nullable": False, "analyzer": "en"}}})
+PARTS = S.Table.from_json({"type": "table", "columns": {
+    "id": {"type": "Int", "nullable": False}, "part": {"type": "Text", "nullable": False, "analyzer": "whitespace"},
+    "price": {"type": "Decimal", "nullable": False}, "remark": {"type": "Text", "nullable": True, "analyzer": "en"}}})
 
 
 @pytest.mark.parametrize("text, options", [
@@ -43,14 +42,14 @@ INVOICE = S.Table.from_json({"type": "table", "columns": {
     (csv_text(extra=",,"), {}),
 ])
 def test_csv(spark, tmp_path, text, options):
-    path = tmp_path / "invoice.csv"
+    path = tmp_path / "parts.csv"
     path.write_text(text)
-    df = co.conform(files.read(spark, str(path), **options), INVOICE)
+    df = co.conform(files.read(spark, str(path), **options), PARTS)
     assert by_id(df) == ROWS
 
 
 def test_csv_gzip_and_user_options_win(spark, tmp_path):
-    path = tmp_path / "invoice.csv.gz"
+    path = tmp_path / "parts.csv.gz"
     with gzip.open(path, "wt") as f:
         f.write(csv_text())
     assert files.read(spark, str(path)).count() == 4
@@ -64,7 +63,7 @@ def test_json_and_ndjson(spark, tmp_path):
     with gzip.open(tmp_path / "a.ndjson.gz", "wt") as f:
         f.write("\n".join(map(json.dumps, records)))
     for name in ("a.json", "a.ndjson", "a.ndjson.gz"):
-        assert by_id(co.conform(files.read(spark, str(tmp_path / name)), INVOICE)) == ROWS
+        assert by_id(co.conform(files.read(spark, str(tmp_path / name)), PARTS)) == ROWS
 
 
 @pytest.mark.parametrize("path, fmt, expected", [
@@ -87,17 +86,17 @@ def test_ndjson_writes_nulls(spark, tmp_path):
 
 
 def test_convert(spark, tmp_path):
-    source = tmp_path / "invoice.csv"
+    source = tmp_path / "parts.csv"
     source.write_text(csv_text())
     found = convert(spark, str(source), str(tmp_path / "out.ndjson"))
-    assert {n: c.type for n, c in found.columns.items()} == {"note": "Text", "amount": "Decimal", "id": "Int", "name": "Text"}
-    assert found.columns["note"].nullable and not found.columns["id"].nullable
+    assert {n: c.type for n, c in found.columns.items()} == {"id": "Int", "part": "Text", "price": "Decimal", "remark": "Text"}
+    assert found.columns["remark"].nullable and not found.columns["id"].nullable
     assert by_id(spark.read.json(str(tmp_path / "out.ndjson"))) == ROWS
-    changed = {"type": "table", "columns": {"amount": {"type": "Int"}, "id": {"type": "String"}}}
-    convert(spark, str(source), str(tmp_path / "out.csv"), schema=changed, functions=[lambda d: d.drop("note")])
+    changed = {"type": "table", "columns": {"price": {"type": "Int"}, "id": {"type": "String"}}}
+    convert(spark, str(source), str(tmp_path / "out.csv"), schema=changed, functions=[lambda d: d.drop("remark")])
     again = files.read_csv(spark, str(tmp_path / "out.csv"))
-    assert sorted((r["amount"], r["id"]) for r in again.collect()) == [("0", "3"), ("120", "1"), ("2344", "4"), ("77", "2")]
-    assert again.columns == ["amount", "id", "name"]
+    assert sorted((r["id"], r["price"]) for r in again.collect()) == [("1", "0"), ("2", "12"), ("3", "0"), ("4", "99")]
+    assert again.columns == ["id", "part", "price"]
 
 
 def column(spark, values, kind):
@@ -124,25 +123,61 @@ def test_arrays_have_no_type(spark):
 
 def test_sampling_does_not_decide_nulls(spark):
     df = spark.range(2000).select(F.nullif("id", F.lit(5)).alias("c"))
-    assert inf.infer_schema(df, max_sample=10).columns["c"] == S.Column("Int", True)
-    assert inf.bounded_sample(df, 100).count() <= 100
+    assert inf.infer_schema(df, sample=10).columns["c"] == S.Column("Int", True)
+    assert inf.sampled(df, 100).count() < 400
+
+
+def test_all_rows_decide_the_analyzer(spark):
+    df = spark.range(30_000).select(F.when(F.col("id") < 12_000, "a-b-c").otherwise("a;b;c").alias("c"))
+    assert inf.infer_analyzer(df, "c") == S.Delimiter(";")
+
+
+def shown(v):
+    """The delimiter of one value, counted by hand."""
+    v2, counts = v.strip(" "), []
+    for d in inf.DELIMITERS:
+        parts = v2.split(d)
+        inner = d.join(p.lstrip(" ") if i == len(parts) - 1 and i else p.rstrip(" ") if not i and len(parts) > 1 else p.strip(" ") if i else p
+                       for i, p in enumerate(parts))
+        blanks = sum(1 for i, c in enumerate(inner) if c == " " and (i == 0 or inner[i - 1] != " "))
+        counts.append(len(parts) - 1 if len(parts) > 1 and len(parts) - 1 >= blanks else 0)
+    return inf.DELIMITERS[counts.index(max(counts))] if max(counts) else " " if " " in v else None
+
+
+def test_delimiters_by_hand(spark):
+    values = ["2024-01-05", "k1:v1;k2:v2", "x ,y, z", "one | two", "a b c-d", "tab\tsep\t1", "", "   ", "word", "9,5", "--", "a - b - c d", ";;a b c", "q: is it so"]
+    got = column(spark, values, "string").select("c", inf.delimiter_of(F.col("c")).alias("d")).collect()
+    assert [(r.c, r.d) for r in got] == [(v, shown(v)) for v in values]
+
+
+LANGUAGES = {
+    "english": ["The order was sent to the wrong house and it has not come back", "We do not know who is at the door"],
+    "german": ["Die Schrauben sind in der Kiste unter dem Tisch", "Er hat das nicht gewusst und ist wieder gegangen"],
+    "spanish": ["Los tornillos están en la caja que hay debajo de la mesa", "No sé quién es el que llama a la puerta"],
+    "finnish": ["Ruuvit ovat siinä laatikossa joka on pöydän alla", "En tiedä kuka se on mutta hän ei ole täällä"],
+    "russian": ["Мы не знаем, кто был у двери и что он хотел", "Болты лежат в коробке, которая стоит под столом"],
+    "cjk": ["ねじは机の下の箱の中 にあります", "扉の前に 誰がいるのか"], "greek": ["οι βίδες είναι στο κουτί", "δεν ξέρω ποιος είναι"],
+    "hindi": ["पेंच मेज के नीचे डिब्बे में हैं", "दरवाजे पर कौन है"], "persian": ["پیچ‌ها زیر میز است", "چه کسی پشت در است"],
+}
+NOT_LISTED = {  # languages without a list of stop words are not taken for a neighbour
+    "bulgarian": ["Винтовете са в кутията, която е под масата", "Не знам кой е на вратата и какво иска да каже"],
+    "romanian": ["Șuruburile sunt în cutia care este sub masă", "Nu știu cine este la ușă și ce vrea să spună"],
+    "czech": ["Šrouby jsou v krabici, která je pod stolem", "Nevím, kdo je u dveří a co chce říct"],
+    "catalan": ["Els cargols són a la caixa que hi ha sota la taula", "No sé qui és a la porta ni què vol dir amb això"],
+    "galician": ["Os parafusos están na caixa que hai debaixo da mesa", "Non sei quen está na porta nin o que quere dicir"],
+    "latvian": ["Skrūves ir kastē, kas atrodas zem galda", "Es nezinu, kas ir pie durvīm un ko viņš grib teikt"],
+    "indonesian": ["Sekrup ada di dalam kotak yang ada di bawah meja", "Saya tidak tahu siapa yang ada di pintu"],
+}
+
+
+@pytest.mark.parametrize("values, expected", [(v, S.Alias(k)) for k, v in LANGUAGES.items()] + [(v, S.Alias("whitespace")) for v in NOT_LISTED.values()])
+def test_languages(spark, values, expected):
+    assert inf.infer_analyzer(column(spark, values, "string"), "c") == expected
 
 
 @pytest.mark.parametrize("values, expected", [
-    (["one, two, three", "four, five, six"], S.Delimiter(",")),
-    (["one| two|three", "four|five |six"], S.Delimiter("|")),
-    (["one  -two- three", "plain text", "just-   enough -o  of-   these"], S.Delimiter("-")),
-    (["a1\tb1\tc1", "other\tone"], S.Delimiter("\t")),
-    (["abc abca abcab", "abcd dcba"], S.Alias("whitespace")),
-    (["  ", " "], S.Alias("whitespace")),
-    (["word", "other"], None),
-    (["does this look like english to you?", "it certainly is what it should be"], S.Alias("english")),
-    (["onko tämä suomea vai ei ole", "ei se ole mutta hän on"], S.Alias("finnish")),
-    (["Bonjour monsieur", "aimez-vous la baguette et le vin"], S.Alias("french")),
-    (["đây là tiếng việt", "đúng rồi bạn ạ"], S.Alias("whitespace")),
-    (["이것은 한국어 문장 입니다", "또 다른 문장"], S.Alias("cjk")),
-    (["αυτό είναι ένα κείμενο", "και άλλο ένα"], S.Alias("greek")),
-    (["این یک متن است", "چرا نه"], S.Alias("persian")),
+    (["1992-01-02", "1995-11-30"], S.Delimiter("-")), (["click|home", "view|cart|2"], S.Delimiter("|")), (["r:1", "g:2", "b:3"], S.Delimiter(":")),
+    (["x;y", "z;w"], S.Delimiter(";")), (["hot ring", "small bolt"], S.Alias("whitespace")), (["PROMO", "STANDARD"], None), ([" "], S.Alias("whitespace")),
 ])
 def test_analyzers(spark, values, expected):
     assert inf.infer_analyzer(column(spark, values, "string"), "c") == expected
