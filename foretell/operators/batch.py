@@ -27,6 +27,7 @@ from foretell.operators.counts import (
 from foretell.operators.index import with_index
 from foretell.operators.links import bind
 from foretell.operators.skew import ROWS_PER_SALT, salted_join
+from foretell.plans.workspace import stored
 
 FEW_CLASSES = 32  # up to this many classes get a column each
 HEAD = 5_000  # classes kept at either end of the size order; bounds what is broadcast
@@ -54,7 +55,7 @@ def predict_batch(train: DataFrame, queries: DataFrame, key: str, fields, target
         # few plain fields: many rows ask the same, so each set of features is scored once
         everyone, q = q.select(F.col("qid").alias("row"), "f"), q.groupBy("f").agg(F.min("qid").alias("qid"))
     answers, features = classes_of(train, target), row_features(train, list(sources))
-    sizes = class_counts(train, answers)
+    sizes = stored(class_counts(train, answers), "class-sizes")
     listed = sizes.limit(max(few_classes, head) + 1).collect()  # a bounded look at the classes
     if len(listed) <= few_classes:
         best = _few(train, q, answers, features, listed, is_text, k, rows_per_salt)
@@ -134,6 +135,7 @@ def _many(train: DataFrame, q: DataFrame, answers: Column, features: Column, siz
         .agg(F.max("h").alias("h"), F.max("size").alias("size"), F.sum(gain(F.col("n"), n_f)).alias("gain"))
         .withColumn("score", baseline(F.col("size"), F.col("h"), n_rows) + F.col("gain"))
     )
+    seen = stored(seen, "seen-classes")  # it is used three times below
     per_query = sized.join(_seen_sums(seen), "qid", "left").withColumn("m", F.coalesce("m", F.lit(0)))
     others = _head_of_size_order(per_query, sizes, k, head, beyond, rows_per_salt).withColumn(
         "score", baseline(F.col("size"), F.col("h"), n_rows)

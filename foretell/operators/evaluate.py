@@ -12,18 +12,33 @@ from foretell.operators.batch import predict_batch
 from foretell.operators.index import with_index
 from foretell.operators.links import bind
 from foretell.operators.predict import predict
+from foretell.plans.workspace import stored
 
 EVERY_TENTH = {"$index": {"$mod": [10, 0]}}  # fixed value: rows held out by quick_evaluate
 
 
-def split(df: DataFrame, test: dict, order_by: list | None = None, tables: dict | None = None):
-    """``(train, test)``; a row whose test condition is null trains."""
+def paths_of_get(where: dict) -> list:
+    return [v["$get"] for v in where.values() if isinstance(v, dict) and set(v) == {"$get"}]
+
+
+def split(df: DataFrame, test: dict, order_by: list | None = None, tables: dict | None = None, fields: list | None = None):
+    """``(train, test)``; a row whose test condition is null trains.
+
+    With ``fields``, the rows are marked once and written with the columns of these fields
+    alone; both sides are read from there.
+    """
     if "$index" in paths(test) and INDEX not in df.columns:
         if not order_by:
             raise ValueError("$index needs the row order: give order_by, ending in a unique key")
         df = with_index(df, order_by)
     bound = bind(df, paths(test), tables)
     held_out = F.coalesce(condition(bound, test), F.lit(False))
+    if fields is not None:
+        if not any("." in f for f in fields):
+            bound = bound.select(*dict.fromkeys([c for c in fields if c in bound.columns]), held_out.alias("_held"))
+        else:
+            bound = bound.withColumn("_held", held_out)
+        bound, held_out = stored(bound, "split"), F.col("_held")
     return bound.where(~held_out), bound.where(held_out)
 
 
@@ -35,7 +50,7 @@ def evaluate(df: DataFrame, test: dict, where: dict, target: str, key: str | Non
     constants.  Test rows with the same evidence and answer are asked once and counted, so
     no key is needed; ``key`` is accepted for callers that have one.
     """
-    train, held_out = split(df, test, order_by, tables)
+    train, held_out = split(df, test, order_by, tables, [*where, *paths_of_get(where), target])
     held_out = bind(held_out, [target], tables)
     sources = {}
     for i, (path, value) in enumerate(where.items()):
