@@ -16,7 +16,7 @@ LLM = {q for q in entry.queries() if q.startswith("op") and q[2].isdigit() or q
 SOME = ["expand_links", "infer_nullability", "predict_linked", "relate_documents", "evaluate_documents", "stream_ingest"]
 
 
-def test_every_query_has_sql_or_is_known_to_have_none():
+def test_every_query_has_sql_or_is_known_to_have_none(spark):  # two statements need a session
     assert set(entry.queries()) - set(entry.oracle_sql()) - LLM == {"infer_schema"}
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
