@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 import foretell
-from foretell.plans.workspace import fresh_path
+from foretell.plans.workspace import stored  # noqa: F401 - the operators take it from here
 
 #: characters that separate words, as in the contracts: space and U+0009 to U+000D
 BLANKS = r"\x20\x09-\x0D"
@@ -44,17 +44,6 @@ def load(spark, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """The rows of ``df``, written once to the shared folder and read back.
-
-    Cuts the lineage: what follows never computes ``df`` again, and a lost executor loses
-    none of it.
-    """
-    path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def running_start(df: DataFrame, group: str, bucket: str, order: list, weight: str, name: str) -> DataFrame:
     """Adds ``name``: the sum of ``weight`` over the rows that stand before, within ``group``.
 
