@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,9 +11,22 @@ from pyspark.sql import DataFrame, SparkSession
 SETTING = "spark.checkpoint.dir"
 
 
+_own: dict = {}  # folder of each one-process session that names none, as in tests
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``, else the warehouse folder, which every session has."""
-    return (spark.conf.get(SETTING, None) or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+    """The folder in ``spark.checkpoint.dir``, else the warehouse folder, which a cluster shares.
+
+    A session of one process (master ``local`` or ``local[n]``) without a setting gets a
+    folder of its own.
+    """
+    found = spark.conf.get(SETTING, None)
+    if not found and re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+        app = spark.sparkContext.applicationId
+        if app not in _own:
+            _own[app] = tempfile.mkdtemp(prefix="foretell-")
+        found = _own[app]
+    return (found or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
