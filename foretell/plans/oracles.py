@@ -248,6 +248,27 @@ def profile_sql(source: str, columns: dict) -> str:
     )
 
 
+def delimiter_sql(source: str, column: str) -> str:
+    """``(delimiter, n)`` of the values of a column."""
+    tight = ", ".join(f"regexp_replace(trim(v), ' *[{d}] *', '{d}', 'g') AS t{i}" for i, d in enumerate(DELIMITERS))
+    n = "length(t{0}) - length(replace(t{0}, '{1}', ''))"
+    counts = ", ".join(
+        f"CASE WHEN {n.format(i, d)} > 0 AND {n.format(i, d)} >= len(regexp_extract_all(t{i}, ' +')) THEN {n.format(i, d)} ELSE 0 END AS n{i}"
+        for i, d in enumerate(DELIMITERS))
+    most = "greatest(" + ", ".join(f"n{i}" for i in range(len(DELIMITERS))) + ")"
+    first = " ".join(f"WHEN n{i} > 0 AND n{i} = {most} THEN '{d}'" for i, d in enumerate(DELIMITERS))
+    return (f"SELECT CASE {first} WHEN contains(v, ' ') THEN ' ' END AS delimiter, count(*) AS n FROM (SELECT v, {counts} FROM "
+            f"(SELECT v, {tight} FROM (SELECT {column} AS v FROM {source} WHERE {column} IS NOT NULL))) GROUP BY 1")
+
+
+def schema_of_text_sql(source: str, column: str) -> str:
+    """Schema row of a text column; its values show no language."""
+    best = f"(SELECT delimiter FROM ({delimiter_sql(source, column)}) ORDER BY n DESC, delimiter NULLS LAST LIMIT 1)"
+    return (f"SELECT '{column}' AS \"column\", CASE WHEN k = 'Text' AND d IS NULL THEN 'String' ELSE k END AS type, nullable, "
+            f"CASE WHEN k = 'Text' AND d = ' ' THEN 'whitespace' WHEN k = 'Text' THEN d END AS analyzer FROM ("
+            f"SELECT {text_type(column)} AS k, count(*) FILTER ({column} IS NULL) > 0 AS nullable, {best} AS d FROM {source})")
+
+
 def _dropped(drop) -> str:
     return f"list_filter({words('text')}, lambda t: t NOT IN ({', '.join(quoted(w) for w in drop)}))"
 
@@ -341,17 +362,11 @@ def oracle_sql() -> dict[str, str]:
     if SparkContext._active_spark_context is not None:  # the lists come from the running session
         o |= _with_stop_words()
 
-    shown = "(SELECT btrim_v.v, " + ", ".join(
-        f"regexp_replace(trim(v), ' *[{d}] *', '{d}', 'g') AS t{i}" for i, d in enumerate(DELIMITERS)) + " FROM btrim_v)"
-    shown = shown.replace("btrim_v.v", "v").replace("btrim_v", "(SELECT o_orderpriority AS v FROM orders WHERE o_orderpriority IS NOT NULL)")
-    counted = "(SELECT v, " + ", ".join(
-        f"CASE WHEN length(t{i}) - length(replace(t{i}, '{d}', '')) > 0 AND length(t{i}) - length(replace(t{i}, '{d}', '')) >= "
-        f"len(regexp_extract_all(t{i}, ' +')) THEN length(t{i}) - length(replace(t{i}, '{d}', '')) ELSE 0 END AS n{i}"
-        for i, d in enumerate(DELIMITERS)) + f" FROM {shown})"
-    most = "greatest(" + ", ".join(f"n{i}" for i in range(len(DELIMITERS))) + ")"
-    o["infer_delimiter"] = (
-        "SELECT CASE " + " ".join(f"WHEN n{i} > 0 AND n{i} = {most} THEN '{d}'" for i, d in enumerate(DELIMITERS))
-        + f" WHEN contains(v, ' ') THEN ' ' END AS delimiter, count(*) AS n FROM {counted} GROUP BY 1")
+    o["infer_delimiter"] = delimiter_sql("orders", "o_orderpriority")
+    o["infer_schema"] = "\nUNION ALL ".join(
+        [f"SELECT '{c}' AS \"column\", {kind} AS type, count(*) FILTER ({c} IS NULL) > 0 AS nullable, CAST(NULL AS VARCHAR) AS analyzer FROM part"
+         for c, kind in (("p_partkey", whole_type("p_partkey")), ("p_size", whole_type("p_size")), ("p_retailprice", "'Decimal'"))]
+        + [schema_of_text_sql("part", c) for c in ("p_name", "p_brand", "p_type")])
 
     # conform
     o["conform_int"] = ("SELECT l_orderkey, CAST(trunc(-l_extendedprice) AS INTEGER) AS negated, "

@@ -17,7 +17,7 @@ SOME = ["expand_links", "infer_nullability", "predict_linked", "relate_documents
 
 
 def test_every_query_has_sql_or_is_known_to_have_none(spark):  # two statements need a session
-    assert set(entry.queries()) - set(entry.oracle_sql()) - LLM == {"infer_schema"}
+    assert set(entry.queries()) - set(entry.oracle_sql()) - LLM == set()
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
