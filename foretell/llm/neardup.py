@@ -40,7 +40,7 @@ CHUNKS = VALUES // LANES
 DISTANCE = 2 * CHUNKS - 1
 WORDS = 5
 SIEVE = 1 << 24  # bits
-BLOCK = 1 << 21  # bytes of text worked on at a time
+BLOCK = 1 << 19  # bytes of text worked on at a time
 U = np.uint64
 _rng = np.random.default_rng(85)
 SPREAD = _rng.integers(0, 1 << 63, VALUES, U) * U(2) + U(1)
@@ -71,29 +71,30 @@ def _word_hashes(data: bytes) -> tuple:
     return mix(np.add.reduceat(text * by_place[place], first) + lengths.astype(U)), starts
 
 
-def words_of(texts: list) -> list:
-    """The word hashes of each text.  Short texts are hashed together, long ones in blocks."""
-    out, run, size = [], [], 0
+def each_text(texts: list):
+    """The word hashes of each text in turn.  Short texts are hashed together, long ones in blocks."""
+    run, size = [], 0
 
-    def flush():
-        if not run:
-            return
+    def hashed():
         hashes, starts = _word_hashes(b"\n".join(run))
         at = np.searchsorted(starts, np.cumsum([0] + [len(r) + 1 for r in run]))
-        out.extend(hashes[i:j] for i, j in zip(at[:-1], at[1:]))
+        return [hashes[i:j] for i, j in zip(at[:-1], at[1:])] if run else []
 
     for t in texts:
         raw = t.encode("utf-8")
         if size + len(raw) > BLOCK:
-            flush()
+            yield from hashed()
             run, size = [], 0
         if len(raw) > BLOCK:
-            out.append(_long(raw))
+            yield _long(raw)
         else:
             run.append(raw)
             size += len(raw) + 1
-    flush()
-    return out
+    yield from hashed()
+
+
+def words_of(texts: list) -> list:
+    return list(each_text(texts))
 
 
 def _long(raw: bytes) -> np.ndarray:
@@ -141,7 +142,7 @@ def _digest(size: int):
     def run(batches):
         for pdf in batches:
             rows = np.zeros((len(pdf), 3 + CHUNKS), np.int64)
-            for i, words in enumerate(words_of(pdf["text"].tolist())):
+            for i, words in enumerate(each_text(pdf["text"].tolist())):
                 s = shingles(words, size)
                 if len(s):
                     rows[i, 0] = len(s)
@@ -165,7 +166,7 @@ def _sets(size: int):
     def run(batches):
         for pdf in batches:
             out = []
-            for c, d1, d2, words in zip(pdf["id"], pdf["d1"], pdf["d2"], words_of(pdf["text"].tolist())):
+            for c, d1, d2, words in zip(pdf["id"], pdf["d1"], pdf["d2"], each_text(pdf["text"].tolist())):
                 found = shingles(words, size)
                 if tuple(_two(found)) == (d1, d2):
                     out.append((c, found.view(np.int64)))
