@@ -4,7 +4,12 @@ A page becomes a sequence of blocks (the text between two block-level tags) with
 before each.  A word scores by what surrounds its block: the enclosing elements, words of
 their class and id, the share of links and the length of the block; a tag costs.  One linear
 scan finds the contiguous run of greatest sum, and the blocks of that run that stand in an
-element named as boilerplate are left out.
+element named as boilerplate are left out.  Only a whole name (or one made of such names
+alone, as ``cookie-banner``) drops; a part of a name (``right-sidebar``) is a feature of the
+score.  No element drops its text, or is scored by such names, if it is ``html`` or ``body``,
+holds the ``article`` or ``main`` with most words, or, on pages where none of these stands
+outside boilerplate, holds most words that are no links (``nav``, ``aside``, ``footer``,
+``menu`` and ``dialog`` stay boilerplate there).
 
 The weights come from labelled pages: those with an ``article`` or ``main`` element, whose
 content is what stands in it outside such boilerplate.  Each is seen once as it is and once
@@ -34,6 +39,7 @@ from foretell.llm.common import mapped, stored
 # fixed values: elements and name parts by their use
 DROPPED = "script style noscript template svg iframe head title select textarea button option object canvas math".split()
 BOILERPLATE_TAGS = frozenset("nav aside footer header form menu dialog fieldset".split())
+NO_WRAPPERS = BOILERPLATE_TAGS - {"form", "header", "fieldset"}  # hold no page, however short the rest of it is
 MAIN_TAGS = frozenset(("article", "main"))
 BOILERPLATE = frozenset(
     "ad ads advert advertisement adverts advertising banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies "
@@ -53,20 +59,22 @@ TOKEN = re.compile(
     r"<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|\Z)|(?P<text>[^<]+|<)", re.S | re.I)
 NAMED = re.compile(r"""\b(class|id|role|style|hidden|aria-hidden)\b\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
 PART = re.compile(r"[a-z]+")
+MODIFIERS = frozenset("has no not with without is overflow".split())  # a name that begins so says nothing of its content
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 SAMPLE = 2_000
 TAGS = 300
-FEATURES = ("bias", "main", "boilerplate", "content", "list", "heading", "paragraph", "table", "links", "few links", "short", "long")
+FEATURES = ("bias", "main", "boilerplate", "content", "list", "heading", "paragraph", "table", "links", "few links", "short", "long",
+            "named")
 #: where the weights start, and what they are drawn to
-PRIOR = np.array([0.0, 1.5, -4.0, 1.0, -0.5, 0.5, 0.5, -0.3, -2.0, -0.5, -0.5, 0.5])
-RIDGE = np.array([0.5, 0.5, 5.0, 2.0, 0.5, 0.5, 0.5, 0.5, 0.5, 0.5, 0.5, 0.5])
+PRIOR = np.array([0.0, 1.5, -4.0, 1.0, -0.5, 0.5, 0.5, -0.3, -2.0, -0.5, -0.5, 0.5, -1.5])
+RIDGE = np.array([0.5, 0.5, 5.0, 2.0, 0.5, 0.5, 0.5, 0.5, 0.5, 0.5, 0.5, 0.5, 2.0])
 UNKNOWN_TAG = -1.0  # score of a tag that the sample does not have
 FREE_WORDS = 5  # words of a block that count against a run, so that one long aside does not cut it
 
 
 def _marks(tag: str, rest: str) -> frozenset:
-    """What an element says about its content: main, boilerplate, content."""
+    """What an element says about its content: main, boilerplate, named (in part as boilerplate), content."""
     found = set()
     if tag in MAIN_TAGS:
         found.add("main")
@@ -81,10 +89,13 @@ def _marks(tag: str, rest: str) -> frozenset:
             elif name == "hidden" or (name == "aria-hidden" and value == "true"):
                 found.add("boilerplate")
             else:
-                parts = set(PART.findall(value))
-                if parts & BOILERPLATE or name == "role" and parts & {"banner", "complementary", "contentinfo", "search"}:
+                split = [PART.findall(v) for v in value.split()]
+                if any(p and BOILERPLATE.issuperset(p) for p in split) or name == "role" and any(
+                        p in (["banner"], ["complementary"], ["contentinfo"], ["search"]) for p in split):
                     found.add("boilerplate")
-                elif parts & CONTENT:
+                elif any(p and p[0] not in MODIFIERS and not BOILERPLATE.isdisjoint(p) for p in split):
+                    found.add("named")
+                elif any(not CONTENT.isdisjoint(p) for p in split):
                     found.add("content")
     return frozenset(found)
 
@@ -96,9 +107,49 @@ class Block:
         self.text, self.words, self.linked, self.tags, self.marks, self.names = text, words, linked, tags, marks, names
 
 
+DROPS = frozenset(("boilerplate", "named"))
+
+
+class Element:
+    """An open or closed block element: its words, those of them in links, and its own as an article."""
+
+    __slots__ = ("tag", "marks", "parent", "words", "linked", "own")
+
+    def __init__(self, tag, marks, parent):
+        self.tag, self.marks, self.parent = tag, marks, parent
+        self.words = self.linked = self.own = 0
+
+
+def _overrule(elements: list, words: int, linked: int) -> None:
+    """Takes the names of boilerplate from what holds the main text of the page.
+
+    ``elements`` stand before what they hold.
+    """
+    dropped = [False]  # by element, whether it or one around it is boilerplate
+    place = {None: 0}
+    longest, free = None, False
+    for i, e in enumerate(elements, 1):
+        if e.tag in ("html", "body"):
+            e.marks -= DROPS
+        place[e] = i
+        dropped.append(dropped[place[e.parent]] or "boilerplate" in e.marks)
+        if e.own:
+            longest = e if longest is None or e.own > longest.own else longest
+            free = free or not dropped[i]
+    e = longest
+    while e is not None:
+        e.marks -= DROPS
+        e = e.parent
+    if not free:
+        for e in elements:
+            if e.tag not in NO_WRAPPERS and 2 * (e.words - e.linked) > words - linked:
+                e.marks -= DROPS
+
+
 def blocks(page: str) -> list:
     """The blocks of a page with text, in order."""
-    out, stack, parts = [], [], []  # the stack holds (tag, marks) of the open block elements
+    out, stack, parts = [], [], []  # the stack holds the open block elements
+    elements, inside = [], []  # all elements of the page, and of each block the innermost one around it
     tags, linked = [], 0
     in_link = False
 
@@ -106,8 +157,8 @@ def blocks(page: str) -> list:
         nonlocal parts, tags, linked
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            marks = frozenset().union(*[m for _, m in stack])
-            out.append(Block(text, len(text.split()), linked, tags, marks, frozenset(t for t, _ in stack[-3:])))
+            out.append(Block(text, len(text.split()), linked, tags, None, frozenset(e.tag for e in stack[-3:])))
+            inside.append(stack[-1] if stack else None)
             tags, linked = [], 0
         parts = []
 
@@ -133,7 +184,7 @@ def blocks(page: str) -> list:
         if tag in INLINE:
             marks = _marks(tag, m["rest"]) if not ended and tag != "a" and m["rest"] else frozenset()
             if "boilerplate" not in marks:
-                if ended and stack and stack[-1][0] == tag:  # an inline element that was kept as a block
+                if ended and stack and stack[-1].tag == tag:  # an inline element that was kept as a block
                     close()
                     stack.pop()
                 tags.append("/" + tag if ended else tag)
@@ -143,24 +194,50 @@ def blocks(page: str) -> list:
         tags.append("/" + tag if ended else tag)
         if ended:
             for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
+                if stack[i].tag == tag:
                     del stack[i:]
                     break
         else:
             ends = CLOSES.get(tag)
-            if ends and stack and stack[-1][0] in ends:
+            if ends and stack and stack[-1].tag in ends:
                 stack.pop()
             if tag not in VOID and not m["rest"].endswith("/"):
-                stack.append((tag, _marks(tag, m["rest"])))
+                stack.append(Element(tag, _marks(tag, m["rest"]), stack[-1] if stack else None))
+                elements.append(stack[-1])
     close()
+    _mark(out, inside, elements)
     return out
 
 
+def _mark(out: list, inside: list, elements: list) -> None:
+    """Gives the blocks the marks of the elements around them."""
+    if any(not DROPS.isdisjoint(e.marks) for e in elements):
+        for b, e in zip(out, inside):
+            if e is not None:
+                e.words, e.linked = e.words + b.words, e.linked + min(b.linked, b.words)
+        owner: dict = {None: None}  # the nearest article or main around an element
+        for e in elements:
+            owner[e] = e if "main" in e.marks else owner[e.parent]
+        for e in elements:
+            if owner[e] is not None:
+                owner[e].own += e.words
+        for e in reversed(elements):
+            if e.parent is not None:
+                e.parent.words, e.parent.linked = e.parent.words + e.words, e.parent.linked + e.linked
+        _overrule(elements, sum(b.words for b in out), sum(min(b.linked, b.words) for b in out))
+    around: dict = {None: frozenset()}
+    for e in elements:
+        up = around[e.parent]
+        around[e] = up if e.marks <= up else up | e.marks
+    for b, e in zip(out, inside):
+        b.marks = around[e]
+
+
 def features(b: Block, masked: bool = False) -> tuple:
     share = b.linked / max(b.words, 1)
     return (1, "main" in b.marks and not masked, "boilerplate" in b.marks, "content" in b.marks, bool(b.names & {"li", "ul", "ol", "dl"}),
             bool(b.names & {"h1", "h2", "h3", "h4", "h5", "h6"}), "p" in b.names, bool(b.names & {"td", "th", "table"}),
-            share > 0.5, 0 < share <= 0.5, b.words <= 3, b.words >= 10)
+            share > 0.5, 0 < share <= 0.5, b.words <= 3, b.words >= 10, "named" in b.marks)
 
 
 class Weights:
@@ -223,7 +300,7 @@ def _counted(batches):
 def trained(pages: DataFrame, key: str = "page_id", page: str = "html", sample: int = SAMPLE) -> Weights:
     """Weights fitted on the labelled pages of a sample of about ``sample``.
 
-    What comes to the driver is a row per combination of the dozen yes-or-no features, and
+    What comes to the driver is a row per combination of the thirteen yes-or-no features, and
     the ``TAGS`` most frequent tags.
     """
     n = pages.count()

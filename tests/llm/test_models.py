@@ -251,3 +251,16 @@ def test_stages(spark, tmp_path, labelled):
     assert set(Counter(r.doc_id for r in seen["source_mixing"]).values()) <= {1, 2}
     assert len(seen["byte_bpe"]) == len(seen["source_mixing"]) and all(r.ids for r in seen["byte_bpe"])
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == len(seen["byte_bpe"])
+
+
+def test_names_around_an_article_do_not_drop_it():
+    weights, words = html_text.Weights(tags={}), "these are the many words of a long and plain article text"
+    weights.tags = dict.fromkeys(["p", "/p", "div", "/div", "main", "/main", "article", "/article", "form", "/form", "body", "/body"], -0.1)
+    for around in ('<body class="right-sidebar">{}</body>', '<body class="sidebar">{}</body>', '<main class="has-header no-comments">{}</main>',
+                   '<div class="overflow-hidden">{}</div>', '<form id="aspnetForm">{}</form>', '<div class="header"><article>{}</article></div>',
+                   '<div style="display:none">{}</div>', '<div id="page-sidebar">{}</div>'):
+        page = around.format(f"<p>{words}</p><div class=ad>Buy this now</div><p>{words}</p>")
+        assert html_text.extract(page, weights) == f"{words}\n{words}", around
+    comments = f'<section class="comments"><article class="comment"><p>{words[:30]}</p></article><article><p>{words[:30]}</p></article></section>'
+    assert html_text.extract(f"<article><p>{words}</p>{comments}</article>", weights) == words
+    assert html_text.extract(f"<main><p>{words}</p></main>{comments}", weights) == words
