@@ -18,8 +18,11 @@ log-odds fitted by Newton's method with a ridge; names in ``BOILERPLATE`` and ``
 start from a prior and need not occur in the sample (about ``SAMPLE`` pages, by a hash).
 
 Defined results: a null or empty page, or one where no run scores above 0, gives an empty
-text; an unclosed tag, comment or script runs to the end of the page; of equal runs the first
-wins.  Repeated rows are extracted each; an empty table gives no rows.
+text; an unclosed tag, comment or ``RAW`` element runs to the end of the page; of equal runs
+the first wins.  Text in ``svg``, ``template`` and the options of a choice is dropped, that in
+``math``, ``object``, ``canvas`` and ``button`` is text like all else.  Self-closed elements are
+empty, and end tags are optional where HTML has them so.  Repeated rows are extracted each; an
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -37,7 +40,14 @@ from pyspark.sql import functions as F
 from foretell.llm.common import mapped, stored
 
 # fixed values: elements and name parts by their use
-DROPPED = "script style noscript template svg iframe head title select textarea button option object canvas math".split()
+RAW = frozenset("script style noscript iframe title textarea".split())  # run to their own end tag, whatever stands in them, and are dropped
+DROPPED = frozenset("svg template select option optgroup".split())  # elements like others, without text
+# start tags that end an open svg, as in the HTML standard, and further blocks
+BREAKS = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 hr i img li listing main article section menu meta nobr ol p pre "
+    "ruby s small span strong strike sub sup table tt u ul var aside header footer nav figure form".split())
+INTEGRATION = frozenset("foreignobject desc title".split())  # elements of svg in which start tags end nothing
+CHOICES = frozenset("select option optgroup".split())  # ended by a start tag of a block
 BOILERPLATE_TAGS = frozenset("nav aside footer header form menu dialog fieldset".split())
 NO_WRAPPERS = BOILERPLATE_TAGS - {"form", "header", "fieldset"}  # hold no page, however short the rest of it is
 MAIN_TAGS = frozenset(("article", "main"))
@@ -47,16 +57,20 @@ BOILERPLATE = frozenset(
     "alert pager pagination paywall popup promo promoted promotion recommended related replies reply respond share sharing sidebar signup "
     "skip social sponsor sponsored subscribe tags toolbar topbar widget widgets".split())
 CONTENT = frozenset("article articlebody body content entry main maincontent post story text".split())
-INLINE = frozenset(
+MATH = frozenset(
+    "math maction annotation annotation-xml menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms "
+    "mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split())
+SPACED = frozenset("br button canvas datalist object param mtd mtr".split())  # white space within their block; what they hold is text like all else
+INLINE = MATH | frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub "
     "sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
-          "option": {"option"}}  # an open element that a start tag ends
+# open elements that a start tag ends
+CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 TOKEN = re.compile(
     r"<!--(?:.*?-->|.*)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|"
-    r"<(?P<raw>" + "|".join(DROPPED) + r")(?=[\s/>])(?:\"[^\"]*\"|'[^']*'|[^'\">])*>.*?(?:</(?P=raw)\s*>|\Z)|"
     r"<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|\Z)|(?P<text>[^<]+|<)", re.S | re.I)
+RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for tag in RAW}
 NAMED = re.compile(r"""\b(class|id|role|style|hidden|aria-hidden)\b\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
 PART = re.compile(r"[a-z]+")
 MODIFIERS = frozenset("has no not with without is overflow".split())  # a name that begins so says nothing of its content
@@ -146,6 +160,34 @@ def _overrule(elements: list, words: int, linked: int) -> None:
                 e.marks -= DROPS
 
 
+def _hides(hidden: list, tag: str, rest: str, ended: bool, stack: list) -> bool:
+    """Whether a tag stands in an element without text or begins or ends one; keeps ``hidden`` up to date."""
+    if ended:
+        if tag in hidden:
+            del hidden[len(hidden) - 1 - hidden[::-1].index(tag):]
+            return True
+        if tag in INLINE or tag in SPACED or any(e.tag == tag for e in stack):
+            hidden.clear()  # the end of an element around it
+        return bool(hidden) or tag in DROPPED
+    while hidden:
+        i = max(i for i, t in enumerate(hidden) if t in DROPPED or t in INTEGRATION)
+        if hidden[i] == "svg" and tag in BREAKS:
+            del hidden[i:]
+        elif hidden[i] in CHOICES and not (tag in DROPPED or tag in INLINE or tag in ("br", "hr")):
+            del hidden[i:]
+        else:
+            break
+    if not hidden and tag not in DROPPED:
+        return False
+    if tag in CHOICES:  # their end tags are optional
+        for other in ("option", "optgroup")[: 1 + (tag == "optgroup")]:
+            if hidden and hidden[-1] == other:
+                hidden.pop()
+    if tag not in VOID and not rest.endswith("/"):
+        hidden.append(tag)
+    return True
+
+
 def blocks(page: str) -> list:
     """The blocks of a page with text, in order."""
     out, stack, parts = [], [], []  # the stack holds the open block elements
@@ -162,24 +204,40 @@ def blocks(page: str) -> list:
             tags, linked = [], 0
         parts = []
 
-    for m in TOKEN.finditer(page):
+    hidden = []  # open tags from an element without text on
+    at = 0
+    while at < len(page):
+        m = TOKEN.match(page, at)
+        at = m.end()
         if (text := m["text"]) is not None:
+            if hidden:
+                continue
             parts.append(text)
             if in_link:
                 linked += len(text.split())
             continue
         if m["tag"] is None:
-            if m["raw"] is not None:
-                tags.append(m["raw"].lower())
-                if m["raw"].lower() not in INLINE:
-                    parts.append(" ")
             continue
         tag, ended = m["tag"].lower(), bool(m["end"])
+        if tag in RAW:
+            if not ended and not ("svg" in hidden and m["rest"].endswith("/")):
+                end = RAW_END[tag].search(page, at)
+                at = end.end() if end else len(page)
+                tags.append(tag)
+                parts.append(" ")
+            continue
+        if tag == "head":  # no text stands in it but that of raw elements, and its end tag is optional
+            tags.append("/head" if ended else tag)
+            continue
+        if (hidden or tag in DROPPED) and _hides(hidden, tag, m["rest"], ended, stack):
+            tags.append("/" + tag if ended else tag)
+            parts.append(" ")
+            continue
         if tag == "a":
             in_link = not ended
-        if tag == "br":  # white space within its block
+        if tag in SPACED:
             parts.append(" ")
-            tags.append(tag)
+            tags.append("/" + tag if ended else tag)
             continue
         if tag in INLINE:
             marks = _marks(tag, m["rest"]) if not ended and tag != "a" and m["rest"] else frozenset()

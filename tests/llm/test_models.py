@@ -264,3 +264,18 @@ def test_names_around_an_article_do_not_drop_it():
     comments = f'<section class="comments"><article class="comment"><p>{words[:30]}</p></article><article><p>{words[:30]}</p></article></section>'
     assert html_text.extract(f"<article><p>{words}</p>{comments}</article>", weights) == words
     assert html_text.extract(f"<main><p>{words}</p></main>{comments}", weights) == words
+
+
+def test_optional_ends_and_closed_tags_lose_no_text():
+    weights = html_text.Weights()
+    weights.tags = {t: -0.01 for n in html_text.BREAKS | html_text.INLINE | html_text.SPACED | html_text.DROPPED | html_text.RAW | {"html", "head", "path", "text"}
+                    for t in (n, "/" + n)}
+    words = "these are the many words of a long and plain article text"
+    for page in ('<html><head><title>T</title><meta charset=utf-8><body><p>{0}</p>', '<html><head><title>T</title><p>{0}</p>', "<title>T</title></head><p>{0}",
+                 '<p>{0}</p><svg width="3"/><p>{0}</p>', "<p>{0}</p><math/><p>{0}</p>", "<p>{0}</p><svg><text>label<p>{0}</p>", "<svg><title/><path/></svg><p>{0}</p>",
+                 '<p>{0}</p><datalist id="x"><option>one<option>two</datalist><p>{0}</p>', "<p>{0}</p><option>one<p>{0}</p>", "<p>{0}</p><select><option>one<p>{0}</p>",
+                 "<div><p>{0}</p><template><p>other</template><p>{0}</p></div>", "<p>{0}</p><select><optgroup><option>one<optgroup><option>two</select><p>{0}</p>"):
+        assert html_text.extract(page.format(words), weights) == "\n".join([words] * page.count("{0}")), page
+    inside = f"{words} <math><mi>x</mi><mo>=</mo><mn>1</mn></math> <object data=a>fallback</object> <canvas>drawn</canvas> <button>press</button> and <svg><text>no</text></svg> on"
+    assert html_text.extract(f"<article><p>{inside}</p></article>", weights) == f"{words} x=1 fallback drawn press and on"
+    assert html_text.extract(f"<p>{words}</p><script>if (a < b) '<p>';</script><textarea><p>x</textarea><p>{words}</p>", weights) == f"{words}\n{words}"
