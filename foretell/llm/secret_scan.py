@@ -1,10 +1,10 @@
 """Secret scans: fixed patterns, and a linear-chain conditional random field beside them.
 
-The patterns of ``base_spans`` always count.  The field tags the tokens around every long
-token that is not a plain word, or that follows a credential word, as secret begin (B),
-inside (I) or outside (O), from the token's shape, its neighbouring words and features of
-the whole text, and is decoded by Viterbi; its spans are added where no pattern matched.
-Tokens elsewhere are plain words with none of these near, which the field leaves outside.
+The patterns of ``base_spans`` always count.  The field tags every token of a text as secret
+begin (B), inside (I) or outside (O), from the token's shape, its neighbouring words and
+features of the whole text, and is decoded by Viterbi over the whole text; its spans are added
+where no pattern matched.  Tokens are read in blocks of ``BLOCK``; what carries over is the
+words before, the scores of the three tags and a byte a token for the way back.
 
 Nobody labelled secrets, so the field is trained at a distance: windows of a bounded sample of
 documents (``SAMPLE`` documents, ``WINDOWS`` windows of at most ``LONGEST`` tokens), tagged by the patterns.  So that it
@@ -22,6 +22,7 @@ import hashlib
 import json
 import random
 import re
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -50,6 +51,9 @@ LONGEST = 60  # tokens of a window that is trained on
 BUCKETS = 1 << 12
 TAGS = "OBI"
 HARD = -1e4  # score of a forbidden step
+BLOCK = 1 << 15  # tokens scored at a time
+KNOWN = 1 << 17  # tokens remembered by a worker
+SINCE = 5  # tokens after a credential word
 
 
 def base_spans(text: str) -> list:
@@ -75,7 +79,7 @@ def _secret_parts(text: str, spans: list) -> list:
 
 
 def windows(text: str) -> list:
-    """``(start, end)`` of the stretches that the field looks at."""
+    """``(start, end)`` of the stretches that the field is trained on."""
     seeds = [m.span() for m in LONG.finditer(text) if not m[0].strip("+/_.=-").isalpha()]
     low = text.lower()
     if any(n in low for n in CREDENTIALS):
@@ -142,6 +146,7 @@ class Field:
         self.emit = np.zeros((BUCKETS, 3)) if emit is None else emit
         self.step = np.zeros((3, 3)) if step is None else step
         self.known: dict = {}
+        self.scorer = None  # made for whole texts, of the weights as they are then
 
     def ids(self, found: list) -> list:
         known = self.known
@@ -219,9 +224,130 @@ class Field:
                 w += rate * (m[0] / (1 - 0.9**turn)) / (np.sqrt(m[1] / (1 - 0.999**turn)) + 1e-8)
             weights[0][BUCKETS] = 0.0
         self.emit, self.step = weights[0][:BUCKETS].copy(), weights[1].copy()
+        self.scorer = None
         return self
 
 
+class Scorer:
+    """Scores and tags whole texts as ``Field`` does, with what is known of each token in tables."""
+
+    def __init__(self, field: Field):
+        self.field = field
+        room = KNOWN + BLOCK + 2
+        self.shape = np.zeros((room, 3))  # of the shape of a token
+        self.follows = np.zeros((room, 3))  # more if a credential word is near
+        self.plain = np.zeros(room, bool)
+        self.word = np.zeros(room, np.int64)  # of the words below
+        self.forms: dict = {}
+        self.words: dict = {}
+        self.around = np.zeros((4, 1024, 3))  # of the words of a token, before, two before and after
+        self.since = np.array([self._sum([f"since={i}"]) for i in range(SINCE + 1)])
+        self.places: dict = {}
+        for edge in ("", "KEY", "^", "$"):
+            self._word(edge)
+
+    def _sum(self, names: list) -> np.ndarray:
+        return self.field.emit[self.field.ids([names])[0]].sum(axis=0)
+
+    def _word(self, word: str) -> int:
+        at = self.words.get(word)
+        if at is None:
+            at = self.words[word] = len(self.words)
+            if at == self.around.shape[1]:
+                self.around = np.concatenate([self.around, np.zeros_like(self.around)], axis=1)
+            for i, name in enumerate(("word", "before", "before2", "after")):
+                self.around[i, at] = self._sum([f"{name}={word}"])
+        return at
+
+    def _add(self, token: str) -> int:
+        at = self.places[token] = len(self.places)
+        low = token.lower()
+        self.word[at] = self._word("KEY" if any(c in low for c in CREDENTIALS) else low if len(low) == 1 else "")
+        f = tuple(_shape(token))
+        if f not in self.forms:
+            if len(self.forms) > KNOWN:
+                self.forms.clear()
+            self.forms[f] = self._sum(list(f)), self._sum([f"since+{x}" for x in f[:3]]), f[1] == "form=plain"
+        self.shape[at], self.follows[at], self.plain[at] = self.forms[f]
+        return at
+
+    def blocks(self, text: str):
+        """The scores of the tokens of a text, block by block."""
+        tokens = (m[0] for m in TOKEN.finditer(text))
+        of_file = None
+        edge, last = self.words["^"], self.words["$"]
+        before, since = np.array([edge, edge]), SINCE + 1  # the words before the block, and the distance of its start from a credential word
+        now = list(islice(tokens, BLOCK))
+        while now:
+            if len(self.places) > KNOWN:
+                self.places.clear()
+            coming = list(islice(tokens, BLOCK))
+            known, add = self.places, self._add
+            ids = np.array([known[t] if t in known else add(t) for t in (now + coming[:1])])
+            word = np.concatenate([before, self.word[ids], [] if coming else [last]]).astype(np.int64)
+            ids = ids[: len(now)]
+            n = len(now)
+            own = word[2 : n + 2]
+            s = self.shape[ids]
+            for table, part in zip(self.around, (own, word[1 : n + 1], word[:n], word[3:])):
+                s += table[part]
+            at = np.arange(n)
+            key = np.maximum.accumulate(np.where(own == self.words["KEY"], at, -since))
+            far = at - np.concatenate([[-since], key[:-1]])
+            near = (far <= SINCE) & (far > 0)
+            s += self.since[np.where(near, far, 0)]
+            s[near] += self.follows[ids[near]]
+            if not self.plain[ids].all():
+                of_file = self._sum(file_features(text)) if of_file is None else of_file
+                s[~self.plain[ids]] += of_file
+            before, since = word[n : n + 2], min(n - int(key[-1]), SINCE + 1)
+            now = coming
+            yield s
+
+    def tags(self, text: str) -> list | None:
+        """The best tags of all tokens; None if all are outside."""
+        step = self.field.allowed().tolist()
+        (oo, ob, oi), (bo, bb, bi), (io, ib, ii) = step
+        o = b = i = None
+        back = bytearray()  # of each token but the first: from which tag O, B and I come, two bits each
+        for s in self.blocks(text):
+            rows = s.tolist()
+            if o is None:
+                (o, b, i), rows = rows[0], rows[1:]
+                i += HARD
+            for so, sb, si in rows:
+                to, way = o + oo, 0
+                if b + bo > to:
+                    to, way = b + bo, 1
+                if i + io > to:
+                    to, way = i + io, 2
+                tb, x = o + ob, 0
+                if b + bb > tb:
+                    tb, x = b + bb, 4
+                if i + ib > tb:
+                    tb, x = i + ib, 8
+                ti, y = o + oi, 0
+                if b + bi > ti:
+                    ti, y = b + bi, 16
+                if i + ii > ti:
+                    ti, y = i + ii, 32
+                o, b, i = to + so, tb + sb, ti + si
+                back.append(way | x | y)
+        if o is None:
+            return None
+        tag = 0 if o >= b and o >= i else 1 if b >= i else 2
+        if not tag and not any(back.translate(None, OUTSIDE)):
+            return None
+        tags = [tag]
+        for way in reversed(back):
+            tag = way >> 2 * tag & 3
+            tags.append(tag)
+        return tags[::-1] if any(tags) else None
+
+
+OUTSIDE = bytes(w for w in range(64) if not w & 3)  # ways in which O comes from O
+
+
 def tagged(text: str, start: int, end: int, secrets: list) -> tuple:
     """Tokens of a window with their places and tags."""
     tokens, places, tags = [], [], []
@@ -301,25 +427,35 @@ def trained(docs: DataFrame, key: str = "doc_id", text: str = "text", sample: in
 
 
 def field_spans(field: Field, text: str) -> list:
-    out = []
-    of_file = None
-    for start, end in windows(text):
-        of_file = of_file or file_features(text)
-        tokens, places, _ = tagged(text, start, end, [])
-        if not tokens:
-            continue
-        for (a, b), tag in zip(places, field.decode(features(tokens, of_file))):
-            if tag == 2 and out:
-                out[-1] = (out[-1][0], 3, b)
-            elif tag:
-                out.append((a, 3, b))
+    out: list = []
+    field.scorer = field.scorer or Scorer(field)
+    tags = field.scorer.tags(text)
+    if tags is None:
+        return out
+    for m, tag in zip(TOKEN.finditer(text), tags):
+        if tag == 2 and out:
+            out[-1] = (out[-1][0], 3, m.end())
+        elif tag:
+            out.append((m.start(), 3, m.end()))
+    return out
+
+
+def _apart(found: list, base: list) -> list:
+    """The spans that overlap none of ``base``; both are sorted by start."""
+    out, at, end = [], 0, 0  # the greatest end of the base spans that start before the span ends
+    for s in found:
+        while at < len(base) and base[at][0] < s[2]:
+            end = max(end, base[at][2])
+            at += 1
+        if end <= s[0]:
+            out.append(s)
     return out
 
 
 def spans(field: Field, text: str) -> tuple:
     """Base spans, and all spans with those of the field that overlap no base span."""
     base = base_spans(text)
-    more = [s for s in field_spans(field, text) if not any(s[0] < e and b < s[2] for b, _, e in base)]
+    more = _apart(field_spans(field, text), base)
     return base, sorted(base + more)
 
 

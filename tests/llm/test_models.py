@@ -279,3 +279,25 @@ def test_optional_ends_and_closed_tags_lose_no_text():
     inside = f"{words} <math><mi>x</mi><mo>=</mo><mn>1</mn></math> <object data=a>fallback</object> <canvas>drawn</canvas> <button>press</button> and <svg><text>no</text></svg> on"
     assert html_text.extract(f"<article><p>{inside}</p></article>", weights) == f"{words} x=1 fallback drawn press and on"
     assert html_text.extract(f"<p>{words}</p><script>if (a < b) '<p>';</script><textarea><p>x</textarea><p>{words}</p>", weights) == f"{words}\n{words}"
+
+
+def test_every_token_is_tagged_as_by_full_decoding(field, monkeypatch):
+    r = random.Random(11)
+    letters = "QwErTyUiOpAsDfGhJkLzXcVb"
+    texts = [t for t in TEXTS if t] + [f"we saw {letters} lying there", "pass: k3yZ9q8w", "^ token $ x", "_" * 3, letters]
+    some = ["the", "token", "=", "a1b2c3d4e5f6a7b8c9d0", "word", "12345678", '"', letters, "key", "q9Zk3yXw", "Bearer", ".", "é", "McNeil"]
+    texts += [" ".join(r.choice(some) for _ in range(r.randint(1, 60))) for _ in range(200)]
+    sharp = secret_scan.Field(np.random.default_rng(1).normal(size=field.emit.shape), np.random.default_rng(2).normal(size=(3, 3)))
+    for block in (secret_scan.BLOCK, 3, 1):
+        monkeypatch.setattr(secret_scan, "BLOCK", block)
+        for f in (field, sharp):
+            for text in texts:
+                tokens = [m for m in secret_scan.TOKEN.finditer(text)]
+                found = secret_scan.features([m[0] for m in tokens], secret_scan.file_features(text))
+                assert (secret_scan.Scorer(f).tags(text) or [0] * len(tokens)) == f.decode(found)
+    unseen = secret_scan.Field()
+    for form in ("form=mixed", "size=24-"):
+        unseen.emit[secret_scan._bucket(form), 1] = 1.0
+    unseen.emit[secret_scan._bucket("form=plain"), 0] = 5.0
+    unseen.emit[secret_scan._bucket("size=2-7"), 0] = 5.0
+    assert [s[1:] and f"we saw {letters} lying there"[s[0]:s[2]] for s in secret_scan.spans(unseen, f"we saw {letters} lying there")[1]] == [letters]
