@@ -6,8 +6,9 @@ features of the whole text, and is decoded by Viterbi over the whole text; its s
 where no pattern matched.  Tokens are read in blocks of ``BLOCK``; what carries over is the
 words before, the scores of the three tags and a byte a token for the way back.
 
-Nobody labelled secrets, so the field is trained at a distance: windows of a bounded sample of
-documents (``SAMPLE`` documents, ``WINDOWS`` windows of at most ``LONGEST`` tokens), tagged by the patterns.  So that it
+Nobody labelled secrets, so the field is trained at a distance: windows tagged by the patterns, at
+most ``WINDOWS`` with a match, of all documents, and at most ``WINDOWS`` without one, of about
+``SAMPLE`` documents.  A window of more than ``LONGEST`` tokens is cut into several.  So that it
 learns context and shape rather than the patterns, windows with a match are repeated with
 random secrets of other shapes and other credential words, and, as counter-examples, with
 harmless numbers, addresses and names in place of the secret, or without the credential word.
@@ -19,10 +20,11 @@ Texts are scanned whole.  Repeated rows are scanned each; an empty table gives n
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 import random
 import re
-from itertools import islice
+from itertools import islice, takewhile
 
 import numpy as np
 import pandas as pd
@@ -30,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foretell.llm.common import mapped, send_package
+from foretell.llm.common import mapped, send_package, stored
 
 # fixed values: the patterns of the contract
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -351,10 +353,14 @@ OUTSIDE = bytes(w for w in range(64) if not w & 3)  # ways in which O comes from
 def tagged(text: str, start: int, end: int, secrets: list) -> tuple:
     """Tokens of a window with their places and tags."""
     tokens, places, tags = [], [], []
+    secrets, at = sorted(secrets), 0
     for m in TOKEN.finditer(text, start, end):
         tokens.append(m[0])
         places.append(m.span())
-        hit = next((s for s in secrets if m.start() < s[1] and m.end() > s[0]), None)
+        while at < len(secrets) and secrets[at][1] <= m.start():
+            at += 1
+        near = takewhile(lambda s: s[0] < m.end(), (secrets[i] for i in range(at, len(secrets))))
+        hit = next((s for s in near if m.start() < s[1]), None)
         began = hit is not None and len(tags) > 0 and tags[-1] > 0 and places[-2][1] > hit[0]
         tags.append(0 if hit is None else 2 if began else 1)
     return tokens, places, tags
@@ -380,8 +386,13 @@ def _harmless(r: random.Random) -> str:
 def examples(sampled: list, seed: int = 9) -> list:
     """Training windows ``(feature names, tags)`` from ``(tokens, tags, file features)``."""
     r, out = random.Random(seed), []
+    names: dict = {}  # equal names are one string
+
+    def add(tokens, tags, of_file):
+        out.append(([[names.setdefault(f, f) for f in row] for row in features(tokens, of_file)], tags))
+
     for tokens, tags, of_file in sampled:
-        out.append((features(tokens, of_file), tags))
+        add(tokens, tags, of_file)
         at = [i for i, t in enumerate(tags) if t == 1]
         if not at:
             continue
@@ -396,34 +407,79 @@ def examples(sampled: list, seed: int = 9) -> list:
             labels = [0 if t == 2 and not labels[i - 1] else t for i, t in enumerate(labels)]
             for i in keys:
                 changed[i] = r.choice(CREDENTIALS) if secret or r.random() < 0.5 else r.choice(["page", "ref", "total", "id", "see"])
-            out.append((features(changed, of_file), labels))
+            add(changed, labels, of_file)
     return out
 
 
-def _windows_of(batches):
-    for pdf in batches:
-        rows = []
-        for text in pdf["text"]:
-            secrets, of_file = _secret_parts(text, base_spans(text)), file_features(text)
-            for start, end in windows(text):
-                tokens, _, tags = tagged(text, start, end, secrets)
-                if len(tokens) <= LONGEST:
-                    rows.append(json.dumps([tokens, tags, of_file]))
-        yield pd.DataFrame({"window": rows})
+def _cut(tokens: list, tags: list):
+    """A window in parts of at most ``LONGEST`` tokens, which split a secret only if it is longer than that."""
+    at = 0
+    while at < len(tokens):
+        end = min(at + LONGEST, len(tokens))
+        if end < len(tokens):
+            end = next((i for i in range(end, at, -1) if tags[i] != 2), end)
+        part = tags[at:end]
+        yield tokens[at:end], [1] + part[1:] if part[0] == 2 else part
+        at = end
+
+
+def _windows_of(most: int):
+    """``(window, hit, place)``: the windows with a match, and those without one where ``sampled``.
+
+    A task returns the first ``most`` of each by the hash ``place``, among which are all that can be
+    the first of all tasks.
+    """
+    def run(batches):
+        first: dict = {False: {}, True: {}}
+        for pdf in batches:
+            for text, sampled in zip(pdf["text"], pdf["sampled"]):
+                for window, hit in _examples_of(text, sampled):
+                    place = int.from_bytes(hashlib.blake2b(window.encode(), digest_size=8).digest(), "big", signed=True)
+                    first[hit][place, window] = first[hit].get((place, window), 0) + 1
+            for hit, kept in first.items():
+                if len(kept) > most:
+                    first[hit] = {k: kept[k] for k in heapq.nsmallest(most, kept)}
+        rows = [(w, hit, place) for hit, kept in first.items() for (place, w), n in kept.items() for _ in range(min(n, most))]
+        yield pd.DataFrame(rows, columns=["window", "hit", "place"]).astype({"hit": bool, "place": "int64"})
+
+    return run
+
+
+def _examples_of(text: str, sampled: bool):
+    """``(window, hit)`` of a text."""
+    base = base_spans(text)
+    if not base and not sampled:
+        return
+    secrets, of_file = sorted(_secret_parts(text, base)), file_features(text)
+    at = 0
+    for start, end in windows(text):
+        while at < len(secrets) and secrets[at][1] <= start:
+            at += 1
+        own = list(takewhile(lambda s: s[0] < end, (secrets[i] for i in range(at, len(secrets)))))
+        if not own and not sampled:
+            continue
+        tokens, _, tags = tagged(text, start, end, own)
+        for some, few in _cut(tokens, tags):
+            if sampled or any(few):
+                yield json.dumps([some, few, of_file]), any(few)
 
 
 def trained(docs: DataFrame, key: str = "doc_id", text: str = "text", sample: int = SAMPLE, most: int = WINDOWS) -> Field:
-    """A field trained on windows of a sample of about ``sample`` documents, at most ``most`` of them.
+    """A field trained on at most ``most`` windows with a match, and as many without one.
 
-    The sample is taken by a hash of the id and text, so reruns agree.
+    Those with a match are taken from all documents, the others from about ``sample`` of them,
+    by a hash of the window, so reruns agree.
     """
     n = docs.count()
     share = int(1_000_000 * min(1.0, sample / max(n, 1)))
-    rows = docs.where(F.col(text).isNotNull() & (F.pmod(F.xxhash64(key), F.lit(1_000_000)) < share)).select(F.col(text).alias("text"))
-    found = mapped(rows, _windows_of, "window string").orderBy(F.xxhash64("window"), "window").limit(most).collect()
-    if not found:
+    sampled = F.pmod(F.xxhash64(key), F.lit(1_000_000)) < share
+    rows = docs.where(F.col(text).isNotNull()).select(F.col(text).alias("text"), sampled.alias("sampled"))
+    found = stored(mapped(rows, _windows_of(most), "window string, hit boolean, place long"), "secret-windows")
+    chosen = [w for hit in (F.col("hit"), ~F.col("hit"))
+              for w in found.where(hit).orderBy("place", "window").limit(most).collect()]
+    if not chosen:
         return Field()
-    return Field().fit(examples([json.loads(w["window"]) for w in found]))
+    return Field().fit(examples([json.loads(w["window"]) for w in chosen]))
 
 
 def field_spans(field: Field, text: str) -> list:

@@ -301,3 +301,21 @@ def test_every_token_is_tagged_as_by_full_decoding(field, monkeypatch):
     unseen.emit[secret_scan._bucket("form=plain"), 0] = 5.0
     unseen.emit[secret_scan._bucket("size=2-7"), 0] = 5.0
     assert [s[1:] and f"we saw {letters} lying there"[s[0]:s[2]] for s in secret_scan.spans(unseen, f"we saw {letters} lying there")[1]] == [letters]
+
+
+def test_windows_with_and_without_a_match_have_bounds_of_their_own(spark, monkeypatch):
+    secret = "token = " + "0a" * 20
+    texts = [f"the number {10**12 + i} stands here alone" for i in range(300)] + ["\n".join([secret] * 60), f"some words and {secret} here"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    seen = []
+    monkeypatch.setattr(secret_scan, "examples", lambda rows: seen.extend(rows) or [(secret_scan.features(["a"], []), [0])])
+    secret_scan.trained(df, most=20)
+    hits = [any(tags) for _, tags, _ in seen]
+    assert hits.count(True) == 4 and hits.count(False) == 20
+    assert all(len(tokens) == len(tags) <= secret_scan.LONGEST and tags[0] != 2 for tokens, tags, _ in seen)
+    assert sum(tokens.count("0a" * 20) for tokens, _, _ in seen) == 61
+    seen.clear()
+    secret_scan.trained(df, sample=0, most=20)  # matches are taken from all documents
+    assert len(seen) == 4 and all(any(tags) for _, tags, _ in seen)
+    parts = list(secret_scan._cut(["x"] * 150, [1] + [2] * 149))
+    assert [len(t) for t, _ in parts] == [60, 60, 30] and all(tags[0] == 1 for _, tags in parts)
