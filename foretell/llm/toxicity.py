@@ -12,8 +12,9 @@
    and scores every whole text where it lies.
 
 Labels are taken only from documents outside the held-out fold (crc32 of the id as text, mod 4,
-is 2), at most ``LABELLED`` of them, chosen by a hash.  Near copies among them (by two MinHash
-values) count once, as a copied text would make all its words look toxic.  Labels, language,
+is 2), at most ``LABELLED`` of them, chosen by a hash.  Near copies among them with the same
+label (where two MinHash values agree both) count once, by the one with the smallest id, as a
+copied text would make all its words look toxic.  Labels, language,
 source and id are no inputs of a score.
 
 Defined results: a null or empty text is scored like a text without words; a null id is not
@@ -208,15 +209,20 @@ def _stems(counts: DataFrame, toxic: int, clean: int) -> list:
     return [r["stem"] for r in sorted(by_counts.values(), key=lambda r: (-r["gain"], r["stem"]))[:STEMS]]
 
 
+def _once(sketched: DataFrame) -> DataFrame:
+    """The first row by id of those with the same label that agree in both values."""
+    return sketched.groupBy("least", "most", "toxic").agg(F.min_by("text", F.struct("_id", "text")).alias("text"))
+
+
 def trained(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", most: int = LABELLED) -> Model:
     given = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     given = given.groupBy("doc_id").agg(F.max((F.col("toxic") == 1).cast("int")).alias("toxic"))
     # at most ``most`` small rows, so this side may be broadcast
     chosen = given.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).select(F.col("doc_id").alias("_id"), "toxic")
     rows = docs.join(F.broadcast(chosen), F.col(key) == F.col("_id")).select(
-        F.coalesce(F.col(text), F.lit("")).alias("text"), "toxic")
-    sketched = mapped(rows, _sketch, "text string, toxic int, least long, most long")
-    sample = stored(sketched.dropDuplicates(["least"]).dropDuplicates(["most"]).select("text", "toxic"), "tox-sample")
+        F.col("_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), "toxic")
+    sketched = mapped(rows, _sketch, "_id long, text string, toxic int, least long, most long")
+    sample = stored(_once(sketched).select("text", "toxic"), "tox-sample")
     sizes = sample.agg(F.sum("toxic"), F.count("*")).first()
     toxic, n = int(sizes[0] or 0), int(sizes[1])
     if not toxic or toxic == n:

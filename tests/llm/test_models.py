@@ -319,3 +319,9 @@ def test_windows_with_and_without_a_match_have_bounds_of_their_own(spark, monkey
     assert len(seen) == 4 and all(any(tags) for _, tags, _ in seen)
     parts = list(secret_scan._cut(["x"] * 150, [1] + [2] * 149))
     assert [len(t) for t, _ in parts] == [60, 60, 30] and all(tags[0] == 1 for _, tags in parts)
+
+
+def test_documents_that_share_one_shingle_are_all_kept(spark):
+    rows = [(1, "a", 0, 5, 9), (2, "b", 1, 5, 8), (3, "c", 1, 4, 9), (7, "later copy", 1, 5, 8), (8, "other label", 0, 5, 8)]
+    got = toxicity._once(spark.createDataFrame(rows, "_id long, text string, toxic int, least long, most long")).collect()
+    assert {(r.text, r.toxic) for r in got} == {("a", 0), ("b", 1), ("c", 1), ("other label", 0)}
