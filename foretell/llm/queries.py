@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from foretell.llm import ann, bpe, fingerprints, html_text, mixing, neardup, secret_scan, sharding, toxicity, url_filters
+from foretell.llm import ann, bpe, collocations, fingerprints, html_text, mixing, neardup, secret_scan, sharding, toxicity, url_filters
 from foretell.llm.common import load
 
 
@@ -50,12 +50,16 @@ def op10_sharding(spark, folder):
     return sharding.sharded(load(spark, folder, "documents"))
 
 
+def op11_collocations(spark, folder):
+    return collocations.mined(load(spark, folder, "documents"))
+
+
 def pipeline(spark, folder):
     return corpus_pipeline.run(spark, folder)
 
 
 QUERIES = {f.__name__: f for f in (
     op1_url_filters, op2_nearest_neighbours, op3_fingerprints, op4_mixing, op5_byte_bpe, op6_toxicity, op7_html_text,
-    op8_minhash_dedup, op9_secret_scan, op10_sharding, pipeline,
+    op8_minhash_dedup, op9_secret_scan, op10_sharding, op11_collocations, pipeline,
 )}
-ORACLE_SQL = {"op1_url_filters": url_filters.oracle()}
+ORACLE_SQL = {"op1_url_filters": url_filters.oracle(), "op11_collocations": collocations.oracle()}
