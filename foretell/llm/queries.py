@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from foretell.llm import ann, bpe, collocations, fingerprints, html_text, mixing, neardup, prefix_trie, secret_scan, sharding, toxicity, url_filters
+from foretell.llm import ann, bpe, collocations, fingerprints, html_text, mixing, neardup, prefix_trie, secret_scan, sharding, substring_dedup, toxicity, url_filters
 from foretell.llm.common import load
 
 
@@ -58,13 +58,17 @@ def op12_prefix_trie(spark, folder):
     return prefix_trie.trie(load(spark, folder, "conversations"))
 
 
+def op13_substring_dedup(spark, folder):
+    return substring_dedup.digests(load(spark, folder, "documents"))
+
+
 def pipeline(spark, folder):
     return corpus_pipeline.run(spark, folder)
 
 
 QUERIES = {f.__name__: f for f in (
     op1_url_filters, op2_nearest_neighbours, op3_fingerprints, op4_mixing, op5_byte_bpe, op6_toxicity, op7_html_text,
-    op8_minhash_dedup, op9_secret_scan, op10_sharding, op11_collocations, op12_prefix_trie, pipeline,
+    op8_minhash_dedup, op9_secret_scan, op10_sharding, op11_collocations, op12_prefix_trie, op13_substring_dedup, pipeline,
 )}
 ORACLE_SQL = {"op1_url_filters": url_filters.oracle(), "op11_collocations": collocations.oracle(),
-              "op12_prefix_trie": prefix_trie.oracle()}
+              "op12_prefix_trie": prefix_trie.oracle(), "op13_substring_dedup": substring_dedup.oracle()}
