@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_HOT_KEYS = 1000  # bound of what is broadcast; a key behind these has < 1/1000 of the rows
 ROWS_PER_SALT = 100_000
-MAX_SALTS = 2_000
 
 
 def salted_join(left: DataFrame, right: DataFrame, key: str, spread_by: str,
@@ -16,20 +14,23 @@ def salted_join(left: DataFrame, right: DataFrame, key: str, spread_by: str,
 
     The hot keys are counted first (combined map-side).  Their rows on the left get a salt
     from ``spread_by``, their rows on the right are repeated per salt; all other rows have
-    the single salt 0.  The result is that of the plain join.
+    the single salt 0.  There is at most one hot key per ``rows_per_salt`` rows, and whether
+    their list is broadcast is left to Spark's size check.  The result is that of the plain join.
+
+    Splitting skewed partitions at run time does not reach the joins this serves: an aggregation
+    by query follows in the same stage plan, and a partition of one key with a long row on the right
+    (the classes of a feature) makes its output, not its input, large.
     """
     hot = (
         left.groupBy(key).agg(F.count("*").alias("_rows"))
         .where(F.col("_rows") > rows_per_salt)
-        .orderBy(F.col("_rows").desc(), key)
-        .limit(MAX_HOT_KEYS)
-        .select(key, F.least(F.ceil(F.col("_rows") / rows_per_salt), F.lit(MAX_SALTS)).cast("int").alias("_salts"))
+        .select(key, F.ceil(F.col("_rows") / rows_per_salt).cast("int").alias("_salts"))
     )
     salts = F.coalesce("_salts", F.lit(1))
-    salted_left = left.join(F.broadcast(hot), key, "left").withColumn(
+    salted_left = left.join(hot, key, "left").withColumn(
         "_salt", F.pmod(F.xxhash64(spread_by), salts).cast("int")
     )
-    salted_right = right.join(F.broadcast(hot), key, "left").withColumn(
+    salted_right = right.join(hot, key, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), salts - 1))
     )
     return salted_left.drop("_salts").join(salted_right.drop("_salts"), [key, "_salt"], how).drop("_salt")
