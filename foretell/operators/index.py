@@ -1,78 +1,157 @@
-"""Stable row positions: a global ``row_number`` without a single-task sort."""
+"""Stable row positions and deep pages: global order without a single-task sort.
+
+Rows are cut into ranges of the whole key at bounds from a sample.  The first ``TOP`` bounds are
+found in a sample of constant size and are literals of the plan; finer ones are a table, whose
+rows hold the bounds between two of the first.  So neither the driver nor the plan holds
+anything that grows with the rows.
+"""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foretell.functions.predicates import INDEX
+from foretell.plans.workspace import stored
 
-SAMPLES_PER_BUCKET = 50
-ROWS_PER_BUCKET = 5_000_000  # rows that one task sorts, about
+SAMPLES_PER_RANGE = 50
+ROWS_PER_RANGE = 5_000_000  # rows that one task sorts, about
+TOP = 256  # bounds that the driver and the plan hold
+FEW_ROWS = 100_000  # rows that a page may sort
 
 
-def _bounds(keys: DataFrame, rows: int, buckets: int) -> list:
-    """Sorted bucket bounds from a random sample; its expected size depends on ``buckets`` alone."""
-    wanted = buckets * SAMPLES_PER_BUCKET
-    sample = keys if rows <= wanted else keys.sample(wanted / rows, 42)
-    step = F.greatest(F.floor(F.size("b") / buckets), F.lit(1))
-    picked = (
-        sample.agg(F.array_sort(F.array_distinct(F.collect_list(F.struct(*keys.columns)))).alias("b"))
-        .select("b", step.alias("step"))
-        .select(F.filter("b", lambda _, i: (i + 1) % F.col("step") == 0).alias("b"))
-        .first()["b"]
-    )
-    return [tuple(row) for row in picked]
+def _sampled(keys: DataFrame, rows: int, wanted: int) -> DataFrame:
+    """About ``wanted`` of the rows, or all."""
+    return keys if rows <= wanted else keys.sample(min(1.0, wanted / rows), 42)
+
+
+def _top_bounds(keys: DataFrame, order: list, rows: int, ranges: int) -> list:
+    """At most ``ranges - 1`` sorted bounds, from a sample whose expected size depends on ``ranges`` alone."""
+    sample = _sampled(keys, rows, ranges * SAMPLES_PER_RANGE).orderBy(*order).collect()
+    step = max(len(sample) // ranges, 1)
+    return list(dict.fromkeys(tuple(r) for r in sample[step::step]))[: ranges - 1]
+
 
+def _literals(bounds: list, types: list) -> Column:
+    rows = [F.struct(*[F.lit(v).cast(t).alias(f"k{i}") for i, (v, t) in enumerate(zip(b, types))]) for b in bounds]
+    kind = ",".join(f"k{i}:{t.simpleString()}" for i, t in enumerate(types))
+    return F.array(*rows) if rows else F.array().cast(f"array<struct<{kind}>>")
 
-def bucket_of(key: Column, bounds: Column, count: int) -> Column:
-    """How many bounds are not above the key: binary search in the sorted bounds."""
+
+def _not_above(bound: Column, key: Column, falling: list) -> Column:
+    """Whether a bound stands at or before a key; null stands before all values if it rises, behind them if it falls."""
+    if not any(falling):
+        return bound <= key
+    out = F.lit(True)
+    for i in reversed(range(len(falling))):
+        b, k = F.struct(bound[f"k{i}"]), F.struct(key[f"k{i}"])  # a struct compares its nulls
+        out = (b > k if falling[i] else b < k) | ((b == k) & out)
+    return out
+
+
+def bucket_of(key: Column, bounds: Column, most: int, falling: list = ()) -> Column:
+    """How many of the sorted bounds, ``most`` of them at most, are not above the key: binary search."""
     steps, step = [], 1
-    while step <= count:
+    while step <= most:
         steps.insert(0, step)
         step *= 2
     if not steps:
         return F.lit(0)
 
     def walk(at, step):
-        return F.when(F.get(bounds, at + step - 1) <= key, at + step).otherwise(at)
+        inside = at + step <= F.size(bounds)
+        return F.when(inside & _not_above(F.get(bounds, at + step - 1), key, list(falling)), at + step).otherwise(at)
 
     return F.reduce(F.array(*[F.lit(s) for s in steps]), F.lit(0), walk)
 
 
+def _fine_bounds(keys: DataFrame, coarse: Column, rows: int, ranges: int) -> tuple:
+    """``(table, most)``: ``(_coarse, _bounds)``, the finer bounds of each coarse range; and the most of one range."""
+    sample = _sampled(keys, rows, ranges * SAMPLES_PER_RANGE)
+    step = F.lit(max(1, min(SAMPLES_PER_RANGE, rows // ranges)))
+    listed = sample.select(coarse.alias("_coarse"), F.struct(*keys.columns).alias("b")).groupBy("_coarse").agg(
+        F.array_sort(F.array_distinct(F.collect_list("b"))).alias("b"))
+    table = stored(listed.select("_coarse", F.filter("b", lambda _, i: i % step == step - 1).alias("_bounds")), "range-bounds")
+    return table, table.agg(F.coalesce(F.max(F.size("_bounds")), F.lit(0))).first()[0]
+
+
 def with_index(df: DataFrame, order_by: list, name: str = INDEX, buckets: int | None = None) -> DataFrame:
     """Adds the 0-based position of each row in the ascending order of ``order_by``.
 
-    The order must end in a unique key.  Rows are cut into ranges of the whole key, so one
-    hot leading value is spread by the keys behind it; each range is numbered on its own
-    and shifted by the sizes of the ranges before it.  The bounds are fixed values of the
-    plan, which keeps numbers and shifts consistent when a task is run again.
+    The order must end in a unique key.  One hot leading value is spread by the keys behind it;
+    each range is numbered on its own and shifted by the sizes of the ranges before it.  The
+    bounds are fixed, which keeps numbers and shifts consistent when a task is run again.
     """
     spark = df.sparkSession
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
     keys = df.select(*[c.alias(f"k{i}") for i, c in enumerate(order)])
     rows = keys.count()
-    if rows < SAMPLES_PER_BUCKET:
+    if rows < SAMPLES_PER_RANGE:
         at = Window.orderBy(*order)
         return df.withColumn(name, F.row_number().over(at) - F.lit(1).cast("long"))
     # ranges follow the number of rows, and are as many as the cluster works on at a time at least
-    buckets = buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_PER_BUCKET))
-    bounds = _bounds(keys, rows, buckets)
-    key = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)])
+    ranges = buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_PER_RANGE))
     types = [f.dataType for f in keys.schema.fields]
-    literal = F.array(
-        *[F.struct(*[F.lit(v).cast(t).alias(f"k{i}") for i, (v, t) in enumerate(zip(b, types))]) for b in bounds]
-    )
-    bucketed = df.withColumn("_bucket", bucket_of(key, literal, len(bounds)))
-    sizes = bucketed.groupBy("_bucket").count()
-    shift = sizes.select(  # at most len(bounds) + 1 rows
-        F.col("_bucket"),
-        (F.sum("count").over(Window.orderBy("_bucket")) - F.col("count")).alias("_shift"),
-    )
-    within = Window.partitionBy("_bucket").orderBy(*order)
+    top = _top_bounds(keys, keys.columns, rows, min(ranges, TOP))
+    key = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)])
+    cut = df.withColumn("_coarse", bucket_of(key, _literals(top, types), len(top)))
+    fine = F.lit(0)
+    if ranges > TOP:
+        own = F.struct(*keys.columns)
+        table, most = _fine_bounds(keys, bucket_of(own, _literals(top, types), len(top)), rows, ranges)
+        cut = cut.join(table, "_coarse", "left")
+        fine = F.coalesce(bucket_of(key, F.col("_bounds"), most), F.lit(0))
+    cut = cut.withColumn("_fine", fine).drop("_bounds")
+    sizes = cut.groupBy("_coarse", "_fine").agg(F.count("*").alias("_rows"))
+    whole = sizes.groupBy("_coarse").agg(F.sum("_rows").alias("_all"))
+    before = whole.select("_coarse", (F.sum("_all").over(Window.orderBy("_coarse")) - F.col("_all")).alias("_before"))  # TOP rows at most
+    chain = Window.partitionBy("_coarse").orderBy("_fine")
+    shift = sizes.withColumn("_shift", F.sum("_rows").over(chain) - F.col("_rows")).join(F.broadcast(before), "_coarse").select(
+        "_coarse", "_fine", (F.col("_shift") + F.col("_before")).alias("_shift"))
+    within = Window.partitionBy("_coarse", "_fine").orderBy(*order)
     return (
-        bucketed.withColumn("_at", F.row_number().over(within))
-        .join(F.broadcast(shift), "_bucket")
+        cut.withColumn("_at", F.row_number().over(within))
+        .join(shift, ["_coarse", "_fine"])
         .withColumn(name, (F.col("_at") + F.col("_shift") - 1).cast("long"))
-        .drop("_bucket", "_at", "_shift")
+        .drop("_coarse", "_fine", "_at", "_shift")
     )
+
+
+def page_ranges(df: DataFrame, keys: list, falling: list, offset: int, limit: int | None, few: int = FEW_ROWS) -> tuple:
+    """``(rows, skipped, left)``: ``left`` rows that hold a page, of which ``skipped`` others stand before.
+
+    The rows are counted in at most ``TOP`` ranges of the key; only the ranges that the page lies in are
+    looked at again, until they hold ``few`` rows or little more than the page.
+    """
+    named = [k.alias(f"k{i}") for i, k in enumerate(keys)]
+    order = [F.desc(f"k{i}") if down else F.asc(f"k{i}") for i, down in enumerate(falling)]
+    rows, own = df, F.struct(*named)
+    types = [f.dataType for f in df.select(*named).schema.fields]
+    skipped, left = 0, df.count()
+    end = left if limit is None else min(left, offset + limit)
+    while left > max(few, 2 * (end - offset)) and offset < end:
+        bounds = _top_bounds(rows.select(*named), order, left, TOP)
+        at = bucket_of(own, _literals(bounds, types), len(bounds), falling)
+        counts = {r[0]: r[1] for r in rows.groupBy(at.alias("at")).agg(F.count("*")).collect()}  # TOP rows at most
+        first = last = start = None
+        before = skipped
+        for i in sorted(counts):
+            if before + counts[i] > offset and first is None:
+                first, start = i, before
+            if before < end:
+                last = i
+            before += counts[i]
+        kept = sum(n for i, n in counts.items() if first <= i <= last)
+        if kept == left:
+            break  # a key that many rows share; the order should end in a unique one
+        rows, skipped, left = rows.where(at.between(first, last)), start, kept
+    return rows, skipped, left
+
+
+def deep_page(df: DataFrame, keys: list, falling: list, offset: int, limit: int | None, few: int = FEW_ROWS) -> DataFrame:
+    """The rows at ``offset`` to ``offset + limit`` of an order; only the ranges that the page lies in are sorted."""
+    rows, skipped, _ = page_ranges(df, keys, falling, offset, limit, few)
+    page = rows.orderBy(*[k.desc() if down else k.asc() for k, down in zip(keys, falling)]).offset(max(offset - skipped, 0))
+    return page if limit is None else page.limit(limit)

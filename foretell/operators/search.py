@@ -6,8 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foretell.functions.predicates import column_name, condition, paths
+from foretell.operators.index import deep_page
 from foretell.operators.links import bind
 
+DEEP = 10_000  # rows before a page that a plain top-n may carry along
+
 
 def filter_rows(df: DataFrame, where: dict | None, tables: dict | None = None) -> DataFrame:
     """Rows that satisfy every proposition of ``where``."""
@@ -20,21 +23,20 @@ def select(df: DataFrame, fields: list, tables: dict | None = None) -> DataFrame
     return bind(df, fields, tables).select(*[column_name(f) for f in fields])
 
 
-def _order(order_by) -> list:
-    """Order keys: ``"f"``, ``{"$asc": "f"}``, ``{"$desc": "f"}`` or Columns."""
+def _order_keys(order_by) -> list:
+    """``(Column, falling)`` of order keys ``"f"``, ``{"$asc": "f"}``, ``{"$desc": "f"}``; other Columns as they are."""
     if order_by is None:
         return []
     keys = order_by if isinstance(order_by, (list, tuple)) else [order_by]
     out = []
     for k in keys:
         if isinstance(k, Column):
-            out.append(k)
+            out.append((k, None))
         elif isinstance(k, dict):
             (how, name), = k.items()
-            c = F.col(column_name(name))
-            out.append(c.desc() if how == "$desc" else c.asc())
+            out.append((F.col(column_name(name)), how == "$desc"))
         else:
-            out.append(F.col(column_name(k)).asc())
+            out.append((F.col(column_name(k)), False))
     return out
 
 
@@ -45,8 +47,14 @@ def _order_paths(order_by) -> list:
 
 
 def page(df: DataFrame, order_by=None, offset: int = 0, limit: int | None = 10) -> DataFrame:
-    """One page in the given order, which should end in a unique key."""
-    ordered = df.orderBy(*_order(order_by)) if order_by is not None else df
+    """One page in the given order, which should end in a unique key.
+
+    A page behind ``DEEP`` rows is found by counting ranges of the key (at once, in a few passes).
+    """
+    keys = _order_keys(order_by)
+    if offset > DEEP and keys and all(falling is not None for _, falling in keys):
+        return deep_page(df, [k for k, _ in keys], [falling for _, falling in keys], offset, limit)
+    ordered = df.orderBy(*[k if falling is None else k.desc() if falling else k.asc() for k, falling in keys]) if keys else df
     if offset:
         ordered = ordered.offset(offset)
     return ordered if limit is None else ordered.limit(limit)

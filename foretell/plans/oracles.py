@@ -292,6 +292,8 @@ def oracle_sql() -> dict[str, str]:
     o["scan_parquet"] = "SELECT * FROM customer"
     o["table_size"] = "SELECT count(*) AS size FROM lineitem"
     o["query_page"] = "SELECT * FROM customer ORDER BY c_acctbal DESC, c_custkey LIMIT 10 OFFSET 20"
+    o["deep_page"] = ("SELECT l_extendedprice, l_orderkey, l_linenumber, l_partkey FROM lineitem "
+                      "ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber, l_partkey LIMIT 10 OFFSET (SELECT count(*) // 2 FROM lineitem)")
     o["query_all"] = "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders"
     o["search_total"] = "SELECT count(*) AS total FROM orders WHERE o_orderstatus = 'F'"
     o["search_eq_and"] = ("SELECT p_partkey, p_name, p_brand, p_type FROM part "
@@ -532,6 +534,19 @@ SELECT feature, round(p, 6) AS p, CAST(row_number() OVER (ORDER BY round(p, 9) D
                        f"SELECT i AS qid, {name_features} AS f FROM {parts} WHERE i % 10 = 0", 1),
         f"SELECT i AS qid, {WS.format('p_name')} AS cs FROM {parts} WHERE i % 10 = 0",
         f"SELECT count(*) FROM {parts} WHERE i % 10 <> 0")
+    def folds(n: int, one) -> str:
+        return " UNION ALL ".join(f"SELECT CAST({i} AS BIGINT) AS fold, * FROM ({one(i)})" for i in range(n))
+
+    o["cross_validate"] = folds(5, lambda f: evaluate_sql(
+        batch_text_sql(f"{name_train} FROM {parts} WHERE i % 5 <> {f}", f"SELECT i AS qid, {name_features} AS f FROM {parts} WHERE i % 5 = {f}", 1),
+        f"SELECT i AS qid, {WS.format('p_name')} AS cs FROM {parts} WHERE i % 5 = {f}",
+        f"SELECT count(*) FROM {parts} WHERE i % 5 <> {f}"))
+    numbered = "(SELECT *, row_number() OVER (ORDER BY event_id) - 1 AS i FROM events)"
+    o["cross_validate_users"] = folds(2, lambda f: evaluate_sql(
+        batch_sql(f"SELECT CAST(user_id AS VARCHAR) AS c, {event_features} AS f FROM {numbered} WHERE i % 2 <> {f}",
+                  f"SELECT i AS qid, {event_features} AS f FROM {numbered} WHERE i % 2 = {f}", 1),
+        f"SELECT i AS qid, [CAST(user_id AS VARCHAR)] AS cs FROM {numbered} WHERE i % 2 = {f}",
+        f"SELECT count(*) FROM {numbered} WHERE i % 2 <> {f}"))
     every = features(value("p_partkey"), tokens("p_name", WS), value("p_brand"), value("p_size"),
                      value("p_retailprice"))
     first = "(SELECT * FROM part ORDER BY p_partkey LIMIT 1)"

@@ -84,6 +84,14 @@ def query_page(spark, folder):
     )
 
 
+@query
+def deep_page(spark, folder):
+    """Ten hits in the middle of all lines, in a falling and a rising order."""
+    lines = load(spark, folder, "lineitem")
+    fields = ["l_extendedprice", "l_orderkey", "l_linenumber", "l_partkey"]
+    return se.search(lines, None, fields, [{"$desc": "l_extendedprice"}, *fields[1:]], lines.count() // 2, 10)
+
+
 @query
 def query_all(spark, folder):
     return engine(spark, folder, "orders").all_entries("orders", ["o_orderkey", "o_orderstatus", "o_totalprice"])
@@ -680,6 +688,21 @@ def evaluate_text(spark, folder):
                                order_by=["p_partkey"]), "accuracy")
 
 
+@query
+def cross_validate(spark, folder):
+    """Five folds at once; a Text target."""
+    return rounded(ev.cross_validate(load(spark, folder, "part"), 5, {"p_brand": {"$get": "p_brand"}, "p_type": {"$get": "p_type"}},
+                                     "p_name", ["p_partkey"]), "accuracy")
+
+
+@query
+def cross_validate_users(spark, folder):
+    """Two folds with many classes."""
+    events = load(spark, folder, "events")
+    return rounded(ev.cross_validate(events, 2, {"event_type": {"$get": "event_type"}, "props": {"$get": "props"}}, "user_id",
+                                     ["event_id"]), "accuracy")
+
+
 @query
 def quick_predict(spark, folder):
     return rounded(ev.quick_predict(load(spark, folder, "part"), "p_type", ["p_partkey"]), "p")

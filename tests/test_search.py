@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from foretell.functions.predicates import condition
 from foretell.operators import search as se
-from foretell.operators.index import with_index
+from foretell.operators import index
+from foretell.operators.index import deep_page, page_ranges, with_index
 from foretell.operators.skew import salted_join
 from foretell.plans.engine import Engine
 
@@ -98,3 +99,31 @@ def test_salted_join_is_a_plain_join(spark, how):
     got = salted_join(left, right, "k", "q", rows_per_salt=100, how=how).select("k", "q", "v").collect()
     want = left.join(right, "k", how).select("k", "q", "v").collect()
     assert sorted(map(str, got)) == sorted(map(str, want)) and len(got) > 3000
+
+
+def test_ten_thousand_ranges(spark):
+    """More ranges than the driver has bounds for: the finer bounds come from a table."""
+    df = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, None).otherwise(F.col("id") % 7).alias("a"), F.xxhash64("id").alias("b"))
+    want = sorted((r.a is not None, r.a or 0, r.b) for r in df.collect())
+    got = with_index(df, ["a", "b"], buckets=10_000).collect()
+    assert sorted((r["_index"], r.a is not None, r.a or 0, r.b) for r in got) == [(i, *w) for i, w in enumerate(want)]
+
+
+@pytest.mark.parametrize("falling", [[False, False], [True, False], [False, True], [True, True]])
+def test_deep_pages(spark, monkeypatch, falling):
+    monkeypatch.setattr(index, "TOP", 8)
+    df = spark.range(5_000).select(F.when(F.col("id") % 5 == 0, None).otherwise(F.col("id") % 11).alias("a"), "id")
+    order = [F.col(c).desc() if down else F.col(c).asc() for c, down in zip(df.columns, falling)]
+    whole = [tuple(r) for r in df.orderBy(*order).collect()]
+    keys = [F.col("a"), F.col("id")]
+    for offset, limit in ((0, 3), (2500, 10), (4995, 10), (4000, None), (6000, 10)):
+        found = [tuple(r) for r in deep_page(df, keys, falling, offset, limit, few=20).collect()]
+        assert found == whole[offset : None if limit is None else offset + limit]
+
+
+def test_a_page_in_the_middle_sorts_few_rows(spark):
+    df = spark.range(200_000).select((F.col("id") % 3).alias("a"), "id")
+    rows, skipped, left = page_ranges(df, [F.col("a"), F.col("id")], [True, False], 100_000, 10, few=100)
+    assert left < 2_000 and rows.count() == left and skipped <= 100_000 < 100_010 <= skipped + left
+    same, _, all_ = page_ranges(df.select(F.lit(1).alias("a")), [F.col("a")], [False], 100_000, 10, few=100)
+    assert all_ == 200_000  # equal keys cannot be told apart
