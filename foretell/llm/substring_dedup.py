@@ -2,13 +2,15 @@
 
 Every string of ``LENGTH`` bytes is anchored at the leftmost least hash of its substrings of
 ``GRAM`` bytes.  Equal strings have equal anchors, so strings are only compared with those of the
-same anchor.  Neighbouring strings with one anchor place form a region (about 170 starts):
+same anchor.  Neighbouring strings with one anchor place form a region (about 140 starts):
 
 1. Each region becomes its anchor, a digest and its place; regions whose digest occurs twice are
    repeated as a whole, whatever the number of their copies.
 2. Of the other anchors with several different regions, one region of each digest is read from the
-   texts.  Shards hold whole anchors and about ``SHARD`` bytes; the suffix array of a shard is
-   made by induced sorting and its permuted common prefixes tell the repeated starts.
+   texts.  Shards hold whole anchors and about ``SHARD`` bytes.  A region is cut down to the starts of
+   which ``WIDTHS[0]`` neighbours share what they have in common with another region of the anchor, as no
+   others can be repeated; the suffix array of the rest is made by induced sorting and its permuted
+   common prefixes tell the repeated starts.
 3. An anchor with more than ``LIMIT`` different regions is cut further, by the part that 32 (then 1)
    neighbouring starts have in common, so that no group outgrows a shard; the last cut leaves
    equal strings only, which are counted.
@@ -35,9 +37,9 @@ from pyspark.sql import functions as F
 from foretell.llm.common import send_package, stored
 from foretell.llm.suffixes import repeated_starts
 
-LENGTH, GRAM = 400, 64
+LENGTH, GRAM = 400, 128
 STEP = 1 << 17  # starts handled at a time, which bounds memory in long texts
-SHARD = 1 << 20  # bytes of a suffix array
+SHARD = 1 << 21  # bytes of a suffix array
 LIMIT = 1000  # different regions of an anchor that one suffix array may hold
 WIDTHS = (32, 1)  # neighbouring starts that are cut out together of larger groups
 
@@ -176,22 +178,62 @@ def _rows(rows: list, schema: str) -> pa.RecordBatch:
 FOUND = "key long, digest binary, first int, last int"
 
 
-def _sorted_shards(length: int, size: int):
+def _classes(n: int, lead: int, length: int, width: int):
+    """``(first, last, low, begin, end)``: runs of starts that have the same ``width`` distances to the anchor, from ``low`` on.
+
+    All of them hold the bytes from ``begin`` to ``end`` of the region, which stand at the same place before
+    and behind the anchor in every region with such a run.
+    """
+    first = 0
+    while first < n:
+        low = (lead - first) // width * width
+        last = min(n - 1, lead - low)
+        yield first, last, low, lead - low, lead - low - width + 1 + length
+        first = last + 1
+
+
+def _promising(group: list, length: int, width: int) -> list:
+    """``(owner, first, body)``: the parts of the regions of one anchor that may hold a repeated start."""
+    marks: list = []
+    seen: dict = {}
+    for _, _, n, lead, body in group:
+        own = [(first, last, (low, body[begin:end])) for first, last, low, begin, end in _classes(n, lead, length, width)]
+        marks.append(own)
+        for _, _, mark in own:
+            seen[mark] = seen.get(mark, 0) + 1
+    out = []
+    for (key, digest, _, _, body), own in zip(group, marks):
+        start = None
+        for first, last, mark in [*own, (0, 0, None)]:
+            if seen.get(mark, 0) > 1:
+                start = first if start is None else start
+                end = last
+            elif start is not None:
+                out.append(((key, digest), start, body[start : end + length]))
+                start = None
+    return out
+
+
+def _sorted_shards(length: int, size: int, width: int):
     """Repeated starts of regions, by suffix arrays over whole anchors; rows come sorted by anchor."""
     def run(batches):
-        held, total = [], 0
+        group, held, total = [], [], 0
 
         def out():
             found = repeated_starts([h[2] for h in held], length)
-            return _rows([(*held[b][:2], first, last) for b, first, last in found], FOUND)
+            return _rows([(*held[b][0], first + held[b][1], last + held[b][1]) for b, first, last in found], FOUND)
 
         for batch in batches:
-            for key, digest, body in zip(*(batch.column(c).to_pylist() for c in ("key", "digest", "body"))):
-                if total >= size and key != held[-1][0]:
-                    yield out()
-                    held, total = [], 0
-                held.append((key, digest, body))
-                total += len(body)
+            for row in zip(*(batch.column(c).to_pylist() for c in ("key", "digest", "n", "lead", "body"))):
+                if group and row[0] != group[0][0]:
+                    held += _promising(group, length, width)
+                    total = sum(len(h[2]) for h in held)
+                    group = []
+                    if total >= size:
+                        yield out()
+                        held = []
+                group.append(row)
+        held += _promising(group, length, width)
         if held:
             yield out()
 
@@ -208,21 +250,15 @@ def _pieces(length: int, width: int):
             out, size = [], 0
             columns = (batch.column(c).to_pylist() for c in ("key", "digest", "n", "lead", "body"))
             for key, digest, n, lead, body in zip(*columns):
-                first = 0
-                while first < n:
-                    before = lead - first  # bytes from the start to the anchor
-                    low = before // width * width
-                    last = min(n - 1, lead - low)
-                    common = body[lead - low : max(lead - low - width + 1, 0) + length]
-                    piece = body[first : last + length]
-                    sign = _digest(key.to_bytes(8, "big", signed=True), low.to_bytes(4, "big"), common)
+                for first, last, low, begin, end in _classes(n, lead, length, width):
+                    piece, before = body[first : last + length], lead - first
+                    sign = _digest(key.to_bytes(8, "big", signed=True), low.to_bytes(4, "big"), body[begin:end])
                     own = _digest(before.to_bytes(4, "big"), piece)
                     out.append((int.from_bytes(sign[:8], "big", signed=True), own, key, digest, first, last - first + 1, before, piece))
                     size += len(piece)
                     if size > 1 << 24:
                         yield _rows(out, PIECE)
                         out, size = [], 0
-                    first = last + 1
             if out:
                 yield _rows(out, PIECE)
 
@@ -237,8 +273,8 @@ def _repeats(regions: DataFrame, length: int, shard: int, limit: int, widths: tu
     large = kinds.where(F.col("kinds") > limit).agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
     total = kinds.where(F.col("kinds") <= limit).agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     parts = max(1, -(-total // shard), min(int(spark.conf.get("spark.sql.shuffle.partitions")), total // (shard // 16)))
-    small = regions.join(kinds.where(F.col("kinds") <= limit).select("key"), "key").select("key", "digest", "body")
-    found = small.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_sorted_shards(length, shard), FOUND)
+    small = regions.join(kinds.where(F.col("kinds") <= limit).select("key"), "key").select("key", "digest", "n", "lead", "body")
+    found = small.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_sorted_shards(length, shard, WIDTHS[0]), FOUND)
     if not large[0]:
         return found
     crowded = regions.join(kinds.where(F.col("kinds") > limit).select("key"), "key")

@@ -28,16 +28,24 @@ def _types(s: np.ndarray) -> np.ndarray:
 
 def _put(sa, ends, s, items, step):
     """Puts ``items`` at the open ends of their buckets, in their order."""
-    if not len(items):
+    m = len(items)
+    if m < 2:
+        for i in items.tolist():
+            sa[ends[s[i]]] = i
+            ends[s[i]] += step
         return
     symbols = s[items]
-    order = np.argsort(symbols, kind="stable")
+    order = symbols.argsort(kind="stable")
     symbols = symbols[order]
-    first = np.flatnonzero(np.concatenate([[True], symbols[1:] != symbols[:-1]]))
-    sizes = np.diff(np.append(first, len(symbols)))
-    within = np.arange(len(symbols)) - np.repeat(first, sizes)
-    sa[ends[symbols] + step * within] = items[order]
-    ends[symbols[first]] += step * sizes
+    change = np.empty(m, bool)
+    change[0] = True
+    np.not_equal(symbols[1:], symbols[:-1], out=change[1:])
+    within = np.arange(m)
+    within -= change.nonzero()[0][change.cumsum() - 1]
+    at = ends[symbols]
+    at += within if step > 0 else -within
+    sa[at] = items[order]
+    ends[symbols] = at + step  # of equal symbols the last one counts
 
 
 def _induced_by_buckets(s, is_s, ordered, counts) -> np.ndarray:
