@@ -3,8 +3,11 @@
 The patterns of ``base_spans`` always count.  The field tags every token of a text as secret
 begin (B), inside (I) or outside (O), from the token's shape, its neighbouring words and
 features of the whole text, and is decoded by Viterbi over the whole text; its spans are added
-where no pattern matched.  Tokens are read in blocks of ``BLOCK``; what carries over is the
-words before, the scores of the three tags and a byte a token for the way back.
+where no pattern matched.  The tokens of many texts are scored together.  A token whose score as
+outside leads by more than any steps and the next token could make up is outside on every best path;
+such tokens cut the texts into short runs, which go through Viterbi side by side.  A text of more
+than ``LONG_TEXT`` characters is read in blocks of ``BLOCK`` tokens; what carries over is the words before,
+the scores of the three tags and a byte a token for the way back.  Both give the same tags.
 
 Nobody labelled secrets, so the field is trained at a distance: windows tagged by the patterns, at
 most ``WINDOWS`` with a match, of all documents, and at most ``WINDOWS`` without one, of about
@@ -12,6 +15,7 @@ most ``WINDOWS`` with a match, of all documents, and at most ``WINDOWS`` without
 learns context and shape rather than the patterns, windows with a match are repeated with
 random secrets of other shapes and other credential words, and, as counter-examples, with
 harmless numbers, addresses and names in place of the secret, or without the credential word.
+Windows become feature ids of two bytes one by one, and the fit goes by ``BATCH`` windows at a time.
 
 Defined results: a null or empty text has no spans (the digest of nothing, an empty list).
 Texts are scanned whole.  Repeated rows are scanned each; an empty table gives no rows.
@@ -24,6 +28,8 @@ import heapq
 import json
 import random
 import re
+from collections.abc import Iterator
+from functools import lru_cache
 from itertools import islice, takewhile
 
 import numpy as np
@@ -54,8 +60,12 @@ BUCKETS = 1 << 12
 TAGS = "OBI"
 HARD = -1e4  # score of a forbidden step
 BLOCK = 1 << 15  # tokens scored at a time
-KNOWN = 1 << 17  # tokens remembered by a worker
+KNOWN = 1 << 18  # tokens remembered by a worker
 SINCE = 5  # tokens after a credential word
+LONG_TEXT = 1 << 18  # characters above which a text is read on its own, in blocks
+LONG_RUN = 256  # tokens above which a run goes through Viterbi on its own
+TOGETHER = 1 << 19  # characters of texts scored together
+BATCH, PASSES = 1024, 10  # windows of a step of the fit, and least passes over all
 
 
 def base_spans(text: str) -> list:
@@ -108,6 +118,7 @@ def file_features(text: str) -> list:
         ("quotes", '"' in text), ("lines", min((text.count("\n") * 200) // n, 10)))]
 
 
+@lru_cache(1 << 15)
 def _shape(t: str) -> list:
     n = len(t)
     lower, upper = sum(c.islower() for c in t), sum(c.isupper() for c in t)
@@ -177,49 +188,38 @@ class Field:
             tags.append(int(pointer[tags[-1]]))
         return tags[::-1]
 
-    def fit(self, examples: list, rounds: int = 100, rate: float = 0.1, decay: float = 1e-4) -> Field:
-        """Maximises the likelihood of ``(feature names, tags)`` by Adam over all windows at once."""
-        longest, n = max(len(t) for _, t in examples), len(examples)
-        rows = [row for found, _ in examples for row in self.ids(found)]
-        widest = max(map(len, rows))
-        ids = np.full((len(rows), widest), BUCKETS, np.int32)  # of the tokens of all windows, one after the other
-        for i, row in enumerate(rows):
-            ids[i, : len(row)] = row
-        gold = np.zeros((n, longest), np.int64)
-        real = np.zeros((n, longest), bool)
-        for i, (_, tags) in enumerate(examples):
-            gold[i, : len(tags)], real[i, : len(tags)] = tags, True
-        line = np.arange(n)
+    def fit(self, examples, rounds: int = 100, rate: float = 0.1, decay: float = 1e-4, batch: int = BATCH) -> Field:
+        """Maximises the likelihood of ``(feature names, tags)`` by Adam.
+
+        A step takes ``batch`` windows; there are at least ``rounds`` steps and ``PASSES`` passes.
+        """
+        tokens, tags = [], []
+        for found, own in examples:
+            rows = self.ids(found)
+            wide = np.full((len(rows), max(map(len, rows))), BUCKETS, np.int16)
+            for i, row in enumerate(rows):
+                wide[i, : len(row)] = row
+            tokens.append(wide)
+            tags.append(np.array(own, np.int8))
+        self.known.clear()
+        widest, n = max(t.shape[1] for t in tokens), len(tokens)
+        sizes = np.array([len(t) for t in tags])
+        ids = np.full((sizes.sum(), widest), BUCKETS, np.int16)
+        at = 0
+        for t in tokens:
+            ids[at : at + len(t), : t.shape[1]] = t
+            at += len(t)
+        del tokens
+        gold, starts = np.concatenate(tags).astype(np.int64), np.cumsum(sizes) - sizes
         moments = [[np.zeros((BUCKETS + 1, 3)), np.zeros((BUCKETS + 1, 3))], [np.zeros((3, 3)), np.zeros((3, 3))]]
         weights = [np.zeros((BUCKETS + 1, 3)), np.zeros((3, 3))]
-        pair_gold = np.zeros((3, 3))
-        both = real[:, 1:]
-        np.add.at(pair_gold, (gold[:, :-1][both], gold[:, 1:][both]), 1)
-        for turn in range(1, rounds + 1):
-            emit, step = weights[0], weights[1].copy()
-            step[0, 2] = HARD
-            s = np.zeros((n, longest, 3))
-            s[real] = sum(emit[ids[:, f]] for f in range(widest))
-            s[:, 0, 2] += HARD
-            ahead = np.zeros((n, longest, 3))
-            ahead[:, 0] = s[:, 0]
-            for t in range(1, longest):
-                grown = np.logaddexp.reduce(ahead[:, t - 1, :, None] + step, axis=1) + s[:, t]
-                ahead[:, t] = np.where(real[:, t, None], grown, ahead[:, t - 1])
-            behind = np.zeros((n, longest, 3))
-            expected = np.zeros((3, 3))
-            total = np.logaddexp.reduce(ahead[:, -1], axis=1)
-            for t in range(longest - 2, -1, -1):
-                after = behind[:, t + 1] + s[:, t + 1]
-                behind[:, t] = np.where(real[:, t + 1, None], np.logaddexp.reduce(step + after[:, None, :], axis=2), behind[:, t + 1])
-                joint = np.exp(ahead[:, t, :, None] + step + after[:, None, :] - total[:, None, None])
-                expected += joint[real[:, t + 1]].sum(axis=0)
-            own = np.exp(ahead + behind - total[:, None, None]) * real[..., None]
-            miss = -own
-            miss[line[:, None], np.arange(longest), gold] += real
-            flat = miss[real]
-            grad = np.stack([np.bincount(ids.ravel(), np.repeat(flat[:, k], widest), BUCKETS + 1) for k in range(3)], axis=1)
-            grads = [grad / n - decay * emit, (pair_gold - expected) / n - decay * weights[1]]
+        order, r = np.arange(n), np.random.default_rng(9)
+        groups = -(-n // batch)
+        for turn in range(1, max(rounds, PASSES * groups if groups > 1 else 0) + 1):
+            if groups > 1 and turn % groups == 1:
+                order = r.permutation(n)
+            mine = order[(turn - 1) % groups :: groups]
+            grads = self._gradients(weights, ids, gold, starts[mine], sizes[mine], decay)
             for w, g, m in zip(weights, grads, moments):
                 m[0][:] = 0.9 * m[0] + 0.1 * g
                 m[1][:] = 0.999 * m[1] + 0.001 * g * g
@@ -229,13 +229,51 @@ class Field:
         self.scorer = None
         return self
 
+    @staticmethod
+    def _gradients(weights, all_ids, all_gold, starts, sizes, decay) -> list:
+        """Of the mean log likelihood of some windows, by the two passes over them side by side."""
+        n, longest = len(starts), int(sizes.max())
+        real = np.arange(longest) < sizes[:, None]
+        rows = (starts[:, None] + np.arange(longest))[real]
+        ids, widest = all_ids[rows], all_ids.shape[1]
+        gold = np.zeros((n, longest), np.int64)
+        gold[real] = all_gold[rows]
+        line = np.arange(n)
+        pair_gold = np.zeros((3, 3))
+        both = real[:, 1:]
+        np.add.at(pair_gold, (gold[:, :-1][both], gold[:, 1:][both]), 1)
+        emit, step = weights[0], weights[1].copy()
+        step[0, 2] = HARD
+        s = np.zeros((n, longest, 3))
+        s[real] = sum(emit[ids[:, f]] for f in range(widest))
+        s[:, 0, 2] += HARD
+        ahead = np.zeros((n, longest, 3))
+        ahead[:, 0] = s[:, 0]
+        for t in range(1, longest):
+            grown = np.logaddexp.reduce(ahead[:, t - 1, :, None] + step, axis=1) + s[:, t]
+            ahead[:, t] = np.where(real[:, t, None], grown, ahead[:, t - 1])
+        behind = np.zeros((n, longest, 3))
+        expected = np.zeros((3, 3))
+        total = np.logaddexp.reduce(ahead[:, -1], axis=1)
+        for t in range(longest - 2, -1, -1):
+            after = behind[:, t + 1] + s[:, t + 1]
+            behind[:, t] = np.where(real[:, t + 1, None], np.logaddexp.reduce(step + after[:, None, :], axis=2), behind[:, t + 1])
+            joint = np.exp(ahead[:, t, :, None] + step + after[:, None, :] - total[:, None, None])
+            expected += joint[real[:, t + 1]].sum(axis=0)
+        own = np.exp(ahead + behind - total[:, None, None]) * real[..., None]
+        miss = -own
+        miss[line[:, None], np.arange(longest), gold] += real
+        flat, places = miss[real], ids.ravel().astype(np.int64)
+        grad = np.stack([np.bincount(places, np.repeat(flat[:, k], widest), BUCKETS + 1) for k in range(3)], axis=1)
+        return [grad / n - decay * emit, (pair_gold - expected) / n - decay * weights[1]]
+
 
 class Scorer:
     """Scores and tags whole texts as ``Field`` does, with what is known of each token in tables."""
 
     def __init__(self, field: Field):
         self.field = field
-        room = KNOWN + BLOCK + 2
+        room = 1 << 12  # grows; places 0 and 1 are the edges of a text
         self.shape = np.zeros((room, 3))  # of the shape of a token
         self.follows = np.zeros((room, 3))  # more if a credential word is near
         self.plain = np.zeros(room, bool)
@@ -247,6 +285,23 @@ class Scorer:
         self.places: dict = {}
         for edge in ("", "KEY", "^", "$"):
             self._word(edge)
+        self.word[:2] = self.words["^"], self.words["$"]
+        self.files: dict = {}
+        self.sure = self._margins()
+
+    def _margins(self) -> tuple:
+        """What a token can gain by not being outside: from the steps alone, and if the next one were inside.
+
+        Put O in the place of B or I, and B in that of an I behind it: the path stays allowed, and
+        changes by no more than this and the scores of the two tokens.
+        """
+        step = self.field.allowed()
+        before = {None: lambda x: 0.0} | {p: (lambda x, p=p: step[p, x]) for p in range(3)}
+        after = {None: lambda x: 0.0} | {m: (lambda x, m=m: step[x, m]) for m in range(3)}
+        alone = max(before[p](x) + after[m](x) - before[p](0) - after[m](0) for p in before for x in (1, 2) for m in (None, 0, 1))
+        ahead = max(before[p](x) + step[x, 2] + after[m](2) - before[p](0) - step[0, 1] - after[m](1)
+                    for p in before for x in (1, 2) for m in after)
+        return alone + 1e-6, ahead + 1e-6
 
     def _sum(self, names: list) -> np.ndarray:
         return self.field.emit[self.field.ids([names])[0]].sum(axis=0)
@@ -262,14 +317,19 @@ class Scorer:
         return at
 
     def _add(self, token: str) -> int:
-        at = self.places[token] = len(self.places)
-        low = token.lower()
-        self.word[at] = self._word("KEY" if any(c in low for c in CREDENTIALS) else low if len(low) == 1 else "")
-        f = tuple(_shape(token))
+        at = self.places[token] = len(self.places) + 2
+        if at == len(self.word):
+            for name in ("shape", "follows", "plain", "word"):
+                table = getattr(self, name)
+                setattr(self, name, np.concatenate([table, np.zeros_like(table)]))
+        self.word[at] = self._word("KEY" if CREDENTIAL.search(token) else token.lower() if len(token) == 1 else "")
+        # words of small letters alone differ in their shape by length and number of letters only
+        f = (len(token), len(set(token))) if token.isalpha() and token.isascii() and token.islower() else tuple(_shape(token))
         if f not in self.forms:
             if len(self.forms) > KNOWN:
                 self.forms.clear()
-            self.forms[f] = self._sum(list(f)), self._sum([f"since+{x}" for x in f[:3]]), f[1] == "form=plain"
+            names = _shape(token)
+            self.forms[f] = self._sum(names), self._sum([f"since+{x}" for x in names[:3]]), names[1] == "form=plain"
         self.shape[at], self.follows[at], self.plain[at] = self.forms[f]
         return at
 
@@ -307,36 +367,43 @@ class Scorer:
             yield s
 
     def tags(self, text: str) -> list | None:
-        """The best tags of all tokens; None if all are outside."""
+        """The best tags of all tokens of one text; None if all are outside."""
+        return self._path(row for s in self.blocks(text) for row in s.tolist())
+
+    def _path(self, rows, first: bool = True, last: bool = True) -> list | None:
+        """The best tags of tokens with these scores; tokens beyond a side that is no edge are outside."""
         step = self.field.allowed().tolist()
         (oo, ob, oi), (bo, bb, bi), (io, ib, ii) = step
-        o = b = i = None
-        back = bytearray()  # of each token but the first: from which tag O, B and I come, two bits each
-        for s in self.blocks(text):
-            rows = s.tolist()
-            if o is None:
-                (o, b, i), rows = rows[0], rows[1:]
-                i += HARD
-            for so, sb, si in rows:
-                to, way = o + oo, 0
-                if b + bo > to:
-                    to, way = b + bo, 1
-                if i + io > to:
-                    to, way = i + io, 2
-                tb, x = o + ob, 0
-                if b + bb > tb:
-                    tb, x = b + bb, 4
-                if i + ib > tb:
-                    tb, x = i + ib, 8
-                ti, y = o + oi, 0
-                if b + bi > ti:
-                    ti, y = b + bi, 16
-                if i + ii > ti:
-                    ti, y = i + ii, 32
-                o, b, i = to + so, tb + sb, ti + si
-                back.append(way | x | y)
-        if o is None:
+        rows = iter(rows)
+        start = next(rows, None)
+        if start is None:
             return None
+        o, b, i = start
+        if first:
+            i += HARD
+        else:
+            o, b, i = o + oo, b + ob, i + oi
+        back = bytearray()  # of each token but the first: from which tag O, B and I come, two bits each
+        for so, sb, si in rows:
+            to, way = o + oo, 0
+            if b + bo > to:
+                to, way = b + bo, 1
+            if i + io > to:
+                to, way = i + io, 2
+            tb, x = o + ob, 0
+            if b + bb > tb:
+                tb, x = b + bb, 4
+            if i + ib > tb:
+                tb, x = i + ib, 8
+            ti, y = o + oi, 0
+            if b + bi > ti:
+                ti, y = b + bi, 16
+            if i + ii > ti:
+                ti, y = i + ii, 32
+            o, b, i = to + so, tb + sb, ti + si
+            back.append(way | x | y)
+        if not last:
+            o, b, i = o + oo, b + bo, i + io
         tag = 0 if o >= b and o >= i else 1 if b >= i else 2
         if not tag and not any(back.translate(None, OUTSIDE)):
             return None
@@ -346,6 +413,86 @@ class Scorer:
             tags.append(tag)
         return tags[::-1] if any(tags) else None
 
+    def _flat(self, tokens_of: list) -> tuple:
+        """Scores of the tokens of several texts in a row, two edges before each and one behind: ``(scores, ids, text)``."""
+        known, add = self.places, self._add
+        if len(known) > KNOWN:
+            known.clear()
+        ids: list = []
+        for tokens in tokens_of:
+            ids += (0, 0)
+            ids += [known[t] if t in known else add(t) for t in tokens]
+            ids.append(1)
+        ids = np.array(ids, np.int64)
+        n = len(ids)
+        of = np.repeat(np.arange(len(tokens_of)), [len(t) + 3 for t in tokens_of])
+        begin = np.concatenate([[0], np.cumsum([len(t) + 3 for t in tokens_of])])[of] + 2
+        word = self.word[ids]
+        s = self.shape[ids]
+        for table, shift in zip(self.around, (0, 1, 2, -1)):
+            s += table[np.roll(word, shift)]
+        at = np.arange(n)
+        key = np.maximum.accumulate(np.where((word == self.words["KEY"]) & (ids > 1), at, -1))
+        before = np.concatenate([[-1], key[:-1]])
+        far = np.where(before >= begin, at - before, SINCE + 1)
+        near = far <= SINCE
+        s += self.since[np.where(near, far, 0)]
+        s[near] += self.follows[ids[near]]
+        return s, ids, of
+
+    def tags_of(self, texts: list) -> list:
+        """The best tags of every text, as ``tags`` gives them."""
+        tokens_of = [TOKEN.findall(t) for t in texts]
+        s, ids, of = self._flat(tokens_of)
+        odd = (ids > 1) & ~self.plain[ids]
+        sums = np.zeros((len(texts), 3))
+        for i in np.unique(of[odd]):
+            found = tuple(file_features(texts[i]))
+            if found not in self.files:
+                self.files[found] = self._sum(list(found))
+            sums[i] = self.files[found]
+        s[odd] += sums[of[odd]]
+        alone, ahead = self.sure
+        lead = s[:, 0] - np.maximum(s[:, 1], s[:, 2])
+        coming = np.where(np.roll(ids, -1) == 1, -np.inf, np.roll(s[:, 2] - s[:, 1], -1))
+        open_ = (ids > 1) & ~((lead > alone) & (lead > coming + ahead))
+        edge = np.diff(np.concatenate([[0], open_.astype(np.int8), [0]]))
+        starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        tags = np.zeros(len(ids), np.int8)
+        wide = ends - starts > LONG_RUN
+        for a, b in zip(starts[wide], ends[wide]):
+            tags[a:b] = self._path(s[a:b].tolist(), ids[a - 1] == 0, ids[b] == 1) or 0
+        self._side_by_side(s, ids, starts[~wide], ends[~wide], tags)
+        out, at = [], 0
+        for tokens in tokens_of:
+            own = tags[at + 2 : at + 2 + len(tokens)]
+            out.append(own.tolist() if own.any() else None)
+            at += len(tokens) + 3
+        return out
+
+    def _side_by_side(self, s, ids, starts, ends, tags) -> None:
+        """Viterbi over many runs, longest first, a column of all runs that reach it at a time."""
+        if not len(starts):
+            return
+        order = np.argsort(starts - ends, kind="stable")
+        starts, ends = starts[order], ends[order]
+        step, sizes = self.field.allowed(), ends - starts
+        first, last = ids[starts - 1] == 0, ids[ends] == 1
+        best = s[starts] + np.where(first[:, None], [0.0, 0.0, HARD], step[0])
+        reach = [int(np.searchsorted(-sizes, -k, side="left")) for k in range(int(sizes[0]))]  # runs longer than k
+        back = [None]
+        for k in range(1, int(sizes[0])):
+            m = reach[k]
+            total = best[:m, :, None] + step
+            back.append(total.argmax(axis=1).astype(np.int8))
+            best[:m] = total.max(axis=1) + s[starts[:m] + k]
+        tag = (best + np.where(last[:, None], 0.0, step[:, 0])).argmax(axis=1)
+        for k in range(int(sizes[0]) - 1, -1, -1):
+            m = reach[k]
+            tags[starts[:m] + k] = tag[:m]
+            if k:
+                tag[:m] = back[k][np.arange(m), tag[:m]]
+
 
 OUTSIDE = bytes(w for w in range(64) if not w & 3)  # ways in which O comes from O
 
@@ -383,16 +530,11 @@ def _harmless(r: random.Random) -> str:
         f"report_{digits[:4]}.pdf", "internationally", "re-establishing", f"item/{digits[:6]}/index.html"])
 
 
-def examples(sampled: list, seed: int = 9) -> list:
-    """Training windows ``(feature names, tags)`` from ``(tokens, tags, file features)``."""
-    r, out = random.Random(seed), []
-    names: dict = {}  # equal names are one string
-
-    def add(tokens, tags, of_file):
-        out.append(([[names.setdefault(f, f) for f in row] for row in features(tokens, of_file)], tags))
-
+def examples(sampled: list, seed: int = 9):
+    """Training windows ``(feature names, tags)`` from ``(tokens, tags, file features)``, one by one."""
+    r = random.Random(seed)
     for tokens, tags, of_file in sampled:
-        add(tokens, tags, of_file)
+        yield features(tokens, of_file), tags
         at = [i for i, t in enumerate(tags) if t == 1]
         if not at:
             continue
@@ -407,8 +549,7 @@ def examples(sampled: list, seed: int = 9) -> list:
             labels = [0 if t == 2 and not labels[i - 1] else t for i, t in enumerate(labels)]
             for i in keys:
                 changed[i] = r.choice(CREDENTIALS) if secret or r.random() < 0.5 else r.choice(["page", "ref", "total", "id", "see"])
-            add(changed, labels, of_file)
-    return out
+            yield features(changed, of_file), labels
 
 
 def _cut(tokens: list, tags: list):
@@ -482,10 +623,8 @@ def trained(docs: DataFrame, key: str = "doc_id", text: str = "text", sample: in
     return Field().fit(examples([json.loads(w["window"]) for w in chosen]))
 
 
-def field_spans(field: Field, text: str) -> list:
+def _spans_of_tags(text: str, tags: list | None) -> list:
     out: list = []
-    field.scorer = field.scorer or Scorer(field)
-    tags = field.scorer.tags(text)
     if tags is None:
         return out
     for m, tag in zip(TOKEN.finditer(text), tags):
@@ -510,26 +649,52 @@ def _apart(found: list, base: list) -> list:
 
 def spans(field: Field, text: str) -> tuple:
     """Base spans, and all spans with those of the field that overlap no base span."""
-    base = base_spans(text)
-    more = _apart(field_spans(field, text), base)
-    return base, sorted(base + more)
+    return next(spans_of(field, [text]))
+
+
+def spans_of(field: Field, texts) -> Iterator[tuple]:
+    """``spans`` of every text, many texts at a time."""
+    field.scorer = field.scorer or Scorer(field)
+    texts = list(texts)
+    at = 0
+    while at < len(texts):
+        end, size = at, 0
+        while end < len(texts) and len(texts[end]) <= LONG_TEXT and size < TOGETHER:
+            size += len(texts[end])
+            end += 1
+        some = texts[at:end] or texts[at : at + 1]
+        found = field.scorer.tags_of(some) if end > at else [field.scorer.tags(some[0])]
+        for text, tags in zip(some, found):
+            base = base_spans(text)
+            yield base, sorted(base + _apart(_spans_of_tags(text, tags), base))
+        at += len(some)
 
 
 def _listed(found: list) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in found)
 
 
+_last: dict = {}  # the field that this process worked with last, with all it knows of tokens
+
+
+def _field_of(emit: np.ndarray, step: np.ndarray) -> Field:
+    mark = hashlib.sha256(emit.tobytes() + step.tobytes()).digest()
+    if mark not in _last:
+        _last.clear()
+        _last[mark] = Field(emit, step)
+    return _last[mark]
+
+
 def scanned(docs: DataFrame, key: str = "doc_id", text: str = "text", field: Field | None = None) -> DataFrame:
     """``(doc_id, n_assign, n_access, n_hex, base_sha256, spans)`` of every text."""
     field = field or trained(docs, key, text)
     emit, step = field.emit.astype(np.float32), field.step
 
     def run(batches):
-        f = Field(emit, step)
+        f = _field_of(emit, step)
         for pdf in batches:
             rows = []
-            for t in pdf["text"]:
-                base, found = spans(f, t)
+            for base, found in spans_of(f, pdf["text"]):
                 kinds = [k for _, k, _ in base]
                 rows.append((kinds.count(0), kinds.count(1), kinds.count(2),
                              hashlib.sha256(_listed(base).encode()).hexdigest(), _listed(found)))
@@ -552,16 +717,19 @@ def redacted(docs: DataFrame, text: str = "text", key: str = "doc_id", field: Fi
     send_package(docs.sparkSession)
 
     @F.pandas_udf("string")
-    def clean(texts: pd.Series) -> pd.Series:
-        f = Field(emit, step)
-        return texts.map(lambda t: None if t is None else _without(f, t))
+    def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        f = _field_of(emit, step)
+        for texts in batches:
+            known = texts.fillna("")
+            out = pd.Series([_without(t, found) for t, (_, found) in zip(known, spans_of(f, known))], texts.index, object)
+            yield out.where(texts.notna(), None)
 
     return docs.withColumn(text, clean(F.col(text)))
 
 
-def _without(field: Field, text: str) -> str:
+def _without(text: str, found: list) -> str:
     out, at = [], 0
-    for a, _, b in spans(field, text)[1]:
+    for a, _, b in found:
         if a >= at:
             out += [text[at:a], MARK]
         at = max(at, b)
