@@ -67,10 +67,13 @@ def analyze(text: Column | str, analyzer) -> Column:
     """Tokens of ``text``, in order and with repetitions; null stays null."""
     text = F.col(text) if isinstance(text, str) else text
     a = S.analyzer(analyzer)
+    # equal analyzers give equal tokens
+    if a == S.Alias("whitespace"):
+        return _not_empty(F.split(text, r"\s+"))
     if isinstance(a, S.Alias):
-        if a.name == "whitespace":
-            return _not_empty(F.split(text, r"\s+"))
-        return words(text)
+        if a.name == "standard":
+            return words(text)
+        a = S.Language(a.name)
     if isinstance(a, S.Delimiter):
         quoted = r"\Q" + a.delimiter.replace(r"\E", r"\E\\E\Q") + r"\E"
         parts = F.split(text, quoted)

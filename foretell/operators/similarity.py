@@ -1,65 +1,135 @@
-"""Similarity: rows most like an example, by the cosine of idf-weighted features."""
+"""Similarity: rows most like an example, by the cosine of idf-weighted features.
+
+An ``Index`` holds what a query needs: the postings (feature, row) in the order of features and,
+within one, of the rows' norms, so that the strongest come first; how often each feature occurs; and the
+number of rows.  It is made in one pass that tokenises every row once.  A query reads the postings
+of its own features alone.  Rows that are added later are tokenised once too; then the norms, which depend
+on all rows, are made anew from the stored postings.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foretell.functions.analyzers import once
 from foretell.functions.features import query_evidence, row_features
 from foretell.functions.predicates import paths
-from foretell.operators.counts import SCORE_DIGITS, take_best
+from foretell.operators.counts import SCORE_DIGITS, take_best, unnest
 from foretell.operators.links import bind
 from foretell.operators.skew import ROWS_PER_SALT, salted_join
+from foretell.plans.workspace import stored
+
+
+def squared_idf(frequency: Column, n: int) -> Column:
+    idf = F.log((F.lit(n) + 1.0) / (frequency + 1.0)) + 1.0
+    return idf * idf
+
+
+def _postings(df: DataFrame, fields: list, key: str, tables: dict | None) -> DataFrame:
+    """``(key, feature)``; a row without features keeps one entry, with a null feature."""
+    bound = bind(df, fields, tables)
+    return bound.select(F.col(key).alias("key"), unnest(row_features(bound, fields)).alias("feature"))
+
+
+@dataclass
+class Index:
+    """An inverted index over ``fields`` of a table, under ``key``; ``like`` names their types and analyzers."""
+
+    like: DataFrame
+    fields: list
+    key: str
+    tables: dict | None
+    postings: DataFrame  # (feature, key, norm)
+    frequency: DataFrame  # (feature, df)
+    n: int
+    rows_per_salt: int = ROWS_PER_SALT
+
+    def append(self, df: DataFrame) -> Index:
+        """The index of these rows and those of ``df``, whose keys must be new."""
+        new = stored(_postings(df, self.fields, self.key, self.tables), "postings")
+        counts = new.groupBy("feature").agg(F.count("*").alias("df")).where("feature IS NOT NULL")
+        frequency = self.frequency.unionByName(counts).groupBy("feature").agg(F.sum("df").alias("df"))
+        n = self.n + new.select("key").distinct().count()
+        whole = self.postings.select("key", "feature").unionByName(new.where("feature IS NOT NULL"))
+        return _made(self.like, self.fields, self.key, self.tables, whole, stored(frequency, "frequencies"), n, self.rows_per_salt)
+
+    def scores(self, example: dict) -> DataFrame:
+        """``(key, score)`` of all rows that share a feature with ``example``, from the postings of its features."""
+        wanted, norm, known = self._asked(example)
+        if not known:
+            return self.postings.select(F.col("key").alias(self.key), F.lit(0.0).alias("score")).limit(0)
+        weight = F.create_map(*[F.lit(x) for item in known.items() for x in item])
+        own = self.postings.where(F.col("feature").isin(wanted))
+        return own.groupBy("key").agg(F.sum(F.element_at(weight, F.col("feature"))).alias("shared"), F.max("norm").alias("norm")).select(
+            F.col("key").alias(self.key), (F.col("shared") / (F.col("norm") * F.lit(norm))).alias("score"))
+
+    def _asked(self, example: dict) -> tuple:
+        """``(features, norm, {feature: weight of those that occur})``; of the query's size."""
+        if {f for f, v in example.items() if v is not None} - set(self.fields):
+            raise ValueError(f"the index holds {self.fields}, not {sorted(example)}")
+        wanted = query_evidence(bind(self.like, paths(example), self.tables), example).names
+        rows = self.frequency.where(F.col("feature").isin(wanted)).select("feature", squared_idf(F.col("df"), self.n)).collect() if wanted else []
+        known = {r[0]: r[1] for r in rows}
+        unseen = self.like.sparkSession.sql("SELECT 0 AS df").select(squared_idf(F.col("df"), self.n)).first()[0]
+        return wanted, sum(known.get(w, unseen) for w in wanted) ** 0.5, known
+
+    def top(self, df: DataFrame, example: dict, limit: int | None = 10) -> DataFrame:
+        """The rows of ``df`` most like ``example`` with ``score`` and ``rank``."""
+        return _with_rows(df, self.scores(example), self.key, limit)
+
+
+def _made(like, fields, key, tables, postings: DataFrame, frequency: DataFrame, n: int, rows_per_salt: int) -> Index:
+    weights = frequency.select("feature", squared_idf(F.col("df"), n).alias("w"))
+    norms = (salted_join(postings, weights, "feature", "key", rows_per_salt)
+             .groupBy("key").agg(F.sqrt(F.sum("w")).alias("norm")))
+    listed = postings.join(norms, "key")
+    ordered = listed.select("feature", "key", "norm").repartitionByRange("feature", "norm").sortWithinPartitions("feature", "norm")
+    return Index(like, fields, key, tables, stored(ordered, "index"), frequency, n, rows_per_salt)
+
+
+def build_index(df: DataFrame, fields: list, key: str, tables: dict | None = None, rows_per_salt: int = ROWS_PER_SALT) -> Index:
+    """An ``Index`` over the rows of ``df``; keys are unique."""
+    postings = stored(_postings(df, fields, key, tables), "postings")
+    frequency = stored(postings.where("feature IS NOT NULL").groupBy("feature").agg(F.count("*").alias("df")), "frequencies")
+    n = df.count()
+    return _made(df, list(fields), key, tables, postings.where("feature IS NOT NULL"), frequency, n, rows_per_salt)
 
 
 def similarity_scores(df: DataFrame, example: dict, key: str, tables: dict | None = None,
                       rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
-    """``(key, score)`` of all rows that share a feature with ``example``.
+    """``(key, score)`` of all rows that share a feature with ``example``, without an index.
 
-    Features are counted over the whole table, combined map-side.  Only rows that share a
-    feature are expanded and joined to the counts, with frequent features spread.
+    The rows are tokenised once; features are counted over the whole table, combined map-side.  Norms
+    are only made of rows that share a feature, with frequent features spread.
     """
-    bound = bind(df, paths(example), tables)
     fields = [f for f, v in example.items() if v is not None]
-    wanted = query_evidence(bound, example).names
+    wanted = query_evidence(bind(df, paths(example), tables), example).names
     if not wanted:
-        return bound.select(key, F.lit(0.0).alias("score")).limit(0)
-    asked = F.array(*[F.lit(w) for w in wanted])
-    features = row_features(bound, fields)
-    frequency = bound.select(F.explode(features).alias("feature")).groupBy("feature").agg(F.count("*").alias("df"))
-    n = bound.agg(F.count("*")).scalar()
-
-    def squared_idf(frequency, n):
-        idf = F.log((n + 1.0) / (frequency + 1.0)) + 1.0
-        return idf * idf
-
-    # a filter would be pushed below the count and cost a second pass over the texts
-    entry = F.when(F.col("feature").isin(wanted), F.struct("feature", "df"))
-    known = frequency.agg(F.map_from_entries(F.collect_list(entry))).scalar()
-    norm = F.reduce(
-        asked, F.lit(0.0),
-        lambda acc, t: acc + squared_idf(F.coalesce(F.try_element_at("known", t), F.lit(0)), F.col("n")),
-    )
-    # rows without a shared feature become empty before they are expanded
-    sharing = bound.select(
-        key, F.explode(once(features, lambda f: F.when(F.arrays_overlap(f, asked), f))).alias("feature")
-    )
-    weights = frequency.withColumn("w", squared_idf(F.col("df"), n)).select("feature", "w")
+        return df.select(key, F.lit(0.0).alias("score")).limit(0)
+    postings = stored(_postings(df, fields, key, tables).where("feature IS NOT NULL"), "postings")
+    frequency = stored(postings.groupBy("feature").agg(F.count("*").alias("df")), "frequencies")
+    index = Index(df, fields, key, tables, postings, frequency, df.count(), rows_per_salt)
+    _, norm, known = index._asked(example)
+    if not known:
+        return df.select(key, F.lit(0.0).alias("score")).limit(0)
+    sharing = postings.where(F.col("feature").isin(wanted)).select("key").distinct()
+    weights = frequency.select("feature", squared_idf(F.col("df"), index.n).alias("w"))
     sums = (
-        salted_join(sharing, weights, "feature", key, rows_per_salt)
-        .groupBy(key)
+        salted_join(postings.join(sharing, "key", "left_semi"), weights, "feature", "key", rows_per_salt)
+        .groupBy("key")
         .agg(F.sum("w").alias("all"), F.sum(F.when(F.col("feature").isin(wanted), F.col("w"))).alias("shared"))
     )
-    return (
-        sums.withColumn("known", known).withColumn("n", n)
-        .select(key, (F.col("shared") / F.sqrt(norm * F.col("all"))).alias("score"))
-    )
+    return sums.select(F.col("key").alias(key), (F.col("shared") / (F.sqrt("all") * F.lit(norm))).alias("score"))
 
 
-def similarity(df: DataFrame, example: dict, key: str, limit: int | None = 10, tables: dict | None = None) -> DataFrame:
-    """The rows most like ``example`` with ``score`` and ``rank``."""
-    scores = similarity_scores(df, example, key, tables)
+def _with_rows(df: DataFrame, scores: DataFrame, key: str, limit: int | None) -> DataFrame:
     best = take_best(scores, [-F.round("score", SCORE_DIGITS), F.col(key)], limit)
     # at most ``limit`` rows are broadcast; without a limit Spark chooses the join
     return df.join(best if limit is None else F.broadcast(best), key)
+
+
+def similarity(df: DataFrame, example: dict, key: str, limit: int | None = 10, tables: dict | None = None) -> DataFrame:
+    """The rows most like ``example`` with ``score`` and ``rank``."""
+    return _with_rows(df, similarity_scores(df, example, key, tables), key, limit)

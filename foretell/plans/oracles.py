@@ -334,6 +334,9 @@ def oracle_sql() -> dict[str, str]:
         "list_filter(list_transform(string_split(o_orderpriority, '-'), lambda t: trim(t)), lambda t: t <> '')")
     o["tok_delimiter_untrimmed"] = token_table(
         "documents", "doc_id", "list_filter(string_split(text, '.'), lambda t: t <> '')")
+    o["tok_cjk"] = token_table("documents", "doc_id", (
+        f"flatten(list_transform({words('text')}, lambda w: CASE WHEN length(w) < 2 THEN [w] "
+        "ELSE list_transform(range(1, length(w)), lambda i: substr(w, i, 2)) END))"))
     o["tok_language"] = token_table("documents", "doc_id", _dropped(["the", "and", "of", "is", "worthless"]))
     o["tok_char_ngram"] = token_counts("part", "p_partkey", char_grams("p_name", 2, 4))
     o["tok_char_ngram_accents"] = token_counts("documents", "doc_id", char_grams("text", 3, 3))
@@ -494,6 +497,7 @@ SELECT feature, round(p, 6) AS p, CAST(row_number() OVER (ORDER BY round(p, 9) D
         "SELECT doc_id, lang, source, round(score, 6) AS score, "
         "CAST(row_number() OVER (ORDER BY round(score, 9) DESC, doc_id) AS INTEGER) AS rank "
         "FROM scores JOIN documents USING (doc_id) QUALIFY rank <= 10")
+    o["similarity_indexed"] = o["similarity_top"]
     o["similarity_all"] = similarity_sql(
         ["text:the", "text:and", "text:la", "text:que", "lang=es"], features(text_features, value("lang"))) + (
         "SELECT doc_id, round(score, 6) AS score FROM scores")

@@ -24,7 +24,7 @@ from foretell.operators.index import with_index
 from foretell.functions.features import classes, row_features
 from foretell.operators.predict import predict
 from foretell.operators.relate import relate
-from foretell.operators.similarity import similarity_scores
+from foretell.operators.similarity import build_index, similarity_scores
 from foretell.plans.engine import Engine
 from foretell.plans.workspace import fresh_path
 from foretell.sources import files
@@ -230,6 +230,12 @@ def tok_delimiter_untrimmed(spark, folder):
     return an.tokens(load(spark, folder, "documents"), "doc_id", "text", S.Delimiter(".", trim=False))
 
 
+@query
+def tok_cjk(spark, folder):
+    """A language named by its alias, as inference gives it."""
+    return an.tokens(load(spark, folder, "documents"), "doc_id", "text", "cjk")
+
+
 @query
 def tok_language(spark, folder):
     words = S.Language("en", stop_words=("the", "and", "of", "is"), key_words=("worthless",))
@@ -627,6 +633,16 @@ def similarity_top(spark, folder):
     return rounded(found, "score").select("doc_id", "lang", "source", "score", "rank")
 
 
+@query
+def similarity_indexed(spark, folder):
+    """An index over two thirds of the documents, extended by the others; the same hits as ``similarity_top``."""
+    documents = load(spark, folder, "documents")
+    late = F.pmod("doc_id", F.lit(3)) == 1
+    index = build_index(documents.where(~late), ["text"], "doc_id").append(documents.where(late))
+    found = index.top(documents, {"text": "worthless and the tionever of heran"})
+    return rounded(found, "score").select("doc_id", "lang", "source", "score", "rank")
+
+
 @query
 def similarity_all(spark, folder):
     example = {"text": "The and la que", "lang": "es"}

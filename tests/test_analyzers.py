@@ -54,3 +54,15 @@ def test_long_text_is_whole_and_linear(spark):
     n = df.select(F.size(analyze("t", S.TokenNGram("whitespace", 1, 2))).alias("n"),
                   F.size(analyze("t", S.CharNGram(3, 3))).alias("c"), F.length("t").alias("l")).first()
     assert n["n"] == 59_999 and n["c"] == n["l"] - 2
+
+
+@pytest.mark.parametrize("name", ["whitespace", *sorted(set(S.LANGUAGES.values()))])
+def test_equal_analyzers_give_equal_tokens(spark, name):
+    other = S.Delimiter(" ") if name == "whitespace" else S.Language(name)
+    assert S.Alias(name) == other
+    for text in ("  a\tb \n c ", NAIVE, "東京 タワー abc x", ""):
+        assert run(spark, text, S.Alias(name)) == run(spark, text, other)
+
+
+def test_cjk_by_alias_gives_pairs_of_letters(spark):
+    assert run(spark, "東京タワー x", "cjk") == ["東京", "京タ", "タワ", "ワー", "x"]

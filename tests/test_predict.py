@@ -14,7 +14,7 @@ from foretell.operators.counts import log_sum_exp
 from foretell.operators.predict import predict
 from foretell.operators.rank import match, recommend
 from foretell.operators.relate import relate
-from foretell.operators.similarity import similarity, similarity_scores
+from foretell.operators.similarity import build_index, similarity, similarity_scores
 from foretell.plans.engine import Engine
 
 TOKENS = ["red", "blue", "big", "old", "new", "hot"]
@@ -224,6 +224,13 @@ def test_similarity(table, rows, salt):
     best = similarity(table, example, "id", 5).orderBy("rank").collect()
     assert [r["id"] for r in best] == sorted(want, key=lambda i: (-round(want[i], 9), i))[:5]
     assert similarity(table, {"text": ""}, "id").count() == 0
+    late = F.col("id") % 3 == 1
+    index = build_index(table.where(~late), ["text", "a"], "id", rows_per_salt=salt).append(table.where(late))
+    assert {r["id"]: r["score"] for r in index.scores(example).collect()} == pytest.approx(want)
+    assert [r["id"] for r in index.top(table, example, 5).orderBy("rank").collect()] == [r["id"] for r in best]
+    assert index.scores({"text": "unknown"}).count() == 0
+    with pytest.raises(ValueError):
+        index.scores({"kind": "x"})
 
 
 @pytest.fixture(scope="module")
