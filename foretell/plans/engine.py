@@ -1,9 +1,8 @@
 """Named tables and the queries over them.
 
 ``Engine`` holds names, schemas and links; every query is handed to a function of
-``foretell.operators`` and comes back as a DataFrame.  Stored tables are Parquet tables of
-the Spark catalog; a change writes a new version and then points the name to it, so no
-data is overwritten while it is read.
+``foretell.operators`` and comes back as a DataFrame.  Stored tables (see ``plans.stored``) are
+Parquet tables of the Spark catalog; no data is overwritten while it is read.
 """
 
 from __future__ import annotations
@@ -22,7 +21,7 @@ from foretell.operators.links import bind, expand_links
 from foretell.operators.predict import predict
 from foretell.operators.relate import relate
 from foretell.operators.similarity import similarity
-from foretell.plans.workspace import fresh_path
+from foretell.plans.stored import StoredTable
 from foretell.sources import files
 
 RESULT_FIELDS = {"$p": "p", "$score": "score", "$why": "why"}  # fixed values
@@ -76,7 +75,10 @@ class Engine:
     def table(self, name: str) -> DataFrame:
         if name in self._frames:
             return self._frames[name]
-        return self.spark.table(self._catalog_name(name))
+        return self._stored(name).read()
+
+    def _stored(self, name: str) -> StoredTable:
+        return StoredTable(self.spark, self._catalog_name(name))
 
     @property
     def tables(self) -> dict:
@@ -97,27 +99,17 @@ class Engine:
 
     def _store(self, name: str, df: DataFrame) -> DataFrame:
         """Writes a new version of a table and points the name to it."""
-        path = fresh_path(self.spark, name)
-        files.write_parquet(df, path)
-        target = self._catalog_name(name)
-        exists = self.spark.catalog.tableExists(target)
-        if exists and [(f.name, f.dataType, f.metadata) for f in self.spark.table(target).schema.fields] == [
-                (f.name, f.dataType, f.metadata) for f in df.schema.fields]:
-            self.spark.sql(f"ALTER TABLE {target} SET LOCATION '{path}'")  # the name is never gone
-            self.spark.catalog.refreshTable(target)
-        else:
-            if exists:
-                self.spark.sql(f"DROP TABLE {target}")
-            self.spark.catalog.createTable(target, path=path, source="parquet")
+        self._stored(name).write(df)
         self._frames.pop(name, None)
-        return self.spark.table(target)
+        return self.table(name)
 
     def create_table(self, name: str, df: DataFrame, schema=None) -> DataFrame:
         return self._store(name, conform(df, schema) if schema is not None else df)
 
     def append(self, name: str, df: DataFrame) -> int:
         """Adds entries under the schema of the table; all or nothing.  Returns their number."""
-        current = self.spark.table(self._catalog_name(name))
+        stored = self._stored(name)
+        current = stored.read()
         missing = [c for c in df.columns if c not in current.columns]
         if missing:
             raise ValueError(f"table {name!r} has no columns {missing}")
@@ -128,7 +120,7 @@ class Engine:
         rows = df.select("*", *absent).select(
             *[F.col(c).cast(current.schema[c].dataType).alias(c) for c in current.columns]
         ).observe(seen, F.count("*").alias("n"))
-        rows.write.mode("append").insertInto(self._catalog_name(name))
+        stored.add_rows(rows)
         loaded = seen.get["n"]
         if not loaded:
             raise ValueError(f"nothing was loaded into {name!r}")
@@ -151,7 +143,12 @@ class Engine:
         files.write_ndjson(self.table(name), path, gzip)
 
     def delete_entries(self, name: str, where: dict) -> DataFrame:
-        return self._store(name, delete_entries(self.table(name), where, self.tables))
+        """Deletes the rows that satisfy ``where`` by noting their places; no row is rewritten."""
+        stored = self._stored(name)
+        rows = stored.read(places=True)
+        bound = bind(rows, paths(where), self.tables)
+        stored.delete(bound.where(F.coalesce(condition(bound, where), F.lit(False))))
+        return self.table(name)
 
     def copy_table(self, source: str, target: str, replace: bool = False) -> DataFrame:
         if not replace and self.spark.catalog.tableExists(self._catalog_name(target)):
@@ -159,14 +156,19 @@ class Engine:
         return self._store(target, self.table(source))
 
     def create_column(self, name: str, column: str, schema, default=None) -> DataFrame:
-        return self._store(name, create_column(self.table(name), column, schema, default))
+        """Adds or replaces a column without rewriting the table."""
+        field = create_column(self.table(name).limit(0), column, schema, default).schema[column]
+        self._stored(name).add_column(field, default)
+        return self.table(name)
 
     def delete_column(self, name: str, column: str) -> DataFrame:
-        return self._store(name, delete_column(self.table(name), column))
+        """Drops a column without rewriting the table."""
+        self._stored(name).drop_column(column)
+        return self.table(name)
 
     def optimize_table(self, name: str, files: int | None = None, cluster_by: list | None = None) -> DataFrame:
         """Rewrites a table into fewer, larger files and computes its statistics."""
-        stored = self._store(name, compact(self.table(name), files, cluster_by))
+        stored = self._store(name, compact(self.table(name), files, cluster_by))  # without deleted rows
         self.spark.sql(f"ANALYZE TABLE {self._catalog_name(name)} COMPUTE STATISTICS FOR ALL COLUMNS")
         return stored
 

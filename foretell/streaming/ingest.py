@@ -1,4 +1,10 @@
-"""Incremental ingest of NDJSON files as a stream."""
+"""Incremental ingest of NDJSON files as a stream.
+
+Every micro-batch writes the rows that fit and those that do not to folders of its own, and then one
+record to the log beside the table.  The record publishes both at once: readers take the folders
+that the log names, so they see a batch wholly or not at all.  A batch that fails before its record
+is written is repeated by the stream and replaces its folders; one that failed after it is left alone.
+"""
 
 from __future__ import annotations
 
@@ -6,12 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.errors import AnalysisException
 
 from foretell import schema as S
 from foretell.operators.conform import as_schema, cast
 
 CORRUPT = "_corrupt_record"
 BATCH = "batch_id"
+#: a record covers the batches ``first`` to ``last``; ``rows`` and ``rejected`` name their folders, and how many rows they hold
+LOG = "first long, last long, rows string, rejected string, n_rows long, n_rejected long"
 
 
 def _checked(raw: DataFrame, table: S.Table) -> DataFrame:
@@ -29,13 +38,39 @@ def _checked(raw: DataFrame, table: S.Table) -> DataFrame:
     )
 
 
+def _write(rows: DataFrame, path: str) -> int:
+    rows.write.mode("overwrite").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path).count()  # from the footers
+
+
+def _publish(spark: SparkSession, table: str, record: tuple) -> None:
+    """One record; the file of it appears when it is complete."""
+    spark.createDataFrame([record], LOG).coalesce(1).write.mode("append").json(_log_path(table))
+
+
+def _log_path(table: str) -> str:
+    return table.rstrip("/") + ".log"
+
+
+def log(spark: SparkSession, table: str) -> list:
+    """The records in force, by batch: of those that cover a batch the one that covers most."""
+    try:
+        records = spark.read.schema(LOG).json(_log_path(table)).collect()  # a record a batch, fewer after compaction
+    except AnalysisException:
+        return []  # nothing was published yet
+    out: list = []
+    for r in sorted(records, key=lambda r: (r["first"], -r["last"], r["rows"])):
+        if not out or r["first"] > out[-1]["last"]:
+            out.append(r)
+    return out
+
+
 def ingest_stream(spark: SparkSession, source: str, schema, table: str, rejected: str, checkpoint: str,
                   trigger: dict | None = None, max_files: int | None = None) -> StreamingQuery:
     """Loads new NDJSON files under ``source`` into ``table``, conformed to ``schema``.
 
-    Rows that do not fit go to ``rejected`` as they came, with the columns at fault.  Each
-    micro-batch owns a partition folder that a rerun replaces, so a batch that is repeated
-    after a failure is not loaded twice.
+    Rows that do not fit go to ``rejected`` as they came, with the columns at fault.  A batch that is
+    repeated after a failure is not loaded twice.
     """
     columns = as_schema(schema)
     as_text = T.StructType([T.StructField(n, T.StringType()) for n in [*columns.columns, CORRUPT]])
@@ -45,13 +80,13 @@ def ingest_stream(spark: SparkSession, source: str, schema, table: str, rejected
     checked = _checked(reader.json(source), columns)
 
     def load(batch: DataFrame, batch_id: int) -> None:
+        if any(r["first"] <= batch_id <= r["last"] for r in log(batch.sparkSession, table)):
+            return
         batch.persist()
         fits = F.size("errors") == 0
-        for part, path in (
-            (batch.where(fits).select("row.*"), table),
-            (batch.where(~fits).select("raw.*", "errors"), rejected),
-        ):
-            part.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+        folders = [f"{path}/{BATCH}={batch_id}" for path in (table, rejected)]
+        counts = [_write(batch.where(fits).select("row.*"), folders[0]), _write(batch.where(~fits).select("raw.*", "errors"), folders[1])]
+        _publish(batch.sparkSession, table, (batch_id, batch_id, *folders, *counts))
         batch.unpersist()
 
     return (
@@ -60,9 +95,38 @@ def ingest_stream(spark: SparkSession, source: str, schema, table: str, rejected
     )
 
 
+def _read(spark: SparkSession, folders: list, kind: T.StructType) -> DataFrame:
+    return spark.read.schema(kind).parquet(*folders) if folders else spark.createDataFrame([], kind)
+
+
 def loaded(spark: SparkSession, table: str, schema) -> DataFrame:
-    """The rows a stream has loaded so far."""
-    return S.attach(spark.read.parquet(table).drop(BATCH), as_schema(schema))
+    """The rows a stream has published so far; a later batch does not change what this frame reads."""
+    columns = as_schema(schema)
+    kind = T.StructType([T.StructField(n, S.SPARK_TYPES[c.type]) for n, c in columns.columns.items()])
+    return S.attach(_read(spark, [r["rows"] for r in log(spark, table)], kind), columns)
+
+
+def rejects(spark: SparkSession, table: str, schema) -> DataFrame:
+    """The rows that did not fit, of the same batches, with the columns at fault."""
+    names = [*as_schema(schema).columns, CORRUPT]
+    kind = T.StructType([*(T.StructField(n, T.StringType()) for n in names), T.StructField("errors", T.ArrayType(T.StringType()))])
+    return _read(spark, [r["rejected"] for r in log(spark, table)], kind)
+
+
+def compact_stream(spark: SparkSession, table: str, schema, rejected: str) -> int:
+    """Puts the small files of all published batches into few; returns the number of batches.
+
+    The new folders are published by one record that covers these batches; what reads the old ones
+    meanwhile still finds them.
+    """
+    records = log(spark, table)
+    if len(records) < 2:
+        return 0
+    first, last = records[0]["first"], records[-1]["last"]
+    folders = [f"{path.rstrip('/')}.compact/{first}-{last}" for path in (table, rejected)]
+    counts = [_write(loaded(spark, table, schema).hint("rebalance"), folders[0]), _write(rejects(spark, table, schema).hint("rebalance"), folders[1])]
+    _publish(spark, table, (first, last, *folders, *counts))
+    return last - first + 1
 
 
 def progress(query: StreamingQuery) -> list:

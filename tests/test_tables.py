@@ -6,8 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from foretell import schema as S
+from foretell.plans import stored
 from foretell.plans.engine import Engine
 from foretell.plans.workspace import SETTING, fresh_path, shared_dir
+from foretell.streaming import ingest
 from foretell.streaming.ingest import ingest_stream, loaded, progress
 
 SCHEMA = {"type": "table", "columns": {"id": {"type": "Int"}, "t": {"type": "Text", "nullable": True, "analyzer": "en"}}}
@@ -65,6 +67,60 @@ def test_delete_copy_columns_optimize(engine):
     assert ids(engine.table(t)) == [0, 1, 2, 3, 4]
 
 
+def files_of(engine, t):
+    return sorted(engine.spark.table(f"default.{t}").inputFiles())
+
+
+def test_columns_change_without_rewriting(engine):
+    t = fresh(engine, "columns")
+    before = files_of(engine, t)
+    engine.create_column(t, "note", {"type": "String", "nullable": True}, "it's \\ new")
+    engine.create_column(t, "x", {"type": "Decimal"}, 1.5)
+    engine.create_column(t, "flag", {"type": "Boolean", "nullable": True})
+    engine.append(t, engine.spark.createDataFrame([(10, None, 2.5)], "id int, note string, x double"))
+    assert {(r["note"], r["x"], r["flag"]) for r in engine.table(t).collect()} == {("it's \\ new", 1.5, None), (None, 2.5, None)}
+    engine.delete_column(t, "note")
+    engine.create_column(t, "note", {"type": "Int", "nullable": True})  # a name that was dropped comes back empty
+    assert {r["note"] for r in engine.table(t).collect()} == {None} and engine.schema(t).columns["note"].type == "Int"
+    engine.create_column(t, "id", {"type": "String"}, "same")  # replaced in its place
+    assert engine.table(t).columns == ["id", "t", "x", "flag", "note"] and {r["id"] for r in engine.table(t).collect()} == {"same"}
+    assert S.analyzer_of(engine.table(t), "t") == S.Alias("en")
+    assert set(before) < set(files_of(engine, t))
+    engine.optimize_table(t, files=1)
+    assert engine.table(t).columns == ["id", "t", "x", "flag", "note"] and engine.table(t).count() == 11
+    assert engine.schema(t).columns["x"].type == "Decimal"
+
+
+def test_deleting_writes_places_alone(engine, monkeypatch):
+    t = fresh(engine, "places", 1000)
+    before = files_of(engine, t)
+    assert ids(engine.delete_entries(t, {"id": {"$gte": 5}})) == list(range(5))
+    assert files_of(engine, t) == before
+    engine.append(t, engine.spark.range(5, 8))
+    engine.delete_entries(t, {"id": 99})  # matches nothing
+    assert len(engine._stored(t).state()["deleted"]) == 1
+    monkeypatch.setattr(stored, "VECTORS", 1)
+    assert ids(engine.delete_entries(t, {"id": {"$mod": [2, 0]}})) == [1, 3, 5, 7]
+    assert len(engine._stored(t).state()["deleted"]) == 1
+    engine.create_column(t, "n", {"type": "Int"}, 7)
+    assert {(r["id"], r["n"]) for r in engine.table(t).collect()} == {(i, 7) for i in (1, 3, 5, 7)}
+    assert ids(engine.copy_table(t, "places_copy", replace=True)) == [1, 3, 5, 7]
+    assert ids(engine.optimize_table(t)) == [1, 3, 5, 7] and "deleted" not in engine._stored(t).state()
+    assert engine.search({"from": t, "where": {"id": 3}, "select": ["id", "n"]}).first()["n"] == 7
+
+
+def test_a_name_is_there_at_any_time(engine, monkeypatch):
+    """Another schema takes the name over without dropping it."""
+    t = fresh(engine, "taken")
+    said = []
+    run = engine.spark.sql
+    monkeypatch.setattr(type(engine.spark), "sql", lambda self, text, *a, **b: said.append(text) or run(text, *a, **b))
+    engine.create_table(t, engine.spark.createDataFrame([("a", 1.5)], "id string, v double"))
+    engine.create_table(t, engine.spark.createDataFrame([(3, "z")], "id long, v string"))
+    assert [tuple(r) for r in engine.table(t).collect()] == [(3, "z")] and engine.table(t).columns == ["id", "v"]
+    assert not any("DROP" in x for x in said)
+
+
 def test_quick_add_load_export(engine, tmp_path):
     (tmp_path / "goods.csv").write_text("id,name,price\n1,rye bread,2.5\n2,milk,1\n")
     engine.quick_add_table(str(tmp_path / "goods.csv"))
@@ -100,3 +156,44 @@ def test_stream(spark, tmp_path):
     assert sorted(str(r["errors"]) for r in rejected.collect()) == [
         "['_corrupt_record', 'id']", "['id']", "['id']", "['id']"]
     assert rejected.where("_corrupt_record is not null").first()["_corrupt_record"] == '{"id": 5'
+
+
+def test_a_batch_shows_wholly_or_not_at_all(spark, tmp_path, monkeypatch):
+    source = tmp_path / "in"
+    source.mkdir()
+    paths = [str(tmp_path / n) for n in ("table", "rejected", "checkpoint")]
+    kept = []
+
+    def run():
+        q = ingest.ingest_stream(spark, str(source), SCHEMA, *paths, max_files=1)
+        q.awaitTermination()
+
+    def seen():
+        return ids(ingest.loaded(spark, paths[0], SCHEMA)), sorted(r["id"] for r in ingest.rejects(spark, paths[0], SCHEMA).collect())
+
+    assert seen() == ([], [])
+    (source / "1.ndjson").write_text('{"id": 1}\n{"id": "x"}\n')
+    run()
+    assert seen() == ([1], ["x"])
+    write = ingest._write
+
+    def dies(rows, path):
+        if "rejected" in path:
+            raise RuntimeError("killed between the two writes")
+        kept.append(path)
+        return write(rows, path)
+
+    (source / "2.ndjson").write_text('{"id": 2}\n{"id": "y"}\n')
+    monkeypatch.setattr(ingest, "_write", dies)
+    with pytest.raises(Exception):
+        run()
+    assert kept and spark.read.parquet(kept[0]).count() == 1 and seen() == ([1], ["x"])
+    monkeypatch.setattr(ingest, "_write", write)
+    run()
+    assert seen() == ([1, 2], ["x", "y"])
+    before = ingest.loaded(spark, paths[0], SCHEMA)
+    assert ingest.compact_stream(spark, paths[0], SCHEMA, paths[1]) == 2 and ingest.compact_stream(spark, paths[0], SCHEMA, paths[1]) == 0
+    (source / "3.ndjson").write_text('{"id": 3}\n')
+    run()
+    assert seen() == ([1, 2, 3], ["x", "y"]) and ids(before) == [1, 2]
+    assert [(r["first"], r["last"], r["n_rows"], r["n_rejected"]) for r in ingest.log(spark, paths[0])] == [(0, 1, 2, 2), (2, 2, 1, 0)]
