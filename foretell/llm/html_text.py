@@ -9,7 +9,8 @@ alone, as ``cookie-banner``) drops; a part of a name (``right-sidebar``) is a fe
 score.  No element drops its text, or is scored by such names, if it is ``html`` or ``body``,
 holds the ``article`` or ``main`` with most words, or, on pages where none of these stands
 outside boilerplate, holds most words that are no links (``nav``, ``aside``, ``footer``,
-``menu`` and ``dialog`` stay boilerplate there).
+``menu`` and ``dialog`` stay boilerplate there).  A ``header`` in an ``article`` or ``main`` holds its
+headline and is scored like other text.
 
 The weights come from labelled pages: those with an ``article`` or ``main`` element, whose
 content is what stands in it outside such boilerplate.  Each is seen once as it is and once
@@ -68,8 +69,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 # open elements that a start tag ends
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 TOKEN = re.compile(
-    r"<!--(?:.*?-->|.*)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|"
-    r"<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|\Z)|(?P<text>[^<]+|<)", re.S | re.I)
+    r"<!--(?:.*?-->|.*)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)|(?P<text>[^<]+|<)", re.S | re.I)
+SPECIAL = re.compile("[\"'>]")
 RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for tag in RAW}
 NAMED = re.compile(r"""\b(class|id|role|style|hidden|aria-hidden)\b\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
 PART = re.compile(r"[a-z]+")
@@ -160,37 +161,110 @@ def _overrule(elements: list, words: int, linked: int) -> None:
                 e.marks -= DROPS
 
 
-def _hides(hidden: list, tag: str, rest: str, ended: bool, stack: list) -> bool:
-    """Whether a tag stands in an element without text or begins or ends one; keeps ``hidden`` up to date."""
+class Ends:
+    """Where the tags of a page end: at the first ``>`` outside quotes, or with the page.
+
+    A quote without a second one ends no tag.  What was found from a quote or ``>`` on is remembered, so
+    that each is looked at once, however many tags run into it.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.known = page, {}
+        self.next = (0, -1)  # from the first place to the second there is nothing special but at the second
+
+    def _special(self, at: int) -> int:
+        if not self.next[0] <= at <= self.next[1]:
+            m = SPECIAL.search(self.page, at)
+            self.next = (at, m.start() if m else len(self.page))
+        return self.next[1]
+
+    def end(self, at: int) -> int:
+        """The place of the end of a tag that goes on at ``at``; -1 if there is none."""
+        page, passed = self.page, []
+        at = self._special(at)
+        while at not in self.known:
+            passed.append(at)
+            if at == len(page) or page[at] == ">":
+                self.known[at] = at
+                break
+            close = page.find(page[at], at + 1) if self.known.get(page[at]) is None else -1
+            if close < 0:
+                self.known[page[at]] = self.known[at] = -1  # nor does a later one of these have a second one
+                break
+            at = self._special(close + 1)
+        for p in passed:
+            self.known[p] = self.known[at]
+        return self.known[at]
+
+
+class Open:
+    """Open elements with their numbers by tag, so that an end tag without one costs nothing."""
+
+    def __init__(self):
+        self.tags, self.items, self.counts = [], [], Counter()
+
+    def __bool__(self):
+        return bool(self.tags)
+
+    def __contains__(self, tag):
+        return self.counts[tag] > 0
+
+    def push(self, tag: str, item=None) -> None:
+        self.tags.append(tag)
+        self.items.append(item)
+        self.counts[tag] += 1
+
+    def pop(self) -> None:
+        self.counts[self.tags.pop()] -= 1
+        self.items.pop()
+
+    def pop_from(self, i: int) -> None:
+        while len(self.tags) > i:
+            self.pop()
+
+    def pop_through(self, tag: str) -> bool:
+        """Closes the innermost element of that tag and all in it; False if there is none."""
+        if tag not in self:
+            return False
+        while self.tags[-1] != tag:
+            self.pop()
+        self.pop()
+        return True
+
+
+def _hides(hidden: Open, tag: str, rest: str, ended: bool, stack: Open) -> bool:
+    """Whether a tag stands in an element without text or begins or ends one; keeps ``hidden`` up to date.
+
+    The item of a hidden tag is the place of the innermost one that decides what ends it.
+    """
     if ended:
-        if tag in hidden:
-            del hidden[len(hidden) - 1 - hidden[::-1].index(tag):]
+        if hidden.pop_through(tag):
             return True
-        if tag in INLINE or tag in SPACED or any(e.tag == tag for e in stack):
-            hidden.clear()  # the end of an element around it
+        if tag in INLINE or tag in SPACED or tag in stack:
+            hidden.pop_from(0)  # the end of an element around it
         return bool(hidden) or tag in DROPPED
     while hidden:
-        i = max(i for i, t in enumerate(hidden) if t in DROPPED or t in INTEGRATION)
-        if hidden[i] == "svg" and tag in BREAKS:
-            del hidden[i:]
-        elif hidden[i] in CHOICES and not (tag in DROPPED or tag in INLINE or tag in ("br", "hr")):
-            del hidden[i:]
+        i = hidden.items[-1]
+        if hidden.tags[i] == "svg" and tag in BREAKS:
+            hidden.pop_from(i)
+        elif hidden.tags[i] in CHOICES and not (tag in DROPPED or tag in INLINE or tag in ("br", "hr")):
+            hidden.pop_from(i)
         else:
             break
     if not hidden and tag not in DROPPED:
         return False
     if tag in CHOICES:  # their end tags are optional
         for other in ("option", "optgroup")[: 1 + (tag == "optgroup")]:
-            if hidden and hidden[-1] == other:
+            if hidden and hidden.tags[-1] == other:
                 hidden.pop()
     if tag not in VOID and not rest.endswith("/"):
-        hidden.append(tag)
+        hidden.push(tag, len(hidden.tags) if tag in DROPPED or tag in INTEGRATION else hidden.items[-1])
     return True
 
 
 def blocks(page: str) -> list:
     """The blocks of a page with text, in order."""
-    out, stack, parts = [], [], []  # the stack holds the open block elements
+    out, stack, parts = [], Open(), []  # the stack holds the open block elements
     elements, inside = [], []  # all elements of the page, and of each block the innermost one around it
     tags, linked = [], 0
     in_link = False
@@ -199,17 +273,25 @@ def blocks(page: str) -> list:
         nonlocal parts, tags, linked
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            out.append(Block(text, len(text.split()), linked, tags, None, frozenset(e.tag for e in stack[-3:])))
-            inside.append(stack[-1] if stack else None)
+            out.append(Block(text, len(text.split()), linked, tags, None, frozenset(stack.tags[-3:])))
+            inside.append(stack.items[-1] if stack else None)
             tags, linked = [], 0
         parts = []
 
-    hidden = []  # open tags from an element without text on
+    hidden = Open()  # tags from an element without text on
+    ends_at = Ends(page)
     at = 0
     while at < len(page):
         m = TOKEN.match(page, at)
-        at = m.end()
-        if (text := m["text"]) is not None:
+        text, rest = m["text"], ""
+        if m["tag"] is not None:
+            end = ends_at.end(m.end())
+            if end < 0:
+                text = "<"
+            else:
+                rest = page[m.end() : end]
+        at = at + 1 if text == "<" else m.end() if m["tag"] is None else end + 1
+        if text is not None:
             if hidden:
                 continue
             parts.append(text)
@@ -220,7 +302,7 @@ def blocks(page: str) -> list:
             continue
         tag, ended = m["tag"].lower(), bool(m["end"])
         if tag in RAW:
-            if not ended and not ("svg" in hidden and m["rest"].endswith("/")):
+            if not ended and not ("svg" in hidden and rest.endswith("/")):
                 end = RAW_END[tag].search(page, at)
                 at = end.end() if end else len(page)
                 tags.append(tag)
@@ -229,7 +311,7 @@ def blocks(page: str) -> list:
         if tag == "head":  # no text stands in it but that of raw elements, and its end tag is optional
             tags.append("/head" if ended else tag)
             continue
-        if (hidden or tag in DROPPED) and _hides(hidden, tag, m["rest"], ended, stack):
+        if (hidden or tag in DROPPED) and _hides(hidden, tag, rest, ended, stack):
             tags.append("/" + tag if ended else tag)
             parts.append(" ")
             continue
@@ -240,9 +322,9 @@ def blocks(page: str) -> list:
             tags.append("/" + tag if ended else tag)
             continue
         if tag in INLINE:
-            marks = _marks(tag, m["rest"]) if not ended and tag != "a" and m["rest"] else frozenset()
+            marks = _marks(tag, rest) if not ended and tag != "a" and rest else frozenset()
             if "boilerplate" not in marks:
-                if ended and stack and stack[-1].tag == tag:  # an inline element that was kept as a block
+                if ended and stack and stack.tags[-1] == tag:  # an inline element that was kept as a block
                     close()
                     stack.pop()
                 tags.append("/" + tag if ended else tag)
@@ -251,17 +333,16 @@ def blocks(page: str) -> list:
         in_link = False
         tags.append("/" + tag if ended else tag)
         if ended:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i].tag == tag:
-                    del stack[i:]
-                    break
+            stack.pop_through(tag)
         else:
             ends = CLOSES.get(tag)
-            if ends and stack and stack[-1].tag in ends:
+            if ends and stack and stack.tags[-1] in ends:
                 stack.pop()
-            if tag not in VOID and not m["rest"].endswith("/"):
-                stack.append(Element(tag, _marks(tag, m["rest"]), stack[-1] if stack else None))
-                elements.append(stack[-1])
+            if tag not in VOID and not rest.endswith("/"):
+                marks = _marks("" if tag == "header" and ("article" in stack or "main" in stack) else tag, rest)
+                element = Element(tag, marks, stack.items[-1] if stack else None)
+                stack.push(tag, element)
+                elements.append(element)
     close()
     _mark(out, inside, elements)
     return out
