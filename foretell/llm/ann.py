@@ -15,7 +15,7 @@ size, so a leaf with a third of all vectors is many groups; each block keeps the
 ``k + 1`` of a query.
 
 Defined results: vectors that are null, empty, zero, or hold null or non-finite components
-take no part, nor do those of another length than most.  A row with the query's id is its
+take no part.  A row with the query's id is its
 own.  Rows equal in id and vector count once.  Ties go to the smaller id.  A query visits
 leaves until it has met ``k + 1`` vectors if there are so many; an empty table gives no rows.
 """
@@ -38,6 +38,7 @@ FIT_VALUES = 8_000_000
 BRANCHES, LEAVES = 8, 64  # children of a node; a node with fewer than this part of the sample is a leaf
 PROBES, RECALL = 200, 0.95
 ROWS, QUERIES = 2048, 1024  # vectors and queries of a block
+SMALL = 1000  # vectors of a length, other than the most frequent, that need no tree
 
 
 def _centres(x: np.ndarray, k: int, rng, rounds: int = 12) -> np.ndarray:
@@ -123,18 +124,54 @@ def clean(df: DataFrame, key: str = "vec_id", vector: str = "embedding") -> Data
     """``(id, v)`` of the vectors that take part, as doubles."""
     v = F.col(vector).cast("array<double>")
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    rows = df.select(F.col(key).cast("long").alias("id"), v.alias("v")).where(
+    return df.select(F.col(key).cast("long").alias("id"), v.alias("v")).where(
         F.col("id").isNotNull() & F.col("v").isNotNull() & (F.size("v") > 0)).where(~bad).where(F.exists("v", lambda x: x != 0))
-    size = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").limit(1).collect()
-    return rows.where(F.size("v") == (size[0]["n"] if size else 0))
 
 
 def search(df: DataFrame, key: str = "vec_id", vector: str = "embedding", every: int = EVERY, k: int = K,
            recall: float = RECALL, leaves: int = LEAVES) -> DataFrame:
-    """``(query_id, rank, vec_id, score)``: the nearest of each id that ``every`` divides, among all rows."""
-    spark = df.sparkSession
-    send_package(spark)
-    rows = clean(df, key, vector).withColumn("vkey", F.xxhash64("v"))
+    """``(query_id, rank, vec_id, score)``: the nearest of each id that ``every`` divides, among all rows.
+
+    Vectors of different lengths have no product: each is answered among those of its own length.  These get
+    a tree of their own, or, if they are at most ``SMALL`` of a rarer length, are compared with each other.
+    """
+    send_package(df.sparkSession)
+    rows = clean(df, key, vector)
+    sizes = rows.groupBy(F.size("v").alias("n")).agg(F.count("*").alias("many"))
+    counts = {r["n"]: r["many"] for r in sizes.orderBy(F.desc("many"), "n").collect()}  # a row a length
+    large = [n for i, n in enumerate(counts) if not i or counts[n] > SMALL]
+    out = None
+    for n in large:
+        own = _searched(rows.where(F.size("v") == n), every, k, recall, leaves)
+        out = own if out is None else out.unionByName(own)
+    if out is not None and len(large) == len(counts):
+        return out
+    few = rows.where(~F.size("v").isin(large)).withColumn("n", F.size("v")).distinct()
+    small = few.groupBy("n").applyInPandas(_compared(every, k), HITS)
+    return small if out is None else out.unionByName(small)
+
+
+HITS = "query_id long, rank int, vec_id long, score double"
+
+
+def _compared(every: int, k: int):
+    def run(pdf):
+        x, ids = _matrix(pdf["v"]), pdf["id"].to_numpy()
+        out = []
+        for i in np.flatnonzero(ids % every == 0):
+            others = np.flatnonzero(ids != ids[i])
+            scores = (x[others] * x[i]).sum(axis=1)
+            order = np.lexsort((ids[others], -scores))[:k]
+            out += [(ids[i], rank, ids[others[j]], scores[j]) for rank, j in enumerate(order, 1)]
+        return pd.DataFrame(out, columns=["query_id", "rank", "vec_id", "score"])
+
+    return run
+
+
+def _searched(rows: DataFrame, every: int, k: int, recall: float, leaves: int) -> DataFrame:
+    """The same among vectors of one length, by a tree."""
+    spark = rows.sparkSession
+    rows = rows.withColumn("vkey", F.xxhash64("v"))
     first = Window.partitionBy("vkey", "v").orderBy("id")
     few = rows.distinct().withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= k + 1)
     vectors = few.groupBy("vkey", "v").agg(F.array_sort(F.collect_list("id")).alias("ids"))
@@ -145,7 +182,7 @@ def search(df: DataFrame, key: str = "vec_id", vector: str = "embedding", every:
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
     n, most, dim = vectors.agg(F.count("*"), F.max(norm), F.max(F.size("v"))).first()
     if not n:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+        return spark.createDataFrame([], HITS)
     fit = min(FIT, max(BRANCHES, FIT_VALUES // dim))
     sample = vectors.orderBy("vkey").limit(fit).select("v").collect()
     tree = Tree(_raised(np.array([r["v"] for r in sample]), most), len(sample) / leaves)
