@@ -99,7 +99,7 @@ def _sweep(rows: DataFrame, ruled: DataFrame, labels: int, depth: int, salts: in
     """Replaces ``_best`` where a rule with so many labels fits and is longer."""
     columns = rows.columns
     points = rows.withColumns({
-        "_at": canonical(F.col("_host"), labels), "_salt": F.pmod(F.xxhash64("_host", "_path"), F.lit(salts)).cast("int"),
+        "_at": canonical(F.col("_host"), labels), "_salt": F.pmod(F.xxhash64("_row", F.spark_partition_id()), F.lit(salts)).cast("int"),
         "_key": F.col("_path"), "_point": F.lit(1)})
     opened = ruled.where(F.col("labels") == labels).select(
         canonical(F.col("host"), labels).alias("_at"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"),
