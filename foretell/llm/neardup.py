@@ -365,7 +365,9 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", share
 
     Whole rows that repeat are one document; rows without an id stay.
     """
-    kept = linked(docs, key, text, share, size).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_kept")).distinct()
-    named = docs.join(kept, F.col(f"`{key}`") == F.col("_kept"), "left_semi")
-    once = named.withColumn("_text", F.xxhash64(F.col(f"`{text}`"))).dropDuplicates([key, "_text"]).drop("_text")
-    return once.union(docs.where(F.col(f"`{key}`").isNull()))
+    kept = linked(docs, key, text, share, size).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("kept")).distinct()
+    # whole rows travel as one column, so none of their names can clash
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{key}`").alias("id"),
+                       F.xxhash64(F.col(f"`{text}`")).alias("hash"))
+    once = rows.join(kept, F.col("id") == F.col("kept"), "left_semi").dropDuplicates(["id", "hash"])
+    return once.union(rows.where("id IS NULL")).select("row.*")

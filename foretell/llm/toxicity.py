@@ -219,10 +219,12 @@ def trained(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
     given = given.groupBy("doc_id").agg(F.max((F.col("toxic") == 1).cast("int")).alias("toxic"))
     # at most ``most`` small rows, so this side may be broadcast
     chosen = given.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).select(F.col("doc_id").alias("_id"), "toxic")
-    rows = docs.join(F.broadcast(chosen), F.col(key) == F.col("_id")).select(
-        F.col("_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), "toxic")
+    named = docs.select(F.col(f"`{key}`").alias("_key"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
+    rows = named.join(F.broadcast(chosen), F.col("_key") == F.col("_id")).select("_id", "text", "toxic")
     sketched = mapped(rows, _sketch, "_id long, text string, toxic int, least long, most long")
-    sample = stored(_once(sketched).select("text", "toxic"), "tox-sample")
+    # ids may repeat, so the texts are cut to the bound again
+    once = _once(sketched).select("text", "toxic").orderBy(F.xxhash64("text"), "text", "toxic").limit(most)
+    sample = stored(once.repartition(sketched.sparkSession.sparkContext.defaultParallelism), "tox-sample")
     sizes = sample.agg(F.sum("toxic"), F.count("*")).first()
     toxic, n = int(sizes[0] or 0), int(sizes[1])
     if not toxic or toxic == n:
