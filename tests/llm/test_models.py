@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from foretell.llm import html_text, secret_scan, toxicity
+from foretell.llm import html_text, neardup, secret_scan, toxicity
 
 # secrets: the contract's patterns, written out on their own
 EITHER = "".join
@@ -325,3 +325,70 @@ def test_documents_that_share_one_shingle_are_all_kept(spark):
     rows = [(1, "a", 0, 5, 9), (2, "b", 1, 5, 8), (3, "c", 1, 4, 9), (7, "later copy", 1, 5, 8), (8, "other label", 0, 5, 8)]
     got = toxicity._once(spark.createDataFrame(rows, "_id long, text string, toxic int, least long, most long")).collect()
     assert {(r.text, r.toxic) for r in got} == {("a", 0), ("b", 1), ("c", 1), ("other label", 0)}
+
+
+def test_bad_markup_takes_linear_time():
+    import time
+
+    for page in ("<a " * 340_000 + '"' + "<b " * 10_000, "<div>" * 100_000 + "</p>" * 100_000, "<svg>" + "<x>" * 300_000, "<a \"x\" " * 120_000 + "'"):
+        start = time.process_time()
+        html_text.blocks(page)
+        assert time.process_time() - start < 8
+
+
+def test_tags_end_outside_quotes():
+    def end(page):
+        return html_text.Ends(page).end(0)
+
+    assert end('a="x>y">z') == 7 and end("a='\">'>") == 6 and end("a b") == 3 and end('a="x>') == -1 and end("") == 0
+
+
+def test_a_headline_in_the_header_of_an_article_stays():
+    page = ("<body><header><p>site name and menu</p></header><article><header><h1>The headline of it</h1><p>by the author of this text</p></header>"
+            "<p>" + "words of the text " * 20 + "</p></article></body>")
+    text = html_text.extract(page, html_text.Weights())
+    assert text.startswith("The headline of it\nby the author of this text\nwords") and "site name" not in text
+
+
+def test_names_of_columns_do_not_clash(spark, labelled, field):
+    docs, labels = labelled
+    F = toxicity.F
+    wide = docs
+    for name in ("toxic", "_id", "_key", "score", "_text", "_kept", "row", "id", "hash", "least", "most", "spans"):
+        wide = wide.withColumn(name, F.lit("own"))
+    model = toxicity.trained(wide, labels)
+    assert model.stems == toxicity.trained(docs, labels).stems
+    kept = toxicity.accepted(wide, model)
+    assert kept.columns == wide.columns
+    once = neardup.deduplicated(wide.limit(50).unionByName(wide.limit(50)))
+    assert once.columns == wide.columns and once.count() == 50
+    assert secret_scan.redacted(wide.limit(5), field=field).columns == wide.columns
+
+
+def test_repeated_ids_do_not_enlarge_the_sample(spark, monkeypatch):
+    seen = []
+    real = toxicity.logistic
+    monkeypatch.setattr(toxicity, "logistic", lambda x, p, **k: seen.append(len(x)) or real(x, p, **k))
+    rows = [(i % 4, f"{'bad ugly' if i % 4 == 0 else 'good fine'} text number {i} with words {i * 7} and {i * 11}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i == 0)) for i in range(4)], "doc_id long, toxic int")
+    toxicity.trained(docs, labels, most=60)
+    assert seen and seen[0] <= 60
+
+
+def test_tags_of_many_texts_are_those_of_each(field, monkeypatch):
+    r = random.Random(12)
+    some = ["the", "token", "=", "a1b2c3d4e5f6a7b8c9d0", "word", "12345678", '"', "key", "q9Zk3yXw", "Bearer", ".", "é", "McNeil", "^", "$"]
+    texts = [" ".join(r.choice(some) for _ in range(r.randint(0, 40))) for _ in range(300)] + ["", "x"]
+    sharp = secret_scan.Field(np.random.default_rng(1).normal(size=field.emit.shape), np.random.default_rng(2).normal(size=(3, 3)))
+    for f in (field, sharp):
+        for run in (secret_scan.LONG_RUN, 2):
+            monkeypatch.setattr(secret_scan, "LONG_RUN", run)
+            assert secret_scan.Scorer(f).tags_of(texts) == [secret_scan.Scorer(f).tags(t) for t in texts]
+
+
+def test_fit_by_batches_learns_the_same(field):
+    rows = [(["token", "=", "k" * 3 + f"{i:04d}" * 6], [0, 0, 1], []) for i in range(40)] + [(["page", "=", f"{i:04d}"], [0, 0, 0], []) for i in range(40)]
+    small = secret_scan.Field().fit(secret_scan.examples(rows), batch=16)
+    assert secret_scan.spans(small, "token = kkk123412341234123412341234")[1][0][1] in (0, 3)
+    assert secret_scan.spans(small, "page = 1234")[1] == []

@@ -94,3 +94,13 @@ def test_one_row_that_makes_up_most_of_the_table(spark):
         slots = sorted(r.slot for r in got if r.shard == shard)
         assert slots == list(range(len(slots)))
     assert all(r.grown_shard in (r.shard, 3) for r in got)
+
+
+def test_hot_urls_are_many_groups(spark):
+    from pyspark.sql import functions as F
+
+    urls = spark.range(20_000).select(F.col("id").alias("page_id"), F.lit(None).cast("string").alias("url"))
+    row = F.struct("page_id", "url")
+    salts = urls.select(F.pmod(F.xxhash64(row, F.spark_partition_id()), F.lit(url_filters.SALTS)).alias("s")).distinct().count()
+    assert salts == url_filters.SALTS >= 50
+    assert {r.verdict for r in url_filters.judge(urls, url_filters.rules_frame(spark)).collect()} == {"allow"}

@@ -54,6 +54,16 @@ def test_odd_vectors(spark):
     assert ann.search(spark.createDataFrame(rows[2:4], SCHEMA)).count() == 0
 
 
+def test_vectors_of_every_length_are_answered(spark, monkeypatch):
+    r = np.random.default_rng(3)
+    rows = [(i, r.normal(size=(4, 4, 4, 7, 3)[i % 5]).astype(np.float32).tolist(), 0) for i in range(300)]
+    by_length = [brute([x for x in rows if len(x[1]) == n], 10, 5) for n in (3, 4, 7)]
+    for small in (1000, 10):
+        monkeypatch.setattr(ann, "SMALL", small)
+        got = ann.search(spark.createDataFrame(rows, SCHEMA).withColumnRenamed("label", "n"), every=10, k=5, recall=1.1, leaves=8).collect()
+        assert {tuple(x) for x in got} == set().union(*by_length)
+
+
 def test_best_bin_first_visits_every_leaf_once():
     r = np.random.default_rng(2)
     x = r.normal(size=(500, 6))
