@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from foretell.sources.records import read_records
+
 FORMATS = ("csv", "json", "ndjson", "parquet")  # fixed values
 COMMA_NUMBER = r"^\s*[+-]?\d+(,\d+)?\s*$"
 
@@ -32,13 +34,16 @@ def read_csv(spark: SparkSession, path: str, delimiter: str = ",", decimal: str
              **options) -> DataFrame:
     """CSV with a header, all columns as strings; surplus trailing fields are dropped.
 
-    ``multi_line`` allows line breaks inside quotes but makes a file one task; turn it off
-    for large files without them.  ``decimal=','`` turns the columns whose values are all
-    comma decimals into numbers (one aggregation).  Other options go to the reader and win.
+    ``multi_line`` allows line breaks inside quotes; such files are read in many tasks too (see
+    ``records``), unless other options are given, which go to Spark's own reader and win: it
+    makes a file one task then.  ``decimal=','`` turns the columns whose values are all
+    comma decimals into numbers (one aggregation).
     """
     settings = {"header": True, "sep": delimiter, "quote": '"', "escape": '"', "multiLine": multi_line,
                 "mode": "PERMISSIVE", "enforceSchema": True, **options}
     df = spark.read.options(**settings).csv(path)
+    if multi_line and not options and len(delimiter) == 1 and df.columns:
+        df = read_records(spark, path, df.columns, delimiter, '"', {"sep": delimiter, "quote": '"', "escape": '"', "mode": "PERMISSIVE"})
     return _comma_decimals(df) if decimal == "," else df
 
 
