@@ -57,13 +57,17 @@ def conform(df: DataFrame, schema, check: bool = True) -> DataFrame:
     return S.attach(df.withColumns(casts), as_schema(schema))
 
 
-def check_not_null(df: DataFrame, schema) -> None:
-    """Raises if a non-nullable column holds a null; one aggregation over all columns."""
+def null_counts(df: DataFrame, schema) -> DataFrame:
+    """``(column, nulls)`` of the non-nullable columns; one aggregation over all of them."""
     strict = [n for n, c in as_schema(schema).columns.items() if not c.nullable and n in df.columns]
-    if not strict:
-        return
-    found = df.agg(*[F.count_if(is_null(df, n)).alias(n) for n in strict]).first()
-    bad = [n for n in strict if found[n]]
+    counts = df.agg(*[F.count_if(is_null(df, n)).alias(f"n{i}") for i, n in enumerate(strict)]) if strict else df.agg(F.count("*"))
+    rows = [F.struct(F.lit(n).alias("column"), F.col(f"n{i}").alias("nulls")) for i, n in enumerate(strict)]
+    return counts.select(F.inline(F.array(*rows).cast("array<struct<column:string,nulls:bigint>>")))
+
+
+def check_not_null(df: DataFrame, schema) -> None:
+    """Raises if a non-nullable column holds a null."""
+    bad = [r["column"] for r in null_counts(df, schema).where("nulls > 0").collect()]
     if bad:
         raise ValueError(f"columns {bad} hold nulls but the schema says they are not nullable")
 

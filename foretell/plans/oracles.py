@@ -373,6 +373,18 @@ def oracle_sql() -> dict[str, str]:
          for c, kind in (("p_partkey", whole_type("p_partkey")), ("p_size", whole_type("p_size")), ("p_retailprice", "'Decimal'"))]
         + [schema_of_text_sql("part", c) for c in ("p_name", "p_brand", "p_type")])
 
+    kinds = {"l_linenumber": "Int", "l_quantity": "Decimal", "l_returnflag": "Text", "l_shipdate": "Text"}
+    o["infer_sample"] = " UNION ALL ".join(f"SELECT '{c}' AS \"column\", '{k}' AS type" for c, k in kinds.items())
+    o["comma_decimals"] = "SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, round(p_retailprice, 6) AS price FROM part"
+    o["read_json"] = "SELECT c_custkey, c_name, c_acctbal, c_nationkey FROM customer"
+    o["convert_file"] = ("SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, p_brand, p_type, CAST(p_size AS DOUBLE) AS p_size, "
+                         "CAST(trunc(p_retailprice) AS BIGINT) AS p_retailprice FROM part")
+    o["null_counts"] = ("SELECT 'c_custkey' AS \"column\", count(*) FILTER (c_custkey IS NULL) AS nulls FROM customer UNION ALL "
+                        "SELECT 'c_mktsegment', count(*) FILTER (c_mktsegment = 'MACHINERY') FROM customer UNION ALL "
+                        "SELECT 'c_acctbal', count(*) FILTER (c_acctbal < 0) FROM customer")
+    o["schema_diff"] = ("SELECT 'only_in_data' AS side, column_name AS \"column\" FROM (DESCRIBE part) "
+                        "WHERE column_name NOT IN ('p_partkey', 'p_name') UNION ALL SELECT 'only_in_schema', 'p_colour'")
+
     # conform
     o["conform_int"] = ("SELECT l_orderkey, CAST(trunc(-l_extendedprice) AS INTEGER) AS negated, "
                         "CAST(trunc(l_quantity) AS INTEGER) AS text FROM lineitem")

@@ -28,6 +28,7 @@ from foretell.operators.similarity import build_index, similarity_scores
 from foretell.plans.engine import Engine
 from foretell.plans.workspace import fresh_path
 from foretell.sources import files
+from foretell.sources.convert import convert
 from foretell.streaming.ingest import ingest_stream, loaded
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -328,9 +329,60 @@ def infer_schema(spark, folder):
     return spark.createDataFrame(rows, "column string, type string, nullable boolean, analyzer string")
 
 
+@query
+def infer_sample(spark, folder):
+    """Types from a thousand rows; nothing in these columns depends on which."""
+    line = load(spark, folder, "lineitem").select("l_linenumber", "l_quantity", "l_returnflag", "l_shipdate")
+    found = inf.infer_types(co.datetimes_to_string(line), sample=1000)
+    return spark.createDataFrame(list(found.items()), "column string, type string")
+
+
+@query
+def comma_decimals(spark, folder):
+    """Prices written with a comma, behind semicolons, and read as numbers."""
+    path = fresh_path(spark, "comma")
+    part = load(spark, folder, "part").select("p_partkey", "p_name", F.replace(F.col("p_retailprice").cast("string"), F.lit("."), F.lit(",")).alias("price"))
+    files.write_csv(part, path, sep=";")
+    return rounded(files.read_csv(spark, path, delimiter=";", decimal=","), "price")
+
+
+@query
+def read_json(spark, folder):
+    """Arrays of records, a file for each nation."""
+    path = fresh_path(spark, "arrays")
+    row = F.struct("c_custkey", "c_name", "c_acctbal")
+    arrays = load(spark, folder, "customer").groupBy("c_nationkey").agg(F.to_json(F.collect_list(row)).alias("value"))
+    arrays.write.partitionBy("c_nationkey").text(path)
+    return files.read_json(spark, path).select("c_custkey", "c_name", "c_acctbal", "c_nationkey")
+
+
+@query
+def convert_file(spark, folder):
+    """Parquet to NDJSON under a schema, read again."""
+    path = fresh_path(spark, "converted")
+    convert(spark, f"{folder}/part.parquet", path, out_format="ndjson", schema=_schema(
+        p_partkey=S.STRING, p_name=S.STRING, p_brand=S.STRING, p_type=S.STRING, p_size=S.DECIMAL, p_retailprice=S.INT))
+    return files.read(spark, path, "ndjson")
+
+
 # ------------------------------------------------------------------------------- conform
 
 
+@query
+def null_counts(spark, folder):
+    """What the check of non-nullable columns counts."""
+    customer = load(spark, folder, "customer").withColumn("c_mktsegment", F.nullif("c_mktsegment", F.lit("MACHINERY"))).withColumn(
+        "c_acctbal", F.when(F.col("c_acctbal") < 0, F.lit(float("nan"))).otherwise(F.col("c_acctbal")))
+    return co.null_counts(customer, S.Table({n: S.Column(t) for n, t in (
+        ("c_custkey", S.INT), ("c_mktsegment", S.STRING), ("c_acctbal", S.DECIMAL))}))
+
+
+@query
+def schema_diff(spark, folder):
+    found = co.schema_diff(load(spark, folder, "part"), _schema(p_partkey=S.INT, p_name=S.STRING, p_colour=S.STRING))
+    return spark.createDataFrame([(side, c) for side, cs in found.items() for c in cs], "side string, column string")
+
+
 def _schema(**types):
     return S.Table({n: S.Column(t, nullable=True) for n, t in types.items()})
 
