@@ -60,7 +60,7 @@ BUCKETS = 1 << 12
 TAGS = "OBI"
 HARD = -1e4  # score of a forbidden step
 BLOCK = 1 << 15  # tokens scored at a time
-KNOWN = 1 << 18  # tokens remembered by a worker
+KNOWN = 1 << 16  # tokens remembered by a worker
 SINCE = 5  # tokens after a credential word
 LONG_TEXT = 1 << 18  # characters above which a text is read on its own, in blocks
 LONG_RUN = 256  # tokens above which a run goes through Viterbi on its own

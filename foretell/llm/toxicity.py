@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -38,6 +39,7 @@ from foretell.llm.neardup import shingles, words_of
 
 FOLDS, HELD_OUT = 4, 2
 LABELLED = 10_000  # documents that labels are learnt from, at most
+CHUNK = 512  # texts scored at a time
 STEMS = 300  # mined stems, at most
 LEAST = 4  # toxic documents that a stem must occur in
 LIFT = 4.0  # times as often in toxic documents as in others
@@ -190,8 +192,11 @@ class Model:
     def scores(self, texts, features: Features) -> np.ndarray:
         if self.weights is None or not len(texts):
             return np.zeros(len(texts))
-        x = inputs(np.stack([features.row(t) for t in texts]))
-        return 1 / (1 + np.exp(-np.clip(x @ self.weights, -30, 30)))
+        texts, out = list(texts), []
+        for at in range(0, len(texts), CHUNK):  # a row is as wide as the lexicon
+            x = inputs(np.stack([features.row(t) for t in texts[at : at + CHUNK]]))
+            out.append(1 / (1 + np.exp(-np.clip(x @ self.weights, -30, 30))))
+        return np.concatenate(out)
 
 
 def _stems(counts: DataFrame, toxic: int, clean: int) -> list:
@@ -263,7 +268,9 @@ def accepted(docs: DataFrame, model: Model, text: str = "text", threshold: float
     send_package(docs.sparkSession)
 
     @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        return pd.Series(model.scores(texts.fillna(""), Features(model.stems)))
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        f = Features(model.stems)
+        for texts in batches:
+            yield pd.Series(model.scores(texts.fillna(""), f))
 
     return docs.where(score(F.col(text)) < threshold)
