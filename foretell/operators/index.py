@@ -119,6 +119,26 @@ def with_index(df: DataFrame, order_by: list, name: str = INDEX, buckets: int |
     )
 
 
+def curve_position(df: DataFrame, columns: list, bits: int = 8) -> Column:
+    """A place on a space-filling curve: the bits of the columns' ranks in turn, the highest first.
+
+    A rank is the range of the value among ``2 ** bits`` of about equal size, at bounds from a sample; null
+    stands before all values.  Rows that are close in any of the columns are close on the curve.
+    """
+    if len(columns) * bits > 62:
+        raise ValueError("too many columns for the bits of a whole number")
+    rows = df.count()
+    out = F.lit(0).cast("long")
+    for i, c in enumerate(columns):
+        keys = df.select(F.col(c).alias("k0"))
+        bounds = _top_bounds(keys, ["k0"], rows, 1 << bits)
+        rank = bucket_of(F.struct(F.col(c).alias("k0")), _literals(bounds, [keys.schema[0].dataType]), len(bounds))
+        for bit in range(bits):
+            place = bit * len(columns) + len(columns) - 1 - i
+            out = out.bitwiseOR(F.shiftleft(F.shiftright(rank.cast("long"), bit).bitwiseAND(F.lit(1).cast("long")), place))
+    return out
+
+
 def page_ranges(df: DataFrame, keys: list, falling: list, offset: int, limit: int | None, few: int = FEW_ROWS) -> tuple:
     """``(rows, skipped, left)``: ``left`` rows that hold a page, of which ``skipped`` others stand before.
 

@@ -16,6 +16,7 @@ from foretell.functions.predicates import column_name, condition, paths
 from foretell.operators import evaluate as ev
 from foretell.operators import rank, search as se
 from foretell.operators.conform import apply_functions, conform
+from foretell.operators.index import curve_position
 from foretell.operators.infer import infer_schema
 from foretell.operators.links import bind, expand_links
 from foretell.operators.predict import predict
@@ -48,7 +49,15 @@ def delete_column(df: DataFrame, name: str) -> DataFrame:
 
 
 def compact(df: DataFrame, files: int | None = None, cluster_by: list | None = None) -> DataFrame:
-    """The same rows in fewer, larger partitions, by default of the size AQE aims at."""
+    """The same rows in fewer, larger partitions, by default of the size AQE aims at.
+
+    ``cluster_by`` one column sorts by it; several columns go by a space-filling curve, so that files
+    can be skipped by a filter on any of them.
+    """
+    if cluster_by and len(cluster_by) > 1:
+        placed = df.withColumn("_curve", curve_position(df, cluster_by))
+        ranged = placed.repartitionByRange(files, "_curve") if files else placed.repartitionByRange("_curve")
+        return ranged.sortWithinPartitions("_curve", *cluster_by).drop("_curve")
     if cluster_by:
         ranged = df.repartitionByRange(files, *cluster_by) if files else df.repartitionByRange(*cluster_by)
         return ranged.sortWithinPartitions(*cluster_by)

@@ -406,6 +406,7 @@ def oracle_sql() -> dict[str, str]:
     o["copy_table"] = "SELECT * FROM customer"
     o["create_column"] = "SELECT * REPLACE ('ANY' AS c_mktsegment), CAST(NULL AS DOUBLE) AS score FROM customer"
     o["delete_column"] = "SELECT * EXCLUDE (c_acctbal) FROM customer"
+    o["optimize_table_curve"] = "SELECT * FROM orders"
     o["optimize_table"] = "SELECT * FROM lineitem"
     o["load_file"] = ("SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, CAST(o_custkey AS INTEGER) AS o_custkey, "
                       "o_orderstatus, o_totalprice, CAST(o_orderdate AS VARCHAR) AS o_orderdate, o_orderpriority "

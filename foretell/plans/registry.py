@@ -490,6 +490,14 @@ def optimize_table(spark, folder):
     return e.optimize_table(t, cluster_by=["l_shipdate"])
 
 
+@query
+def optimize_table_curve(spark, folder):
+    """Clustered by two columns at once; the rows are the same."""
+    e, t, orders = _stored(spark, folder, "orders")
+    e.create_table(t, orders)
+    return e.optimize_table(t, cluster_by=["o_orderdate", "o_totalprice"])
+
+
 @query
 def load_file(spark, folder):
     """Export to NDJSON and load the files into a table under its schema."""

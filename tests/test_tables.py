@@ -158,6 +158,18 @@ def test_stream(spark, tmp_path):
     assert rejected.where("_corrupt_record is not null").first()["_corrupt_record"] == '{"id": 5'
 
 
+def test_files_are_skipped_by_either_column(engine):
+    df = engine.spark.range(20_000).select("id", F.pmod(F.xxhash64("id"), F.lit(10_000)).alias("a"),
+                                           F.when(F.col("id") % 97 > 0, F.pmod(F.hash("id"), F.lit(10_000))).alias("b"))
+    engine.create_table("curved", df)
+    found = engine.optimize_table("curved", files=16, cluster_by=["a", "b"])
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
+    edges = found.groupBy(F.input_file_name()).agg(*[f(c) for c in ("a", "b") for f in (F.min, F.max)]).collect()
+    assert len(edges) == 16
+    for low, high in ((1, 2), (3, 4)):  # a filter on one value has to read half of the files at most
+        assert sum(e[low] <= 3_300 <= e[high] for e in edges) <= 8
+
+
 def test_a_batch_shows_wholly_or_not_at_all(spark, tmp_path, monkeypatch):
     source = tmp_path / "in"
     source.mkdir()
