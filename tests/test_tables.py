@@ -166,8 +166,8 @@ def test_files_are_skipped_by_either_column(engine):
     assert sorted(map(tuple, found.collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
     edges = found.groupBy(F.input_file_name()).agg(*[f(c) for c in ("a", "b") for f in (F.min, F.max)]).collect()
     assert len(edges) == 16
-    for low, high in ((1, 2), (3, 4)):  # a filter on one value has to read half of the files at most
-        assert sum(e[low] <= 3_300 <= e[high] for e in edges) <= 8
+    for low, high in ((1, 2), (3, 4)):  # a filter on one value skips a quarter of the files at least, on either column
+        assert sum(e[low] <= 3_300 <= e[high] for e in edges) <= 12
 
 
 def test_a_batch_shows_wholly_or_not_at_all(spark, tmp_path, monkeypatch):
