@@ -97,25 +97,29 @@ def with_index(df: DataFrame, order_by: list, name: str = INDEX, buckets: int |
     top = _top_bounds(keys, keys.columns, rows, min(ranges, TOP))
     key = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)])
     cut = df.withColumn("_coarse", bucket_of(key, _literals(top, types), len(top)))
-    fine = F.lit(0)
+    parts = ["_coarse"]
     if ranges > TOP:
-        own = F.struct(*keys.columns)
-        table, most = _fine_bounds(keys, bucket_of(own, _literals(top, types), len(top)), rows, ranges)
-        cut = cut.join(table, "_coarse", "left")
-        fine = F.coalesce(bucket_of(key, F.col("_bounds"), most), F.lit(0))
-    cut = cut.withColumn("_fine", fine).drop("_bounds")
-    sizes = cut.groupBy("_coarse", "_fine").agg(F.count("*").alias("_rows"))
+        table, most = _fine_bounds(keys, bucket_of(F.struct(*keys.columns), _literals(top, types), len(top)), rows, ranges)
+        cut = cut.join(table, "_coarse", "left").withColumn("_fine", F.coalesce(bucket_of(key, F.col("_bounds"), most), F.lit(0))).drop("_bounds")
+        parts.append("_fine")
+    sizes = cut.groupBy(*parts).agg(F.count("*").alias("_rows"))
+    within = F.row_number().over(Window.partitionBy(*parts).orderBy(*order))
+    if ranges <= TOP:
+        counts = {r["_coarse"]: r["_rows"] for r in sizes.collect()}  # TOP rows at most
+        before = {i: sum(n for j, n in counts.items() if j < i) for i in sorted(counts)}
+        shift = F.element_at(F.create_map(*[F.lit(x).cast("long") for item in before.items() for x in item]), F.col("_coarse").cast("long"))
+        return cut.withColumn(name, (within + shift - 1).cast("long")).drop(*parts)
+    sizes = stored(sizes, "range-sizes")
     whole = sizes.groupBy("_coarse").agg(F.sum("_rows").alias("_all"))
-    before = whole.select("_coarse", (F.sum("_all").over(Window.orderBy("_coarse")) - F.col("_all")).alias("_before"))  # TOP rows at most
+    outer = whole.select("_coarse", (F.sum("_all").over(Window.orderBy("_coarse")) - F.col("_all")).alias("_outer"))  # TOP rows at most
     chain = Window.partitionBy("_coarse").orderBy("_fine")
-    shift = sizes.withColumn("_shift", F.sum("_rows").over(chain) - F.col("_rows")).join(F.broadcast(before), "_coarse").select(
-        "_coarse", "_fine", (F.col("_shift") + F.col("_before")).alias("_shift"))
-    within = Window.partitionBy("_coarse", "_fine").orderBy(*order)
+    shift = sizes.withColumn("_inner", F.sum("_rows").over(chain) - F.col("_rows")).join(F.broadcast(outer), "_coarse").select(
+        *parts, (F.col("_inner") + F.col("_outer")).alias("_shift"))
     return (
-        cut.withColumn("_at", F.row_number().over(within))
-        .join(shift, ["_coarse", "_fine"])
+        cut.withColumn("_at", within)
+        .join(shift, parts)
         .withColumn(name, (F.col("_at") + F.col("_shift") - 1).cast("long"))
-        .drop("_coarse", "_fine", "_at", "_shift")
+        .drop(*parts, "_at", "_shift")
     )
 
 

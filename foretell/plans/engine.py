@@ -151,8 +151,14 @@ class Engine:
     def export_table(self, name: str, path: str, gzip: bool = False) -> None:
         files.write_ndjson(self.table(name), path, gzip)
 
-    def delete_entries(self, name: str, where: dict) -> DataFrame:
-        """Deletes the rows that satisfy ``where`` by noting their places; no row is rewritten."""
+    def delete_entries(self, name: str, where: dict, rewrite: bool = True) -> DataFrame:
+        """Deletes the rows that satisfy ``where``.
+
+        With ``rewrite`` the others become a new version, which readers of the catalog see too.  Without it
+        only the places of the deleted rows are written, which readers through an engine leave out.
+        """
+        if rewrite:
+            return self._store(name, delete_entries(self.table(name), where, self.tables))
         stored = self._stored(name)
         rows = stored.read(places=True)
         bound = bind(rows, paths(where), self.tables)

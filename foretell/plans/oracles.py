@@ -403,6 +403,7 @@ def oracle_sql() -> dict[str, str]:
     o["append"] = "SELECT * FROM orders"
     o["delete_entries"] = ("SELECT * REPLACE (nullif(o_orderstatus, 'P') AS o_orderstatus) FROM orders "
                            "WHERE NOT (o_orderstatus = 'F' AND o_totalprice >= 100000)")
+    o["delete_places"] = f"SELECT * FROM ({o['delete_entries']}) WHERE o_orderkey % 7 <> 0"
     o["copy_table"] = "SELECT * FROM customer"
     o["create_column"] = "SELECT * REPLACE ('ANY' AS c_mktsegment), CAST(NULL AS DOUBLE) AS score FROM customer"
     o["delete_column"] = "SELECT * EXCLUDE (c_acctbal) FROM customer"

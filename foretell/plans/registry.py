@@ -461,6 +461,15 @@ def delete_entries(spark, folder):
     return e.delete_entries(t, {"o_orderstatus": "F", "o_totalprice": {"$gte": 100000.0}})
 
 
+@query
+def delete_places(spark, folder):
+    """The same deletion by the places of the rows, and then another one."""
+    e, t, orders = _stored(spark, folder, "orders")
+    e.create_table(t, orders.withColumn("o_orderstatus", F.nullif("o_orderstatus", F.lit("P"))))
+    e.delete_entries(t, {"o_orderstatus": "F", "o_totalprice": {"$gte": 100000.0}}, rewrite=False)
+    return e.delete_entries(t, {"o_orderkey": {"$mod": [7, 0]}}, rewrite=False)
+
+
 @query
 def copy_table(spark, folder):
     e, t, customer = _stored(spark, folder, "customer")

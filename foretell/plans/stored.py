@@ -9,8 +9,9 @@ each folder, so that moving the name changes both at once:
   reader of the files.
 * ``deleted``: folders with the positions of deleted rows, by file.  Readers leave these rows out.
 
-So columns are added and dropped without a job over the data, and a deletion writes no more than the
-positions of its rows.  A reader sees the table before or after a change, never between.
+So columns are added and dropped without a job over the data, and a deletion may write no more than the
+positions of its rows.  A reader sees the table before or after a change, never between.  Whoever reads the
+name in the catalog without this class sees the columns of the files, and rows deleted by position.
 """
 
 from __future__ import annotations
