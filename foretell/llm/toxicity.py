@@ -227,9 +227,10 @@ def trained(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
     named = docs.select(F.col(f"`{key}`").alias("_key"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     rows = named.join(F.broadcast(chosen), F.col("_key") == F.col("_id")).select("_id", "text", "toxic")
     sketched = mapped(rows, _sketch, "_id long, text string, toxic int, least long, most long")
-    # ids may repeat, so the texts are cut to the bound again
-    once = _once(sketched).select("text", "toxic").orderBy(F.xxhash64("text"), "text", "toxic").limit(most)
-    sample = stored(once.repartition(sketched.sparkSession.sparkContext.defaultParallelism), "tox-sample")
+    sample = stored(_once(sketched).select("text", "toxic"), "tox-sample")
+    # ids may repeat, so the texts are cut to the bound again, by a hash; only hashes are sorted
+    last = sample.select(F.xxhash64("text").alias("h")).orderBy("h").limit(most).agg(F.max("h")).first()[0]
+    sample = sample.where(F.xxhash64("text") <= F.lit(last))
     sizes = sample.agg(F.sum("toxic"), F.count("*")).first()
     toxic, n = int(sizes[0] or 0), int(sizes[1])
     if not toxic or toxic == n:
