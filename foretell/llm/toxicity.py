@@ -39,7 +39,7 @@ from foretell.llm.neardup import shingles, words_of
 
 FOLDS, HELD_OUT = 4, 2
 LABELLED = 10_000  # documents that labels are learnt from, at most
-CHUNK = 512  # texts scored at a time
+CHUNK = 512  # texts scored, and rows of a fit worked on, at a time
 STEMS = 300  # mined stems, at most
 LEAST = 4  # toxic documents that a stem must occur in
 LIFT = 4.0  # times as often in toxic documents as in others
@@ -146,27 +146,42 @@ def votes(x: np.ndarray) -> np.ndarray:
     return np.concatenate([np.stack(patterns, axis=1), (x[:, len(Features.FORMS):] > 0).astype(int)], axis=1)
 
 
+def _slices(n: int) -> list:
+    """Rows that are worked on at a time, so that what is made of them stays small."""
+    return [slice(at, at + CHUNK) for at in range(0, n, CHUNK)]
+
+
+def _moments(v: np.ndarray, q: np.ndarray) -> tuple:
+    """Of a class, to which the rows belong by ``q``: how often each answer is given, and the covariance of the voters."""
+    voters, total = v.shape[1], max(q.sum(), 1e-9)
+    given, cov = np.zeros((voters, 3)), np.zeros((voters, voters))
+    for own in _slices(len(v)):
+        for a in range(3):
+            given[:, a] += q[own] @ (v[own] == a - 1)
+    mean = (given[:, 2] - given[:, 0]) / total
+    for own in _slices(len(v)):
+        dev = v[own] - mean
+        cov += (dev * q[own][:, None]).T @ dev
+    return given, cov / total
+
+
 def label_model(v: np.ndarray, y: np.ndarray, rounds: int = 15) -> np.ndarray:
     """The probability of each row being toxic, from its votes and its given label."""
-    answers = np.stack([v == -1, v == 0, v == 1], axis=2).astype(float)  # rows, voters, answers
     given = np.where(y > 0, np.log(TRUST / (1 - TRUST)), np.log((1 - TRUST) / TRUST))
     p = np.where(y > 0, TRUST, 1 - TRUST)
     for _ in range(rounds):
         prior = (p.sum() + 1) / (len(p) + 2)
         table, discount = [], 0.0
         for q, share in ((p, prior), (1 - p, 1 - prior)):
-            rates = (np.einsum("n,nja->ja", q, answers) + 0.5) / (q.sum() + 1.5)
-            table.append(np.log(rates))
+            answers, cov = _moments(v, q)
+            table.append(np.log((answers + 0.5) / (q.sum() + 1.5)))
             # correlations of the voters within the class
-            mean = (q @ v) / max(q.sum(), 1e-9)
-            dev = v - mean
-            cov = (dev * q[:, None]).T @ dev / max(q.sum(), 1e-9)
             sd = np.sqrt(np.maximum(np.diag(cov), 1e-9))
             corr = np.abs(cov / sd[:, None] / sd[None, :])
             np.fill_diagonal(corr, 0)
             discount = discount + share * corr.sum(axis=1)
-        weight = 1 / (1 + discount)
-        odds = np.einsum("nja,ja,j->n", answers, table[0] - table[1], weight)
+        weights = (table[0] - table[1]) / (1 + discount)[:, None]
+        odds = np.concatenate([sum((v[own] == a - 1) @ weights[:, a] for a in range(3)) for own in _slices(len(v))])
         p = 1 / (1 + np.exp(-np.clip(odds + given + np.log(prior / (1 - prior)), -30, 30)))
     return p
 
@@ -178,13 +193,27 @@ def logistic(x: np.ndarray, p: np.ndarray, ridge: float = 0.3, rounds: int = 25)
     keep[0] = 1e-6
     for _ in range(rounds):
         q = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (q * (1 - q) + 1e-9)[:, None]).T @ x + np.diag(keep), x.T @ (p - q) - keep * w)
+        curve = np.diag(keep)
+        for own in _slices(len(x)):
+            curve += (x[own] * (q[own] * (1 - q[own]) + 1e-9)[:, None]).T @ x[own]
+        step = np.linalg.solve(curve, x.T @ (p - q) - keep * w)
         w = w + step
         if np.abs(step).max() < 1e-6:
             break
     return w
 
 
+def fitted(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Weights from rows of ``Features`` and their labels; besides ``x`` only votes and inputs are held whole."""
+    v = np.concatenate([votes(x[own].astype(float)).astype(np.int8) for own in _slices(len(x))])
+    p = label_model(v, y)
+    del v
+    seen = np.empty((len(x), inputs(x[:1].astype(float)).shape[1]))
+    for own in _slices(len(x)):
+        seen[own] = inputs(x[own].astype(float))
+    return logistic(seen, p)
+
+
 class Model:
     def __init__(self, stems: list, weights):
         self.stems, self.weights = stems, weights
@@ -245,9 +274,12 @@ def trained(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
             yield pd.DataFrame({"x": [f.row(t).astype(np.float32).tobytes() for t in pdf["text"]], "toxic": pdf["toxic"]})
 
     found = mapped(sample, measured, "x binary, toxic int").orderBy("x", "toxic").collect()
-    x = np.stack([np.frombuffer(r["x"], np.float32) for r in found]).astype(float)
-    y = np.array([r["toxic"] for r in found])
-    return Model(stems, logistic(inputs(x), label_model(votes(x), y)))
+    x = np.empty((len(found), len(Features.FORMS) + len(stems)), np.float32)
+    y = np.zeros(len(found), int)
+    for i, r in enumerate(found):
+        x[i], y[i] = np.frombuffer(r["x"], np.float32), r["toxic"]
+    del found
+    return Model(stems, fitted(x, y))
 
 
 def scored(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:

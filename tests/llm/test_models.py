@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -157,6 +158,26 @@ def test_label_model_discounts_repeated_voters():
     assert np.mean(toxicity.label_model(votes, y) > 0.5) == pytest.approx(y.mean(), abs=0.02)
 
 
+def test_the_toxicity_fit_holds_little_besides_its_rows():
+    r = np.random.default_rng(5)
+    x = np.concatenate([r.random((6000, 7)), r.random((6000, 150)) < 0.05], axis=1).astype(np.float32)
+    y = (x[:, 7] > 0).astype(int)
+    tracemalloc.start()
+    weights = toxicity.logistic(toxicity.inputs(x.astype(float)), toxicity.label_model(toxicity.votes(x).astype(np.int8), y))
+    tracemalloc.reset_peak()
+    before = tracemalloc.get_traced_memory()[0]
+    fitted = toxicity.fitted(x, y)
+    peak = tracemalloc.get_traced_memory()[1] - before
+    toxicity_votes = toxicity.votes(x).astype(np.int8)
+    tracemalloc.reset_peak()
+    before = tracemalloc.get_traced_memory()[0]
+    toxicity.label_model(toxicity_votes, y, rounds=2)
+    model_peak = tracemalloc.get_traced_memory()[1] - before
+    tracemalloc.stop()
+    assert fitted == pytest.approx(weights, rel=1e-3, abs=1e-3)
+    assert peak < 4 * x.nbytes and model_peak < x.nbytes
+
+
 # pages
 
 
