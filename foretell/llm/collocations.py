@@ -19,6 +19,8 @@ its length; other columns are not looked at.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 import numpy as np
 import pyarrow as pa
 
@@ -29,8 +31,8 @@ from foretell.llm.common import send_package, stored
 
 LONGEST, LEAST, TOP = 5, 100, 2000
 MOST = 500_000  # phrases of one trie
-BLOCK = 1 << 22  # bytes of text that move through the tries together
-HELD = 1 << 20  # sums that a task holds before it hands them on
+BLOCK = 1 << 21  # bytes of text that move through the tries together
+HELD = 1 << 18  # sums that a task holds before it hands them on
 NO_LANG = "und"
 
 # fixed values: bytes that end a piece, and the other one that ends a word
@@ -134,14 +136,18 @@ class Words:
         starts = ~gap
         starts[1:] &= gap[:-1] | first[1:]
         at = np.flatnonzero(starts)
-        self.piece = np.cumsum((data == END).astype(np.int64) + first)[at]
+        self.piece = np.cumsum((data == END) | first, dtype=np.int64)[at]
         self.lang = langs[np.searchsorted(offsets, at, side="right") - 1]
-        lengths = np.add.reduceat((~gap).astype(np.int64), at) if len(at) else np.zeros(0, np.int64)
+        lengths = np.add.reduceat(~gap, at, dtype=np.int64) if len(at) else np.zeros(0, np.int64)
         ends = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
         raw = pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(ends), pa.py_buffer(data[~gap])])
         coded = raw.dictionary_encode()
         self.code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        self.names = coded.dictionary.to_pylist()
+        self.dictionary = coded.dictionary
+
+    @cached_property
+    def names(self) -> list:
+        return self.dictionary.to_pylist()
 
     def accepted(self, trie: Trie, langs: list, length: int) -> np.ndarray:
         """The number of the phrase of ``length`` words that starts at each word, or -1."""
@@ -178,27 +184,37 @@ def _blocks(batches):
             at = end
 
 
+def _added(parts: list) -> pa.RecordBatch:
+    """Equal words of a language once, with the sum of their counts."""
+    summed = pa.Table.from_batches(parts).group_by(["lang", "phrase"]).aggregate([("f", "sum")])
+    return pa.RecordBatch.from_arrays([summed[c].combine_chunks() for c in ("lang", "phrase", "f_sum")], ["lang", "phrase", "f"])
+
+
 def _counted_words(batches):
-    held: dict = {}
+    """``(lang, phrase, f)`` of words; the sums are held as Arrow columns, without an object a word."""
+    held, size = [], 0
 
-    def out():
-        keys = list(held)
-        return pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.binary()).cast(pa.string()),
-             pa.array(list(held.values()), pa.int64())], ["lang", "phrase", "f"])
+    def out(part):
+        return part.set_column(1, "phrase", part.column("phrase").cast(pa.string()))
 
     for data, offsets, codes, langs in _blocks(batches):
         words = Words(data, offsets, codes)
-        own = words.lang * len(words.names) + words.code
-        counts = np.bincount(own, minlength=len(langs) * len(words.names))
-        for i in np.flatnonzero(counts):
-            key = langs[i // len(words.names)], words.names[i % len(words.names)]
-            held[key] = held.get(key, 0) + int(counts[i])
-        if len(held) > HELD:
-            yield out()
-            held.clear()
+        many = len(words.dictionary)
+        own = words.lang * many + words.code
+        counts = np.bincount(own, minlength=len(langs) * many)
+        at = np.flatnonzero(counts)
+        held.append(pa.RecordBatch.from_arrays(
+            [pa.array(langs, pa.string()).take(pa.array(at // max(many, 1))), words.dictionary.take(pa.array(at % max(many, 1))).cast(pa.binary()),
+             pa.array(counts[at], pa.int64())], ["lang", "phrase", "f"]))
+        size += len(at)
+        if size > HELD:
+            held = [_added(held)]
+            size = len(held[0])
+            if size > HELD // 2:
+                yield out(held[0])
+                held, size = [], 0
     if held:
-        yield out()
+        yield out(_added(held))
 
 
 def _summed(left: np.ndarray, right: np.ndarray, count: np.ndarray | None = None) -> tuple:

@@ -2,10 +2,12 @@
 
 import hashlib
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from foretell.llm import collocations, prefix_trie, substring_dedup, suffixes
@@ -87,6 +89,23 @@ def test_repeated_strings_of_odd_tables(spark, odd_docs, no_docs):
 # collocations
 
 
+def test_counted_words_are_no_objects():
+    """A task that meets many different words holds columns of them."""
+    texts = [" ".join(f"w{i}" for i in range(at, at + 2_000)) for at in range(0, 60_000, 2_000)]
+    batches = [pa.RecordBatch.from_pydict({"text": [t, "W1 w1"], "lang": ["en", "fr"]}) for t in texts]
+    tracemalloc.start()
+    found = list(collocations._counted_words(iter(batches)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    sums = Counter()
+    for b in found:
+        for lang, word, f in zip(*(c.to_pylist() for c in b.columns)):
+            sums[lang, word] += f
+    assert sums["fr", "w1"] == 60 and sums["en", "w7"] == 1 and len(sums) == 60_001
+    assert peak < 4_000_000
+
+
+
 def counted(rows, least, longest=5):
     f, n = defaultdict(Counter), Counter()
     for text, lang in rows:
