@@ -8,6 +8,7 @@ anything that grows with the rows.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -27,9 +28,14 @@ def _sampled(keys: DataFrame, rows: int, wanted: int) -> DataFrame:
     return keys if rows <= wanted else keys.sample(min(1.0, wanted / rows), 42)
 
 
+def _sorted_sample(keys: DataFrame, order: list, rows: int, wanted: int) -> list:
+    """About ``wanted`` rows in their order; under a limit (never reached) they are sorted in one pass over the rows."""
+    return _sampled(keys, rows, wanted).orderBy(*order).limit(max(4 * wanted, 1000)).collect()
+
+
 def _top_bounds(keys: DataFrame, order: list, rows: int, ranges: int) -> list:
     """At most ``ranges - 1`` sorted bounds, from a sample whose expected size depends on ``ranges`` alone."""
-    sample = _sampled(keys, rows, ranges * SAMPLES_PER_RANGE).orderBy(*order).collect()
+    sample = _sorted_sample(keys, order, rows, ranges * SAMPLES_PER_RANGE)
     step = max(len(sample) // ranges, 1)
     return list(dict.fromkeys(tuple(r) for r in sample[step::step]))[: ranges - 1]
 
@@ -143,22 +149,56 @@ def curve_position(df: DataFrame, columns: list, bits: int = 8) -> Column:
     return out
 
 
+def _from(bound: tuple, keys: list, types: list, falling: list) -> Column:
+    """Whether a key stands at or behind a bound: plain comparisons, as Spark compiles them."""
+    out = F.lit(True)
+    for i in reversed(range(len(keys))):
+        k = keys[i]
+        if bound[i] is None:
+            behind, same = (F.lit(False) if falling[i] else k.isNotNull()), k.isNull()
+        else:
+            b = F.lit(bound[i]).cast(types[i])
+            behind, same = F.coalesce(k < b if falling[i] else k > b, F.lit(falling[i])), k.eqNullSafe(b)
+        out = behind | (same & out)
+    return out
+
+
+def _bounds_around(sample: list, whole: bool, start: float, end: float) -> list:
+    """At most two bounds, little before and little behind the ``start`` and ``end`` share of all rows.
+
+    The share of the rows that stand before a value of the sample is off by five standard deviations at most,
+    nearly surely; if the sample is ``whole``, not at all.
+    """
+    off = 0 if whole else 2.5 * len(sample) ** 0.5 + 1
+    at = int(start * len(sample) - off)
+    lower = tuple(sample[at]) if at > 0 else None
+    behind = (tuple(r) for r in sample[max(math.ceil(end * len(sample) + off), 0) :])
+    upper = next((r for r in behind if r != (lower or tuple(sample[0]))), None)
+    return [b for b in (lower, upper) if b is not None]
+
+
 def page_ranges(df: DataFrame, keys: list, falling: list, offset: int, limit: int | None, few: int = FEW_ROWS) -> tuple:
     """``(rows, skipped, left)``: ``left`` rows that hold a page, of which ``skipped`` others stand before.
 
-    The rows are counted in at most ``TOP`` ranges of the key; only the ranges that the page lies in are
-    looked at again, until they hold ``few`` rows or little more than the page.
+    The rows before, between and behind two bounds are counted, which come from a sample of constant size and
+    enclose the page nearly surely; only those that the page lies in are looked at again, until they are ``few``
+    rows or little more than the page.
     """
     named = [k.alias(f"k{i}") for i, k in enumerate(keys)]
     order = [F.desc(f"k{i}") if down else F.asc(f"k{i}") for i, down in enumerate(falling)]
-    rows, own = df, F.struct(*named)
+    rows = df
     types = [f.dataType for f in df.select(*named).schema.fields]
     skipped, left = 0, df.count()
     end = left if limit is None else min(left, offset + limit)
     while left > max(few, 2 * (end - offset)) and offset < end:
-        bounds = _top_bounds(rows.select(*named), order, left, TOP)
-        at = bucket_of(own, _literals(bounds, types), len(bounds), falling)
-        counts = {r[0]: r[1] for r in rows.groupBy(at.alias("at")).agg(F.count("*")).collect()}  # TOP rows at most
+        wanted = TOP * SAMPLES_PER_RANGE
+        sample = _sorted_sample(rows.select(*named), order, left, wanted)
+        if not sample:
+            break
+        bounds = _bounds_around(sample, left <= wanted, (offset - skipped) / left, (end - skipped) / left)
+        behind = [_from(b, keys, types, falling) for b in bounds]
+        at = reduce(lambda x, y: x + y, [b.cast("int") for b in behind], F.lit(0))
+        counts = {r[0]: r[1] for r in rows.groupBy(at.alias("at")).agg(F.count("*")).collect()}  # three rows at most
         first = last = start = None
         before = skipped
         for i in sorted(counts):
@@ -170,7 +210,11 @@ def page_ranges(df: DataFrame, keys: list, falling: list, offset: int, limit: in
         kept = sum(n for i, n in counts.items() if first <= i <= last)
         if kept == left:
             break  # a key that many rows share; the order should end in a unique one
-        rows, skipped, left = rows.where(at.between(first, last)), start, kept
+        if first:
+            rows = rows.where(behind[first - 1])
+        if last < len(behind):
+            rows = rows.where(~behind[last])
+        skipped, left = start, kept
     return rows, skipped, left
 
 

@@ -7,7 +7,7 @@ from foretell.functions.predicates import condition
 from foretell.operators import search as se
 from foretell.operators import index
 from foretell.operators.index import deep_page, page_ranges, with_index
-from foretell.operators.skew import salted_join
+from foretell.operators.skew import common_join, salted_join
 from foretell.plans.engine import Engine
 
 
@@ -127,3 +127,32 @@ def test_a_page_in_the_middle_sorts_few_rows(spark):
     assert left < 2_000 and rows.count() == left and skipped <= 100_000 < 100_010 <= skipped + left
     same, _, all_ = page_ranges(df.select(F.lit(1).alias("a")), [F.col("a")], [False], 100_000, 10, few=100)
     assert all_ == 200_000  # equal keys cannot be told apart
+
+
+@pytest.mark.parametrize("falling", [[False, True], [True, False]])
+def test_pages_of_odd_keys(spark, monkeypatch, falling):
+    """Null, nan, zeros of both signs and a value that many rows share; the bounds are plain comparisons."""
+    monkeypatch.setattr(index, "TOP", 2)
+    odd = F.when(F.col("id") % 4 == 0, F.lit("nan").cast("double")).when(F.col("id") % 4 == 1, None).when(F.col("id") % 8 == 2, -0.0)
+    df = spark.range(2_000).select(odd.otherwise(F.col("id") % 3 - 1.0).alias("a"), F.col("id").cast("string").alias("b"))
+    order = [F.col(c).desc() if down else F.col(c).asc() for c, down in zip(df.columns, falling)]
+    whole = [r["b"] for r in df.orderBy(*order).collect()]
+    keys = [F.col("a"), F.col("b")]
+    for offset in (0, 480, 505, 1_000, 1_400, 1_990):
+        found = deep_page(df, keys, falling, offset, 10, few=30)
+        assert [r["b"] for r in found.collect()] == whole[offset : offset + 10]
+        rows, skipped, left = page_ranges(df, keys, falling, offset, 10, few=30)
+        assert left < 200 and skipped <= offset < skipped + left
+        assert "lambda" not in rows._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("exact", [True, False])
+@pytest.mark.parametrize("most", [3, 1_000])
+def test_common_join_is_a_plain_join(spark, how, exact, most):
+    left = spark.range(3000).select(F.col("id").alias("q"), F.when(F.col("id") < 1000, 0).when(F.col("id") % 9 > 0, F.col("id") % 50).alias("k"))
+    right = left.where("k < 40").groupBy("k").agg(F.count("*").alias("n"), F.max("q").alias("v"))
+    got = common_join(left, right, "k", "n", "q", 100, how, exact, most)
+    assert sorted(got.columns) == ["k", "q", "v"]
+    want = left.join(right.drop("n"), "k", how).select("k", "q", "v").collect()
+    assert sorted(map(str, got.select("k", "q", "v").collect())) == sorted(map(str, want))
