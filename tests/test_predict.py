@@ -231,6 +231,9 @@ def test_similarity(table, rows, salt):
     assert index.scores({"text": "unknown"}).count() == 0
     with pytest.raises(ValueError):
         index.scores({"kind": "x"})
+    first = build_index(table.where(~late), ["text"], "id", rows_per_salt=salt)
+    whole = first.append(table.where(late))
+    assert set(first.postings.inputFiles()) < set(whole.postings.inputFiles())  # what is sorted stays as it is
 
 
 @pytest.fixture(scope="module")
