@@ -42,16 +42,17 @@ def once(value: Column, use) -> Column:
 def _grams(items: Column, lo: int, hi: int, separator: str) -> Column:
     """All windows of lo..hi items, joined; a size beyond the length gives none.
 
-    Items are taken by position, so the work is linear in the length (``slice`` and
-    ``substring`` walk from the start each time).
+    Each window starts at an item and takes the others by position, so the work is linear in the length.
     """
 
     def of_size(x, n):
-        # the guard matters: ``sequence`` counts down when its end is below its start
-        starts = F.when(F.size(x) >= n, F.sequence(F.lit(0), F.size(x) - n)).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.concat_ws(separator, *[F.get(x, i + j) for j in range(n)]))
+        if n == 1:
+            return x
+        starts = F.slice(x, F.lit(1), F.greatest(F.size(x) - (n - 1), F.lit(0)))
+        return F.transform(starts, lambda t, i: F.concat_ws(separator, t, *[F.get(x, i + j) for j in range(1, n)]))
 
-    return once(items, lambda x: F.flatten(F.array(*[of_size(x, n) for n in range(lo, hi + 1)])))
+    whole = F.coalesce(items, F.array().cast("array<string>"))
+    return once(whole, lambda x: F.concat(*[of_size(x, n) for n in range(lo, hi + 1)]))
 
 
 def _letter_pairs(tokens: Column) -> Column:

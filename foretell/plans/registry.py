@@ -205,9 +205,15 @@ def top_hit(spark, folder):
 # -------------------------------------------------------------------------------- tokens
 
 
-def _token_counts(df, key, column, analyzer):
-    """How many rows hold each token, and the smallest key among them."""
+def _token_counts(df, key, column, analyzer, rare=False):
+    """How many rows hold each token, and the smallest key among them.
+
+    ``rare``: most tokens stand in one row only.  Then they are shuffled as they are; tables of sums before
+    the shuffle would grow with the rows of a task and spare little.
+    """
     found = an.tokens(df, key, column, analyzer)
+    if rare:
+        found = found.repartition("token")
     return found.groupBy("token").agg(F.count("*").alias("n"), F.min(key).alias("first_key"))
 
 
@@ -262,7 +268,7 @@ def tok_char_ngram_accents(spark, folder):
 @query
 def tok_token_ngram(spark, folder):
     grams = S.TokenNGram("standard", 1, 2, "_")
-    return _token_counts(load(spark, folder, "documents"), "doc_id", "text", grams)
+    return _token_counts(load(spark, folder, "documents"), "doc_id", "text", grams, rare=True)
 
 
 @query

@@ -66,3 +66,16 @@ def test_equal_analyzers_give_equal_tokens(spark, name):
 
 def test_cjk_by_alias_gives_pairs_of_letters(spark):
     assert run(spark, "東京タワー x", "cjk") == ["東京", "京タ", "タワ", "ワー", "x"]
+
+
+def test_rare_tokens_are_not_summed_before_the_shuffle(spark, tmp_path):
+    from foretell.plans import registry
+
+    rows = [(1, "The cat the cat"), (2, "the cat"), (3, "a"), (4, ""), (5, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = registry.tok_token_ngram(spark, str(tmp_path))
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    plan = found._jdf.queryExecution().executedPlan().toString() if "Exchange" not in plan else plan
+    assert plan.index("partial_count") < plan.index("Exchange")
+    assert sorted(map(tuple, found.collect())) == [
+        ("a", 1, 3), ("cat", 2, 1), ("cat_the", 1, 1), ("the", 2, 1), ("the_cat", 2, 1)]
