@@ -32,7 +32,7 @@ from foretell.functions.features import row_features
 from foretell.functions.predicates import column_name
 from foretell.operators.counts import BIN, SCORE_DIGITS, baseline, best_first, gain, lse_of, unnest
 from foretell.operators.links import bind
-from foretell.operators.skew import ROWS_PER_SALT, salted_join
+from foretell.operators.skew import ROWS_PER_SALT, common_join, salted_join
 from foretell.plans.workspace import stored
 
 FEW_CLASSES = 32  # up to this many classes get a column each
@@ -64,6 +64,8 @@ def predict_batch(train: DataFrame, queries: DataFrame, key: str, fields, target
         # few plain fields: many rows ask the same, so each set of features is scored once
         everyone = q.select(F.col("qid").alias("row"), "fold", "f")
         q = q.groupBy("fold", "f").agg(F.min("qid").alias("qid"))
+    else:
+        q = stored(q, "asked")  # texts are tokenised once
     learnt = train.select(
         classes_of(train, target).alias("_c"), row_features(train, list(sources)).alias("_f"),
         (F.lit(None).cast("long") if fold is None else F.col(fold).cast("long")).alias("_fold"))
@@ -122,22 +124,23 @@ def _few(learnt: DataFrame, q: DataFrame, names: list, sizes: DataFrame, rows: d
     """``(qid, class, p, rank)`` with one column per class; one row per feature is joined."""
     ids = range(len(names))
     columns = ["n_f", *(f"n{i}" for i in ids)]
+    holds = [F.array_contains("_c", name).alias(f"c{i}") for i, name in enumerate(names)]  # once a row, not a feature
     counts = (
-        learnt.select("_c", "_fold", F.explode("_f").alias("feature"))
+        learnt.select("_fold", *holds, unnest("_f").alias("feature")).where("feature IS NOT NULL")
         .groupBy("feature", "_fold")
-        .agg(F.count("*").alias("n_f"), *[F.count_if(F.array_contains("_c", name)).alias(f"n{i}") for i, name in enumerate(names)])
+        .agg(F.count("*").alias("n_f"), *[F.count_if(f"c{i}").alias(f"n{i}") for i in ids])
     )
-    counts = _left(counts, ["feature"], folds, columns)
+    counts = stored(_left(counts, ["feature"], folds, columns), "feature-counts")
     n_f = F.col("n_f") if is_text else None
     gains = counts.select(
         F.struct("fold", "feature").alias("asked"), F.log(F.col("n_f") + 1.0).alias("absent"),
-        *[gain(F.col(f"n{i}"), n_f).alias(f"g{i}") for i in ids]
+        *[gain(F.col(f"n{i}"), n_f).alias(f"g{i}") for i in ids], F.col("n_f").alias("often")
     )
     # a query without features keeps one row, under a name that no feature has
     evidence = q.select("qid", "fold", F.size("f").alias("h"), unnest("f").alias("feature")).fillna("", ["feature"]).select(
         "qid", "fold", "h", F.struct("fold", "feature").alias("asked"))
     sums = (
-        salted_join(evidence, gains, "asked", "qid", rows_per_salt, how="left")
+        common_join(evidence, gains, "asked", "often", "qid", rows_per_salt, how="left")
         .groupBy("qid")
         .agg(F.max("h").alias("h"), F.max("fold").alias("fold"),
              *[F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in ["absent", *(f"g{i}" for i in ids)]])

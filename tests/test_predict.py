@@ -293,3 +293,10 @@ def test_match_and_recommend_without_links(table, rows):
     n = sum(r[1] == "x" for r in rows)
     good = sum(r[1] == "x" and r[2] == 1 for r in rows)
     assert dict(ranked(recommend(table, "a", {"n": 1})))["x"] == pytest.approx((good + 1) / (n + 2))
+
+
+def test_a_batch_tokenises_texts_once(table):
+    """What is joined and counted are stored features; the plan of the answers has no text left."""
+    found = predict_batch(table, table, "id", ["text"], "kind")
+    assert "split(" not in found._jdf.queryExecution().toString()
+    assert found.select("id").distinct().count() == table.count()
